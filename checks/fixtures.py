@@ -14,9 +14,12 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self.tables:
+            self.tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.tables[name]
 
     def parcel_key(self) -> DataFrame:
         complex_no = F.floor(F.col("p_partkey") / 4)

@@ -1,0 +1,21 @@
+"""Cutting the lineage of small results that later steps read many times."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and go on from its checkpoint.
+
+    For results of a few rows whose plan is large: every further use would otherwise
+    repeat that plan. Checkpoints go to the shared folder of the session and survive
+    the loss of executors; a local folder is set only where the session names none.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="parcelstats-"))
+    return df.checkpoint()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelstats.reference_data import FIRST_BUILT_YEAR, LAST_BUILT_YEAR
@@ -24,17 +24,20 @@ def dense_counts(counts: DataFrame, dims: Sequence[str], count: str) -> DataFram
     first, *others = dims
     grid = counts.select(first).distinct()
     for dim in others:
-        domain = counts.select(dim).distinct()
-        size = F.count("*")
-        values = F.when(size <= MAX_DOMAIN, F.collect_set(F.struct(dim))).otherwise(
-            F.raise_error(F.lit(f"too many values of {dim}"))
-        )
-        listed = domain.agg(values.alias("_values")).scalar()
-        grid = grid.withColumn("_value", F.explode(listed)).select(*grid.columns, f"_value.{dim}")
+        grid = grid.withColumn(f"_{dim}", F.explode(_domain(counts, dim)))
+    grid = grid.select(first, *[F.col(f"_{dim}.{dim}").alias(dim) for dim in others])
     filled = F.coalesce(F.col(count), F.lit(0).cast("bigint"))
     return grid.join(counts, list(dims), "left").withColumn(count, filled)
 
 
+def _domain(counts: DataFrame, dim: str) -> Column:
+    """The values of a dimension as one array. The limit is one above what is allowed."""
+    values = F.collect_set(F.struct(dim))
+    too_many = F.raise_error(F.lit(f"more than {MAX_DOMAIN} values of {dim}"))
+    checked = F.when(F.count("*") <= MAX_DOMAIN, values).otherwise(too_many)
+    return counts.select(dim).distinct().limit(MAX_DOMAIN + 1).agg(checked).scalar()
+
+
 def add_decade(
     df: DataFrame,
     year: str = "year_built",

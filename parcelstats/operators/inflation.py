@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelstats.functions import rounded_long
@@ -26,33 +26,35 @@ def annual_series(df: DataFrame, value: str, year: str = "year") -> DataFrame:
     )
 
 
-def value_of_year(series: DataFrame, value: str, year: int) -> Column:
-    """The value of one year as a scalar subquery; a missing year fails the query."""
-    message = F.lit(f"no {value} for base year {year}")
-    single = F.when(F.count(value) == 1, F.max(value)).otherwise(F.raise_error(message))
-    return series.filter(F.col("year") == year).agg(single.alias(value)).scalar()
+def price_index(cpi: DataFrame, base_year: int) -> DataFrame:
+    """(year, cpi, base_cpi), small enough to broadcast; fails without the base year.
 
-
-def _with_cpi(df: DataFrame, cpi: DataFrame, base_year: int) -> tuple[DataFrame, Column]:
+    The window over all rows sees no more than the years of ``annual_series``.
+    """
     series = annual_series(cpi.select("year", F.col("cpi").cast("double").alias("cpi")), "cpi")
+    base = F.max(F.when(F.col("year") == base_year, F.col("cpi"))).over(Window.partitionBy())
+    missing = F.raise_error(F.lit(f"no cpi for base year {base_year}"))
+    return series.select("year", "cpi", F.coalesce(base, missing).alias("base_cpi"))
+
+
+def _with_cpi(df: DataFrame, cpi: DataFrame, base_year: int) -> DataFrame:
     dated = df.withColumn("year", F.col("year").cast("bigint"))
-    return (
-        dated.join(F.broadcast(series), "year", "left"),
-        value_of_year(series, "cpi", base_year),
-    )
+    return dated.join(F.broadcast(price_index(cpi, base_year)), "year", "left")
 
 
 def adjust_for_inflation(
     df: DataFrame, cpi: DataFrame, column: str, base_year: int
 ) -> DataFrame:
     """Add ``adj_<column>``: the amount in money of ``base_year``; null without a CPI."""
-    priced, base_cpi = _with_cpi(df, cpi, base_year)
-    adjusted = F.try_divide(F.col(column).cast("double"), F.col("cpi")) * base_cpi
-    return priced.withColumn(f"adj_{column}", rounded_long(adjusted)).drop("cpi")
+    amount = F.col(column).cast("double")
+    adjusted = F.try_divide(amount, F.col("cpi")) * F.col("base_cpi")
+    priced = _with_cpi(df, cpi, base_year).withColumn(f"adj_{column}", rounded_long(adjusted))
+    return priced.drop("cpi", "base_cpi")
 
 
 def deflate_to_nominal(df: DataFrame, cpi: DataFrame, column: str, base_year: int) -> DataFrame:
     """Add ``column`` in money of its own year from ``adj_<column>``."""
-    priced, base_cpi = _with_cpi(df, cpi, base_year)
-    nominal = F.try_divide(F.col(f"adj_{column}").cast("double"), base_cpi) * F.col("cpi")
-    return priced.withColumn(column, rounded_long(nominal)).drop("cpi")
+    amount = F.col(f"adj_{column}").cast("double")
+    nominal = F.try_divide(amount, F.col("base_cpi")) * F.col("cpi")
+    priced = _with_cpi(df, cpi, base_year).withColumn(column, rounded_long(nominal))
+    return priced.drop("cpi", "base_cpi")

@@ -47,38 +47,35 @@ def interpolate_by_reference(
 
     The ratio of the group's value to the reference is known where both exist. It is
     interpolated linearly between known positions, kept constant outside them, and
-    multiplied with the reference; positions without a reference row drop out.
+    multiplied with the reference; positions without a reference row drop out, and
+    so do not even take part: a ratio is known only where the reference is.
+
     Positions are whole numbers; ``reference`` has one row per position. A group fills
-    one window partition of as many rows as there are positions between the lowest and
-    the highest, whatever the size of the data behind it.
+    one window partition of as many rows as the reference has positions, whatever the
+    size of the data behind it.
     """
-    bounds = (
-        df.select(position)
-        .union(reference.select(position))
-        .agg(F.min(position).alias("low"), F.max(position).alias("high"))
-    )
-    low, high = bounds.select("low").scalar(), bounds.select("high").scalar()
+    span = reference.agg(F.struct(F.min(position).alias("low"), F.max(position).alias("high")))
+    low, high = F.col("_span.low"), F.col("_span.high")
     grid = (
         df.select(group)
         .distinct()
+        .withColumn("_span", span.scalar())
         .filter(low.isNotNull())
         .select(group, F.explode(F.sequence(low, high)).alias(position))
     )
+    values = df.select(group, position, F.col(column).cast("double").alias("_value"))
+    along = reference.select(position, F.col(column).alias("_reference"))
+    ratio = F.try_divide(F.col("_value"), F.col("_reference").cast("double"))
 
-    known = df.join(
-        reference.select(position, F.col(column).alias("_reference")), position
-    ).select(
-        group,
-        position,
-        F.try_divide(F.col(column).cast("double"), F.col("_reference").cast("double")).alias("_ratio"),
-    )
     # Two running windows in opposite directions: a frame that looks ahead to the
     # end would be evaluated anew for every row.
     known_position = F.when(F.col("_ratio").isNotNull(), F.col(position))
     back = Window.partitionBy(group).orderBy(F.col(position).asc())
     ahead = Window.partitionBy(group).orderBy(F.col(position).desc())
     filled = (
-        grid.join(known, [group, position], "left")
+        grid.join(along, position)
+        .join(values, [group, position], "left")
+        .withColumn("_ratio", ratio)
         .withColumns(
             {
                 "_left": _latest(F.col("_ratio"), back),
@@ -89,10 +86,8 @@ def interpolate_by_reference(
         )
         .withColumn("_filled", _lerp(position))
     )
-    value = rounded_long(F.col("_filled") * F.col(column))
-    return filled.join(reference.select(position, column), position).select(
-        position, group, value.alias(column)
-    )
+    value = rounded_long(F.col("_filled") * F.col("_reference"))
+    return filled.select(position, group, value.alias(column))
 
 
 def _latest(value: Column, window: Window) -> Column:

@@ -6,11 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelstats.functions import percent
+from parcelstats.lineage import cut_lineage
 from parcelstats.operators.grid import add_decade, decade_bins, dense_counts
 from parcelstats.operators.property import parcel_dwelling_base
 from parcelstats.operators.quantiles import grouped_medians
 from parcelstats.reference_data import COUNTY
 
+DECADE = ["decade_desc", "num_years"]
 GROUP = ["region", "decade", "home_type"]
 MEASURES = [
     "decade_count",
@@ -23,8 +25,8 @@ MEASURES = [
 def home_construction_by_decade(assessments: DataFrame, dwellings: DataFrame) -> DataFrame:
     """Homes built per year and their areas, by home type, decade and region.
 
-    The parcels are read once and counted per area and group. All that follows works
-    on these counts, and after the medians on a few rows per decade.
+    The parcels are read once and counted per area and group. The medians come from
+    these counts, and all that follows from a few rows per decade.
     """
     homes = add_decade(parcel_dwelling_base(assessments.select("tmk", "tax_rate_class"), dwellings))
     cells = homes.groupBy(*GROUP, F.col("sf_of_living_area").alias("sqft_median")).agg(
@@ -33,12 +35,17 @@ def home_construction_by_decade(assessments: DataFrame, dwellings: DataFrame) ->
         F.max("year_built").alias("_last_built"),
     )
     decades = decade_bins(cells, "_first_built", "_last_built")
-    levels = grouped_medians(
+    medians = grouped_medians(
         cells, GROUP, ["sqft_median"], [GROUP, ["decade", "home_type"]], weight="_n"
-    ).withColumnRenamed("rows", "decade_count")
+    )
+    # One row per region, decade and home type, read by all of the steps below.
+    levels = cut_lineage(
+        medians.join(F.broadcast(decades), "decade", "left").withColumnRenamed("rows", "decade_count")
+    )
+    decades = levels.select("decade", *DECADE).distinct()
 
-    by_region = levels.filter(F.col("level") == 0).drop("level")
-    by_county = levels.filter(F.col("level") == 1).drop("level", "region")
+    by_region = levels.filter(F.col("level") == 0).drop("level", *DECADE)
+    by_county = levels.filter(F.col("level") == 1).drop("level", "region", *DECADE)
     all_regions = by_county.withColumnsRenamed(
         {"decade_count": "decade_count_all_regions", "sqft_median": "sqft_median_all_regions"}
     )
@@ -60,7 +67,7 @@ def home_construction_by_decade(assessments: DataFrame, dwellings: DataFrame) ->
 
 
 def _with_decades(df: DataFrame, decades: DataFrame) -> DataFrame:
-    return df.join(decades, "decade", "left").select(*GROUP, "decade_desc", "num_years", *MEASURES)
+    return df.join(decades, "decade", "left").select(*GROUP, *DECADE, *MEASURES)
 
 
 def _all_homes(rows: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelstats.lineage import cut_lineage
 from parcelstats.operators.census import county_income, tract_income, tract_population
 from parcelstats.operators.geo import add_tract_region
 from parcelstats.operators.inflation import adjust_for_inflation, deflate_to_nominal
@@ -43,13 +44,11 @@ def _county(county: DataFrame, cpi: DataFrame, base_year: int) -> DataFrame:
     )
 
 
-def _published(regions: DataFrame, county: DataFrame, order: list[str]) -> DataFrame:
+def _published(rows: DataFrame, order: list[str]) -> DataFrame:
     """Regions, then the county; Lanai only from the first year with tracts of its own."""
-    rows = regions.select(*COLUMNS, F.lit(0).alias("_block")).unionByName(
-        county.select(*COLUMNS, F.lit(1).alias("_block"))
-    )
     known = (F.col("region") != "Lanai") | (F.col("year") >= LANAI_FIRST_YEAR)
-    return rows.filter(known).orderBy("_block", *order).select(*COLUMNS)
+    is_county = F.col("region") == COUNTY
+    return rows.filter(known).orderBy(is_county, *order).select(*COLUMNS)
 
 
 def household_income(
@@ -61,11 +60,9 @@ def household_income(
 ) -> DataFrame:
     """Median household income per region and census year, and of the county."""
     regions = _regions(tracts, population, cpi, base_year)
-    return _published(
-        deflate_to_nominal(regions, cpi, INCOME, base_year),
-        _county(county, cpi, base_year),
-        ["year", "region"],
-    )
+    nominal = deflate_to_nominal(regions, cpi, INCOME, base_year).select(*COLUMNS)
+    county_years = _county(county, cpi, base_year).select(*COLUMNS)
+    return _published(nominal.unionByName(county_years), ["year", "region"])
 
 
 def household_income_interpolated(
@@ -85,12 +82,12 @@ def household_income_interpolated(
     annual = splice_series(
         annual_reference_income(state_reference), annual_reference_income(county_reference)
     )
-    reference = adjust_for_inflation(annual, cpi, INCOME, base_year).select("year", ADJUSTED)
-
-    def every_year(known: DataFrame) -> DataFrame:
-        filled = interpolate_by_reference(known, reference, ADJUSTED)
-        return deflate_to_nominal(filled, cpi, INCOME, base_year)
-
+    reference = cut_lineage(
+        adjust_for_inflation(annual, cpi, INCOME, base_year).select("year", ADJUSTED)
+    )
     regions = _regions(tracts, population, cpi, base_year)
     county_years = _county(county, cpi, base_year)
-    return _published(every_year(regions), every_year(county_years), ["region", "year"])
+    # A row per region and census year; the county is one more region to fill.
+    known = cut_lineage(regions.unionByName(county_years.select(*regions.columns)))
+    filled = interpolate_by_reference(known, reference, ADJUSTED)
+    return _published(deflate_to_nominal(filled, cpi, INCOME, base_year), ["region", "year"])
