@@ -18,6 +18,7 @@ def median_by_level(
     region: str = "region",
     period: str = "year",
     total_label: str = COUNTY,
+    few_groups: bool = False,
 ) -> DataFrame:
     """Truncated medians and ``count`` per (region, period) and per period.
 
@@ -25,7 +26,7 @@ def median_by_level(
     region stay apart from them.
     """
     levels = [[region, period], [period]]
-    medians = grouped_medians(df, [region, period], measures, levels)
+    medians = grouped_medians(df, [region, period], measures, levels, few_groups=few_groups)
     label = F.when(F.col("level") == 1, F.lit(total_label)).otherwise(F.col(region))
     return (
         medians.withColumn(region, label)
@@ -94,7 +95,7 @@ TAX_CLASS_SHARES = {
 def profile(df: DataFrame, labels: Sequence[str], label: str = "desc") -> DataFrame:
     """One row per label: size, medians, and shares of bedroom counts and tax classes.
 
-    Labels without rows keep a row of size 0. A category that does not occur has a
+    ``df`` has rows of these labels only. Labels without rows keep a row of size 0. A category that does not occur has a
     null share, not 0.
     """
     cells = (
@@ -113,7 +114,7 @@ def profile(df: DataFrame, labels: Sequence[str], label: str = "desc") -> DataFr
         *[share(F.col("bed_rooms") == n, name) for name, n in BEDROOM_SHARES.items()],
         *[share(F.col("tax_rate_class") == c, name) for name, c in TAX_CLASS_SHARES.items()],
     )
-    medians = grouped_medians(cells, [label], ["year_built", "_positive_value"], weight="_n")
+    medians = grouped_medians(cells, [label], ["year_built", "_positive_value"], weight="_n", few_groups=True)
     numbered = F.posexplode(F.array(*[F.lit(name) for name in labels]))
     wanted = df.sparkSession.range(1).select(numbered.alias("_position", label))
     return (

@@ -31,11 +31,15 @@ def _running(keys: Sequence[str], order: str) -> Window:
     return ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def _values_of_buckets(values: DataFrame, targets: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _values_of_buckets(
+    values: DataFrame, targets: DataFrame, keys: Sequence[str], few_groups: bool
+) -> DataFrame:
     """Rows of ``values`` that fall into a target bucket; null keys match each other."""
     renamed = targets.select(
         *[F.col(k).alias(f"_at_{k}") for k in keys], *[c for c in targets.columns if c not in keys]
     )
+    if few_groups:
+        renamed = F.broadcast(renamed)
     matching = F.lit(True)
     for k in keys:
         matching = matching & F.col(k).eqNullSafe(F.col(f"_at_{k}"))
@@ -48,6 +52,7 @@ def grouped_medians(
     measures: Sequence[str],
     levels: Sequence[Sequence[str]] | None = None,
     weight: str | None = None,
+    few_groups: bool = False,
 ) -> DataFrame:
     """Exact median of each measure per group, for one or several grouping levels.
 
@@ -56,6 +61,10 @@ def grouped_medians(
     size with nulls included. ``weight`` names a column of row counts for input
     that is already aggregated. Keys outside a level are null, as are null keys:
     tell them apart by ``level``.
+
+    ``few_groups`` promises that the keys bound the number of groups (regions, years).
+    The buckets to look into, at most two per group and measure, are then broadcast
+    and the values are not exchanged again.
     """
     levels = [list(level) for level in (levels or [keys])]
     count = F.sum(weight) if weight else F.count("*")
@@ -92,7 +101,7 @@ def grouped_medians(
 
     in_order = _running([*group, "_bucket"], "_value")
     middle = (
-        _values_of_buckets(values, targets, [*group, "_bucket"])
+        _values_of_buckets(values, targets, [*group, "_bucket"], few_groups)
         .withColumn("_upto", F.col("_before") + F.sum("_n").over(in_order))
         .filter((F.col("_filled") == 0) | holds_middle)
     )
@@ -124,7 +133,9 @@ def _measure_number(measures: Sequence[str]) -> Column:
     return number
 
 
-def weighted_median(df: DataFrame, keys: Sequence[str], value: str, weight: str) -> DataFrame:
+def weighted_median(
+    df: DataFrame, keys: Sequence[str], value: str, weight: str, few_groups: bool = False
+) -> DataFrame:
     """Weighted median per group: keys and ``value``.
 
     Rows ordered by value (nulls first), ties by weight, have the position
@@ -134,7 +145,7 @@ def weighted_median(df: DataFrame, keys: Sequence[str], value: str, weight: str)
 
     Positions never fall along the order. The last row of a value, its heaviest,
     therefore decides for the whole value, and the sum and maximum of the weights
-    per value are enough.
+    per value are enough. ``few_groups`` as in ``grouped_medians``.
     """
     keys = list(keys)
     values = (
@@ -172,7 +183,7 @@ def weighted_median(df: DataFrame, keys: Sequence[str], value: str, weight: str)
         F.max(F.when(F.col("_last").isNotNull(), F.col("_value"))),
     )
     return (
-        _values_of_buckets(values, targets, [*keys, "_bucket"])
+        _values_of_buckets(values, targets, [*keys, "_bucket"], few_groups)
         .withColumn("_upto", F.col("_before") + F.coalesce(F.sum("_weight").over(in_order), F.lit(0)))
         .groupBy(*keys)
         .agg(chosen.alias(value))

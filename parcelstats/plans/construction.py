@@ -36,7 +36,7 @@ def home_construction_by_decade(assessments: DataFrame, dwellings: DataFrame) ->
     )
     decades = decade_bins(cells, "_first_built", "_last_built")
     medians = grouped_medians(
-        cells, GROUP, ["sqft_median"], [GROUP, ["decade", "home_type"]], weight="_n"
+        cells, GROUP, ["sqft_median"], [GROUP, ["decade", "home_type"]], "_n", few_groups=True
     )
     # One row per region, decade and home type, read by all of the steps below.
     levels = cut_lineage(
