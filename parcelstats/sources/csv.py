@@ -42,7 +42,14 @@ def read_csv(
     line breaks in quotes, at the price of one task per file.
     """
     raw = spark.read.csv(
-        path, header=True, inferSchema=False, mode="PERMISSIVE", escape='"', multiLine=multi_line
+        path,
+        header=True,
+        inferSchema=False,
+        mode="PERMISSIVE",
+        escape='"',
+        # Stands in for a missing value, so that a quoted empty text stays a text.
+        nullValue="\0",
+        multiLine=multi_line,
     )
     return with_types(normalise_columns(raw, columns), types or {})
 
