@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,14 +16,13 @@ WHITESPACE = (
 
 
 def strip_space(value: Column) -> Column:
-    """Trim white space of every kind; ``trim`` alone would only drop blanks."""
-    return F.btrim(value, F.lit(WHITESPACE))
+    """Trim white space of every kind. Blanks go first, which is much cheaper."""
+    return F.btrim(F.trim(value), F.lit(WHITESPACE))
 
 
-def strip_field(value: Column) -> Column:
-    """Trim, drop leading zeros, and write a field without content as ``"0"``."""
-    stripped = F.ltrim(strip_space(value), F.lit("0"))
-    return F.when(stripped == "", F.lit("0")).otherwise(stripped)
+def strip_field(value: Column, strip: Callable[[Column], Column] = strip_space) -> Column:
+    """Trim and drop leading zeros; a field without content becomes empty."""
+    return F.ltrim(strip(value), F.lit("0"))
 
 
 def lenient_long(column: str) -> Column:

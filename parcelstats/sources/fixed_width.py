@@ -1,13 +1,18 @@
 """Fixed-width text extracts as DataFrames (OP-1, SRC-5..9, PIPE-1..4).
 
 Each parser takes a DataFrame with one ``value`` column of raw lines, as
-``spark.read.text`` gives it, and is a single projection: no exchange, no Python.
+``spark.read.text`` gives it, and consists of projections: no exchange, no Python.
 All fields are text; ``TYPES`` names the numeric ones for a typed table.
+
+Most lines are printable ASCII. There a character is a byte and the blank the only
+white space, so that fields are cut out of the bytes and trimmed of blanks, many
+times faster than by character. Other lines are decoded and cut by character.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,23 +67,67 @@ def decode_windows_1252(value: Column) -> Column:
     return F.translate(latin, codes, "".join(WINDOWS_1252_C1.values()))
 
 
-def _slice(line: Column, start: int, width: int | None) -> Column:
-    return F.substr(line, F.lit(start), F.lit(width)) if width else F.substr(line, F.lit(start))
+Step = Callable[[Column], Column]
 
 
-def parse_fixed_width(
-    lines: DataFrame, layout: Sequence[tuple[str, int]], column: str = "value"
+def _prepared(
+    lines: DataFrame, decode: Step, strip: Step | None = None, strip_printable: Step | None = None
 ) -> DataFrame:
-    """Cut each line into trimmed fields without leading zeros; empty fields are "0"."""
-    names = [name for name, _ in layout]
-    cuts = spans([start for _, start in layout])
-    return lines.select(
-        *[
-            strip_field(_slice(F.col(column), start, width)).alias(name)
-            for name, (start, width) in zip(names, cuts)
-        ]
+    """(special, line): whether a line is not printable ASCII, and its decoded text."""
+    raw = F.col("value")
+    last = F.octet_length(raw) - 1
+    without_return = F.substr(raw.cast("binary"), F.lit(1), last).cast("string")
+    text = decode(F.col("value"))
+    return (
+        lines.select(F.when(raw.endswith("\r"), without_return).otherwise(raw).alias("value"))
+        .select("value", F.col("value").rlike("[^ -~]").alias("special"))
+        .select(
+            "special",
+            F.when(F.col("special"), strip(text) if strip else text)
+            .otherwise(strip_printable(raw) if strip_printable else raw)
+            .alias("line"),
+        )
+    )
+
+
+def _cut_lines(
+    prepared: DataFrame,
+    names: Sequence[str],
+    starts: Sequence[int],
+    last_width: Step = F.length,
+    finish: Callable[[Step], Step] | None = None,
+) -> DataFrame:
+    """The stripped fields of each line, by characters or by bytes.
+
+    The fields of a line are steps over one array: each step sees the value of the one
+    before, where nested expressions would compute it anew for every mention, and the
+    generated code stays small enough to be compiled. ``finish`` gets the way to trim.
+    """
+    line, bytes_ = F.col("line"), F.col("bytes")
+    widths = [last_width(line) if width is None else F.lit(width) for _, width in spans(starts)]
+    places = F.array(
+        *[F.struct(F.lit(s).alias("at"), w.alias("width")) for s, w in zip(starts, widths)]
     )
 
+    def stripped(cut: Step, strip: Step) -> Column:
+        found = F.transform(places, lambda p: strip_field(cut(p), strip))
+        found = F.transform(found, lambda f: F.when(f == "", F.lit("0")).otherwise(f))
+        return F.transform(found, finish(strip)) if finish else found
+
+    by_character = stripped(lambda p: F.substr(line, p["at"], p["width"]), strip_space)
+    by_byte = stripped(lambda p: F.substr(bytes_, p["at"], p["width"]).cast("string"), F.trim)
+    return (
+        prepared.withColumn("bytes", line.cast("binary"))
+        .select(F.when(F.col("special"), by_character).otherwise(by_byte).alias("fields"))
+        .select(*[F.get("fields", F.lit(i)).alias(name) for i, name in enumerate(names)])
+    )
+
+
+def parse_fixed_width(lines: DataFrame, layout: Sequence[tuple[str, int]]) -> DataFrame:
+    """Cut each line into trimmed fields without leading zeros; empty fields are "0"."""
+    names, starts = zip(*layout)
+    return _cut_lines(_prepared(lines, lambda value: value), names, starts)
+
 
 def parse_assessments(lines: DataFrame) -> DataFrame:
     """8 fields; the tax class number becomes its label, an unknown one null."""
@@ -103,8 +152,9 @@ def parse_dwellings(lines: DataFrame) -> DataFrame:
 
 def parse_owners(lines: DataFrame) -> DataFrame:
     """11 fields in windows-1252; commas become bars."""
-    text = F.translate(decode_windows_1252(F.col("value")), ",", "|")
-    return parse_fixed_width(lines.select(text.alias("value")), fields(OWNERS))
+    names, starts = zip(*fields(OWNERS))
+    barred = lines.select(F.replace(F.col("value"), F.lit(","), F.lit("|")).alias("value"))
+    return _cut_lines(_prepared(barred, decode_windows_1252), names, starts)
 
 
 def sales_names(header: str) -> list[str]:
@@ -124,26 +174,29 @@ def parse_sales(lines: DataFrame, header: str) -> DataFrame:
     in the other files. The last field has lost its comma, the last character of the
     line, beforehand and is "0" if blank.
     """
-    text = strip_space(decode_windows_1252(F.col("value")))
-    kept = lines.select(text.alias("value")).filter(
-        (F.col("value") != "")
-        & ~F.col("value").startswith(SALES_HEADER_PREFIX)
-        & ~F.col("value").contains(SALES_FOOTER_TEXT)
-        & (F.col("value") != header.strip())
-    )
-    line = F.col("value")
-    *inner, (last_start, _) = spans(SALES_STARTS)
-    last_width = F.greatest(F.length(line) - last_start, F.lit(0))
-    cuts = [_slice(line, start, width) for start, width in inner]
-    cuts.append(F.substr(line, F.lit(last_start), last_width))
-    return kept.select(
-        *[_without_comma(strip_field(cut)).alias(n) for n, cut in zip(sales_names(header), cuts)]
+    # One pattern, because the filter moves below the projection that decodes a line
+    # and repeats it for every mention of the line.
+    dropped = [re.escape(SALES_HEADER_PREFIX), ".*" + re.escape(SALES_FOOTER_TEXT)]
+    dropped.append(re.escape(header.strip()) + "$")
+    data = "(?s)^" + "".join(f"(?!{pattern})" for pattern in dropped) + "."
+    prepared = _prepared(lines, decode_windows_1252, strip_space, F.trim)
+    kept = prepared.filter(F.col("line").rlike(data))
+    return _cut_lines(
+        kept,
+        sales_names(header),
+        SALES_STARTS,
+        last_width=lambda text: F.greatest(F.length(text) - SALES_STARTS[-1], F.lit(0)),
+        finish=_without_comma,
     )
 
 
-def _without_comma(field: Column) -> Column:
-    shorter = F.substr(field, F.lit(1), F.length(field) - 1)
-    return F.translate(strip_space(F.when(field.endswith(","), shorter).otherwise(field)), ",", "|")
+def _without_comma(strip: Step) -> Step:
+    def finish(field: Column) -> Column:
+        shorter = F.substr(field, F.lit(1), F.length(field) - 1)
+        cut = F.when(field.endswith(","), shorter).otherwise(field)
+        return F.replace(strip(cut), F.lit(","), F.lit("|"))
+
+    return finish
 
 
 def read_lines(spark: SparkSession, path: str, line_feed_only: bool = False) -> DataFrame:
