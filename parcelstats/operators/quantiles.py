@@ -9,9 +9,9 @@ holds the median, and only the values of that bucket are sorted.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 # Buckets per power of two: a bucket holds at most |v| / 5900 whole numbers, and a
@@ -26,9 +26,15 @@ def bucket_of(value: Column) -> Column:
     return F.when(F.isnan(value), F.lit(_NAN_BUCKET)).otherwise(F.floor(scaled).cast("bigint"))
 
 
-def _running(keys: Sequence[str], order: str) -> Window:
+def _frames(keys: Sequence[str], order: str) -> tuple[WindowSpec, WindowSpec, WindowSpec]:
+    """Rows up to the current one, rows before it, all rows: one sort for the three."""
     ordered = Window.partitionBy(*keys).orderBy(F.col(order).asc_nulls_first())
-    return ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    start, end = Window.unboundedPreceding, Window.unboundedFollowing
+    return (
+        ordered.rowsBetween(start, Window.currentRow),
+        ordered.rowsBetween(start, -1),
+        ordered.rowsBetween(start, end),
+    )
 
 
 def _values_of_buckets(
@@ -87,19 +93,23 @@ def grouped_medians(
     holds_middle = (F.col("_upto") >= low) & (F.col("_upto") - F.col("_n") < high)
 
     filled = F.when(F.col("_bucket").isNotNull(), F.col("_n")).otherwise(0)
-    whole = Window.partitionBy(*group)
+    so_far, _, whole = _frames(group, "_bucket")
     targets = (
         values.groupBy(*group, "_bucket")
         .agg(F.sum("_n").alias("_n"))
-        .withColumn("_rows", F.sum("_n").over(whole))
-        .withColumn("_filled", F.sum(filled).over(whole))
-        .withColumn("_upto", F.sum(filled).over(_running(group, "_bucket")))
+        .withColumns(
+            {
+                "_rows": F.sum("_n").over(whole),
+                "_filled": F.sum(filled).over(whole),
+                "_upto": F.sum(filled).over(so_far),
+            }
+        )
         .filter((F.col("_filled") == 0) | (F.col("_bucket").isNotNull() & holds_middle))
         .withColumn("_before", F.col("_upto") - filled)
         .select(*group, "_bucket", "_rows", "_filled", "_before")
     )
 
-    in_order = _running([*group, "_bucket"], "_value")
+    in_order, _, _ = _frames([*group, "_bucket"], "_value")
     middle = (
         _values_of_buckets(values, targets, [*group, "_bucket"], few_groups)
         .withColumn("_upto", F.col("_before") + F.sum("_n").over(in_order))
@@ -154,32 +164,35 @@ def weighted_median(
         .withColumn("_bucket", bucket_of(F.col("_value").cast("double")))
     )
 
-    def reached(last: str) -> Column:
-        position = F.try_divide(F.col("_upto") - F.col(last) / 2, F.col("_total"))
+    def reached(upto: Column, last: str) -> Column:
+        position = F.try_divide(upto - F.col(last) / 2, F.col("_total"))
         return F.coalesce(position >= 0.5, F.lit(False))
 
     # The weight of the last weighted row of a bucket; max_by skips a null order,
     # the null bucket has a single value.
     weighted_value = F.when(F.col("_last").isNotNull(), F.col("_value"))
     last_weight = F.coalesce(F.max_by("_last", weighted_value), F.max("_last"))
-    whole = Window.partitionBy(*keys)
-    by_bucket = _running(keys, "_bucket")
+    so_far, earlier, whole = _frames(keys, "_bucket")
+    before = F.col("_upto") - F.coalesce(F.col("_weight"), F.lit(0))
     targets = (
         values.groupBy(*keys, "_bucket")
         .agg(F.sum("_weight").alias("_weight"), last_weight.alias("_last"))
-        .withColumn("_total", F.sum("_weight").over(whole))
-        .withColumn("_upto", F.sum("_weight").over(by_bucket))
-        .withColumn("_reached", reached("_last"))
-        .withColumn("_times", F.count_if(F.col("_reached")).over(by_bucket))
-        .filter(F.col("_reached") & (F.col("_times") == 1))
-        .select(*keys, "_bucket", "_total", (F.col("_upto") - F.col("_weight")).alias("_before"))
+        .withColumns(
+            {
+                "_total": F.sum("_weight").over(whole),
+                "_upto": F.sum("_weight").over(so_far),
+                "_last_before": F.last("_last", ignorenulls=True).over(earlier),
+            }
+        )
+        .filter(reached(F.col("_upto"), "_last") & ~reached(before, "_last_before"))
+        .select(*keys, "_bucket", "_total", before.alias("_before"))
     )
 
-    in_order = _running([*keys, "_bucket"], "_value")
+    in_order, _, _ = _frames([*keys, "_bucket"], "_value")
     # Should rounding of fractional weights hide the crossing seen for the bucket,
     # its last weighted value is the one.
     chosen = F.coalesce(
-        F.min(F.when(reached("_last"), F.col("_value"))),
+        F.min(F.when(reached(F.col("_upto"), "_last"), F.col("_value"))),
         F.max(F.when(F.col("_last").isNotNull(), F.col("_value"))),
     )
     return (
