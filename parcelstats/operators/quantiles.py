@@ -4,7 +4,11 @@ Both operators work on distinct values with their weights. A first aggregate per
 value runs partly before the exchange and spreads a hot group over its values.
 The values are then counted in buckets of a fixed logarithmic scale, ordered like
 the values. A running sum over the few buckets of a group finds the bucket that
-holds the median, and only the values of that bucket are sorted.
+holds the median, and only the values of that bucket are sorted. With a ``depth``
+above 1 the bucket is divided again in the same way first, which suits values that
+lie close together for their size, such as time stamps.
+
+Values are compared as doubles: whole numbers are exact up to 2^53.
 """
 
 from __future__ import annotations
@@ -14,16 +18,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-# Buckets per power of two: a bucket holds at most |v| / 5900 whole numbers, and a
-# group of 64-bit numbers at most about 520,000 buckets.
+# Buckets per power of two, and parts of a bucket at each further depth. A bucket
+# holds at most |v| / 5900 whole numbers, and a group of 64-bit numbers at most about
+# 520,000 buckets.
 BUCKETS_PER_OCTAVE = 4096
-_NAN_BUCKET = (1 << 63) - 1
+_LAST = (1 << 63) - 1
 
 
-def bucket_of(value: Column) -> Column:
-    """Bucket number, non-decreasing in the value; null for null, NaN last."""
-    scaled = F.signum(value) * F.log2(F.abs(value) + 1) * BUCKETS_PER_OCTAVE
-    return F.when(F.isnan(value), F.lit(_NAN_BUCKET)).otherwise(F.floor(scaled).cast("bigint"))
+def buckets_of(value: Column, depth: int = 1) -> dict[str, Column]:
+    """Bucket numbers that order like the value; null for null, NaN last."""
+    place = F.signum(value) * F.log2(F.abs(value) + 1)
+    columns = {}
+    for level in range(depth):
+        place = place * BUCKETS_PER_OCTAVE
+        number = F.floor(place)
+        columns[f"_bucket{level}"] = F.when(F.isnan(value), F.lit(_LAST)).otherwise(number)
+        place = place - number
+    return columns
 
 
 def _frames(keys: Sequence[str], order: str) -> tuple[WindowSpec, WindowSpec, WindowSpec]:
@@ -59,6 +70,7 @@ def grouped_medians(
     levels: Sequence[Sequence[str]] | None = None,
     weight: str | None = None,
     few_groups: bool = False,
+    depth: int = 1,
 ) -> DataFrame:
     """Exact median of each measure per group, for one or several grouping levels.
 
@@ -83,38 +95,47 @@ def grouped_medians(
         .withColumn("_level", _level_number(keys, levels))
         .withColumn("_measure", _measure_number(measures))
         .withColumn("_value", F.coalesce(*[F.col(m).cast("double") for m in measures]))
-        .withColumn("_bucket", bucket_of(F.col("_value")))
-        .select(*keys, "_level", "_measure", "_bucket", "_value", "_n")
     )
     group = [*keys, "_level", "_measure"]
+    buckets = buckets_of(F.col("_value"), depth)
+    values = values.withColumns(buckets).select(*group, *buckets, "_value", "_n")
 
     low = F.expr("(_filled + 1) div 2")
     high = F.expr("_filled div 2 + 1")
     holds_middle = (F.col("_upto") >= low) & (F.col("_upto") - F.col("_n") < high)
 
-    filled = F.when(F.col("_bucket").isNotNull(), F.col("_n")).otherwise(0)
-    so_far, _, whole = _frames(group, "_bucket")
-    targets = (
-        values.groupBy(*group, "_bucket")
-        .agg(F.sum("_n").alias("_n"))
-        .withColumns(
-            {
-                "_rows": F.sum("_n").over(whole),
-                "_filled": F.sum(filled).over(whole),
-                "_upto": F.sum(filled).over(so_far),
-            }
+    is_filled = F.col("_bucket0").isNotNull()
+    filled = F.when(is_filled, F.col("_n")).otherwise(0)
+    holds_middle = (F.col("_filled") == 0) | (is_filled & holds_middle)
+
+    found, scope, known = values, group, ["_rows", "_filled", "_before"]
+    for bucket in buckets:
+        so_far, _, whole = _frames(scope, bucket)
+        carried = [] if scope == group else [F.max(c).alias(c) for c in known]
+        counted = found.groupBy(*scope, bucket).agg(
+            F.sum("_n").alias("_n"), *carried
         )
-        .filter((F.col("_filled") == 0) | (F.col("_bucket").isNotNull() & holds_middle))
-        .withColumn("_before", F.col("_upto") - filled)
-        .select(*group, "_bucket", "_rows", "_filled", "_before")
-    )
+        if scope == group:
+            counted = counted.withColumns(
+                {
+                    "_rows": F.sum("_n").over(whole),
+                    "_filled": F.sum(filled).over(whole),
+                    "_before": F.lit(0),
+                }
+            )
+        scope = [*scope, bucket]
+        targets = (
+            counted.withColumn("_upto", F.col("_before") + F.sum(filled).over(so_far))
+            .filter(holds_middle)
+            .withColumn("_before", F.col("_upto") - filled)
+            .select(*scope, *known)
+        )
+        found = _values_of_buckets(values, targets, scope, few_groups)
 
-    in_order, _, _ = _frames([*group, "_bucket"], "_value")
-    middle = (
-        _values_of_buckets(values, targets, [*group, "_bucket"], few_groups)
-        .withColumn("_upto", F.col("_before") + F.sum("_n").over(in_order))
-        .filter((F.col("_filled") == 0) | holds_middle)
-    )
+    in_order, _, _ = _frames(scope, "_value")
+    middle = found.withColumn(
+        "_upto", F.col("_before") + F.sum("_n").over(in_order)
+    ).filter(holds_middle)
     medians = []
     for number, measure in enumerate(measures):
         value = F.when(F.col("_measure") == number, F.col("_value"))
@@ -144,7 +165,12 @@ def _measure_number(measures: Sequence[str]) -> Column:
 
 
 def weighted_median(
-    df: DataFrame, keys: Sequence[str], value: str, weight: str, few_groups: bool = False
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    weight: str,
+    few_groups: bool = False,
+    depth: int = 1,
 ) -> DataFrame:
     """Weighted median per group: keys and ``value``.
 
@@ -158,10 +184,11 @@ def weighted_median(
     per value are enough. ``few_groups`` as in ``grouped_medians``.
     """
     keys = list(keys)
+    buckets = buckets_of(F.col("_value").cast("double"), depth)
     values = (
         df.groupBy(*keys, F.col(value).alias("_value"))
         .agg(F.sum(weight).alias("_weight"), F.max(weight).alias("_last"))
-        .withColumn("_bucket", bucket_of(F.col("_value").cast("double")))
+        .withColumns(buckets)
     )
 
     def reached(upto: Column, last: str) -> Column:
@@ -172,32 +199,43 @@ def weighted_median(
     # the null bucket has a single value.
     weighted_value = F.when(F.col("_last").isNotNull(), F.col("_value"))
     last_weight = F.coalesce(F.max_by("_last", weighted_value), F.max("_last"))
-    so_far, earlier, whole = _frames(keys, "_bucket")
     before = F.col("_upto") - F.coalesce(F.col("_weight"), F.lit(0))
-    targets = (
-        values.groupBy(*keys, "_bucket")
-        .agg(F.sum("_weight").alias("_weight"), last_weight.alias("_last"))
-        .withColumns(
-            {
-                "_total": F.sum("_weight").over(whole),
-                "_upto": F.sum("_weight").over(so_far),
-                "_last_before": F.last("_last", ignorenulls=True).over(earlier),
-            }
+    reached_here = reached(F.col("_upto"), "_last") & ~reached(before, "_last_before")
+
+    found, scope = values, keys
+    for bucket in buckets:
+        so_far, earlier, whole = _frames(scope, bucket)
+        carried = [] if scope == keys else [F.max(c).alias(c) for c in ("_total", "_before")]
+        counted = found.groupBy(*scope, bucket).agg(
+            F.sum("_weight").alias("_weight"), last_weight.alias("_last"), *carried
         )
-        .filter(reached(F.col("_upto"), "_last") & ~reached(before, "_last_before"))
-        .select(*keys, "_bucket", "_total", before.alias("_before"))
-    )
+        if scope == keys:
+            counted = counted.withColumns(
+                {"_total": F.sum("_weight").over(whole), "_before": F.lit(0)}
+            )
+        scope = [*scope, bucket]
+        targets = (
+            counted.withColumns(
+                {
+                    "_upto": F.col("_before") + F.sum("_weight").over(so_far),
+                    "_last_before": F.last("_last", ignorenulls=True).over(earlier),
+                }
+            )
+            .filter(reached_here)
+            .select(*scope, "_total", before.alias("_before"))
+        )
+        found = _values_of_buckets(values, targets, scope, few_groups)
 
-    in_order, _, _ = _frames([*keys, "_bucket"], "_value")
+    in_order, _, _ = _frames(scope, "_value")
     # Should rounding of fractional weights hide the crossing seen for the bucket,
     # its last weighted value is the one.
     chosen = F.coalesce(
         F.min(F.when(reached(F.col("_upto"), "_last"), F.col("_value"))),
         F.max(F.when(F.col("_last").isNotNull(), F.col("_value"))),
     )
+    running = F.coalesce(F.sum("_weight").over(in_order), F.lit(0))
     return (
-        _values_of_buckets(values, targets, [*keys, "_bucket"], few_groups)
-        .withColumn("_upto", F.col("_before") + F.coalesce(F.sum("_weight").over(in_order), F.lit(0)))
+        found.withColumn("_upto", F.col("_before") + running)
         .groupBy(*keys)
         .agg(chosen.alias(value))
     )

@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from parcelstats.operators.quantiles import bucket_of, grouped_medians, weighted_median
+from parcelstats.operators.quantiles import buckets_of, grouped_medians, weighted_median
 from tests.helpers import bag, plan, rows
 
 FEW = settings(
@@ -31,7 +31,8 @@ def median(values):
 @given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), NUMBERS, NUMBERS), min_size=1, max_size=40))
 def test_medians_per_level_match_brute_force(spark, data):
     df = spark.createDataFrame(data, "k string, x long, y long").withColumn("p", F.lit(1))
-    found = grouped_medians(df, ["k", "p"], ["x", "y"], [["k", "p"], ["p"]])
+    depth = len(data) % 2 + 1
+    found = grouped_medians(df, ["k", "p"], ["x", "y"], [["k", "p"], ["p"]], depth=depth)
     expected = [
         (k, 1, 0, median([r[1] for r in data if r[0] == k]), median([r[2] for r in data if r[0] == k]),
          sum(r[0] == k for r in data))
@@ -62,11 +63,24 @@ def test_buckets_follow_the_order_of_the_values(spark):
     values = [None, float("-inf"), -1e300, -12.5, -1.0, -1e-9, 0.0, 1e-9, 0.5, 1.0, 2.0, 1e18, 1e300,
               float("inf"), float("nan")]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
-    buckets = [r[0] for r in df.orderBy("i").select(bucket_of(F.col("v"))).collect()]
-    assert buckets[0] is None
+    numbers = list(buckets_of(F.col("v"), 3).values())
+    buckets = [tuple(r) for r in df.orderBy("i").select(*numbers).collect()]
+    assert buckets[0] == (None, None, None)
     assert buckets[1:] == sorted(buckets[1:])
 
 
+def test_close_large_values_are_told_apart_at_depth(spark):
+    # Microseconds of one second share a bucket; at depth 3 they do not.
+    start = 1_700_000_000_000_000
+    df = spark.range(3001).select(F.lit("k").alias("k"), (F.col("id") * 331 + start).alias("v"), F.lit(1).alias("w"))
+    numbers = buckets_of(F.col("v").cast("double"), 3)
+    counts = df.select(*[c.alias(n) for n, c in numbers.items()]).agg(F.countDistinct(*numbers)).first()[0]
+    assert counts > 20 and df.select(numbers["_bucket0"]).distinct().count() == 1
+    for depth in (1, 2, 3):
+        assert rows(grouped_medians(df, ["k"], ["v"], depth=depth), "v") == [(float(start + 1500 * 331),)]
+        assert rows(weighted_median(df, ["k"], "v", "w", depth=depth), "v") == [(start + 1500 * 331,)]
+
+
 def reference_weighted_median(data):
     """Row by row, as the rule is stated."""
     ordered = sorted(data, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or 0))
@@ -91,7 +105,8 @@ def reference_weighted_median(data):
 )
 def test_weighted_median_matches_the_row_by_row_rule(spark, data):
     df = spark.createDataFrame(data, "v long, w long").withColumn("k", F.lit(None).cast("string"))
-    assert [r[0] for r in rows(weighted_median(df, ["k"], "v", "w"), "v")] == reference_weighted_median(data)
+    found = weighted_median(df, ["k"], "v", "w", depth=len(data) % 2 + 1)
+    assert [r[0] for r in rows(found, "v")] == reference_weighted_median(data)
 
 
 def test_weighted_median_is_not_the_textbook_rule(spark):
