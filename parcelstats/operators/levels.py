@@ -95,8 +95,8 @@ TAX_CLASS_SHARES = {
 def profile(df: DataFrame, labels: Sequence[str], label: str = "desc") -> DataFrame:
     """One row per label: size, medians, and shares of bedroom counts and tax classes.
 
-    ``df`` has rows of these labels only. Labels without rows keep a row of size 0. A category that does not occur has a
-    null share, not 0.
+    ``df`` has rows of these labels only. Labels without rows keep a row of size 0. A
+    category that does not occur has a null share, not 0.
     """
     cells = (
         df.withColumn(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from parcelstats.operators.geo import add_zone_region
 from parcelstats.operators.inflation import adjust_for_inflation
-from parcelstats.operators.keys import dedupe_bundle_sales
+from parcelstats.operators.keys import dedupe_bundle_sales, valid_parcel_key
 from parcelstats.operators.levels import median_by_level
 from parcelstats.operators.property import (
     home_type,
@@ -29,7 +29,9 @@ def residential_sales(
     """
     parcels = residential_parcels(assessments).select("tmk").distinct()
     homes = parcels.join(main_dwellings(dwellings).select("tmk", "is_condo"), "tmk")
-    recorded = sale_normalise(sales)
+    # Only valid keys can match. Stated here, it makes the two uses of the hot keys alike,
+    # so that the sales are counted once.
+    recorded = valid_parcel_key(sale_normalise(sales))
     sold = join_spread(recorded, homes, "tmk", hot_keys(recorded, "tmk", hot_rows))
     return (
         add_zone_region(dedupe_bundle_sales(sold))

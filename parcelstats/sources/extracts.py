@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from parcelstats.sources.csv import read_csv
 
@@ -58,10 +57,3 @@ def read_extract(spark: SparkSession, name: str, path: str) -> DataFrame:
     types = EXTRACTS[name]
     df = read_csv(spark, path, list(types), types)
     return df.withColumnRenamed("annual", "cpi") if name == "cpi" else df
-
-
-def to_cpi(df: DataFrame) -> DataFrame:
-    """(year, cpi) from the published annual series."""
-    return df.select("year", F.col("annual").alias("cpi"))
-
-
