@@ -16,6 +16,8 @@ def local_session(cpus: int | None = None) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        # Small files are split as well, so that all cores take part.
+        .config("spark.sql.files.openCostInBytes", str(256 * 1024))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

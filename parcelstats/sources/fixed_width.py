@@ -4,15 +4,15 @@ Each parser takes a DataFrame with one ``value`` column of raw lines, as
 ``spark.read.text`` gives it, and consists of projections: no exchange, no Python.
 All fields are text; ``TYPES`` names the numeric ones for a typed table.
 
-Most lines are printable ASCII. There a character is a byte and the blank the only
-white space, so that fields are cut out of the bytes and trimmed of blanks, many
-times faster than by character. Other lines are decoded and cut by character.
+Nearly all lines are cut by bytes and trimmed of blanks, many times faster than by
+character; see ``Encoding`` for the others.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,60 +62,99 @@ def decode_windows_1252(value: Column) -> Column:
     The code page differs from ISO-8859-1 in one block only, so that no session
     setting is needed to decode it.
     """
-    latin = F.decode(value.cast("binary"), "ISO-8859-1")
     codes = "".join(map(chr, WINDOWS_1252_C1))
-    return F.translate(latin, codes, "".join(WINDOWS_1252_C1.values()))
+    return F.translate(_latin(value), codes, "".join(WINDOWS_1252_C1.values()))
+
+
+def _latin(value: Column) -> Column:
+    return F.decode(value.cast("binary"), "ISO-8859-1")
 
 
 Step = Callable[[Column], Column]
 
 
+@dataclass(frozen=True)
+class Encoding:
+    """How to read the bytes of a line.
+
+    ``special`` tells the lines that must be cut by character and trimmed of every kind
+    of white space. In all others a character is a byte and a blank the only white space.
+    """
+
+    special: Step
+    text_of_line: Step
+    text_of_bytes: Step
+
+
+UTF_8 = Encoding(
+    special=lambda line: line.rlike("[^ -~]"),
+    text_of_line=lambda line: line,
+    text_of_bytes=lambda field: field.cast("string"),
+)
+WINDOWS_1252 = Encoding(
+    special=lambda line: _latin(line).rlike("[\\t-\\r\\x1c-\\x1f\\xa0]"),
+    text_of_line=decode_windows_1252,
+    text_of_bytes=decode_windows_1252,
+)
+
+
 def _prepared(
-    lines: DataFrame, decode: Step, strip: Step | None = None, strip_printable: Step | None = None
+    lines: DataFrame, encoding: Encoding, strip: Callable[[Step], Step] = lambda trim: lambda line: line
 ) -> DataFrame:
-    """(special, line): whether a line is not printable ASCII, and its decoded text."""
+    """(special, line): the decoded text of a special line, the raw one of any other."""
     raw = F.col("value")
     last = F.octet_length(raw) - 1
     without_return = F.substr(raw.cast("binary"), F.lit(1), last).cast("string")
-    text = decode(F.col("value"))
+    special = strip(strip_space)(encoding.text_of_line(raw))
     return (
         lines.select(F.when(raw.endswith("\r"), without_return).otherwise(raw).alias("value"))
-        .select("value", F.col("value").rlike("[^ -~]").alias("special"))
+        .select("value", encoding.special(raw).alias("special"))
         .select(
             "special",
-            F.when(F.col("special"), strip(text) if strip else text)
-            .otherwise(strip_printable(raw) if strip_printable else raw)
-            .alias("line"),
+            F.when(F.col("special"), special).otherwise(strip(F.trim)(raw)).alias("line"),
         )
     )
 
 
 def _cut_lines(
     prepared: DataFrame,
+    encoding: Encoding,
     names: Sequence[str],
     starts: Sequence[int],
-    last_width: Step = F.length,
+    last_width: Step = lambda length: length,
     finish: Callable[[Step], Step] | None = None,
 ) -> DataFrame:
     """The stripped fields of each line, by characters or by bytes.
 
     The fields of a line are steps over one array: each step sees the value of the one
     before, where nested expressions would compute it anew for every mention, and the
-    generated code stays small enough to be compiled. ``finish`` gets the way to trim.
+    generated code stays small enough to be compiled. ``last_width`` gets the length of
+    the line, ``finish`` the way to trim.
     """
     line, bytes_ = F.col("line"), F.col("bytes")
-    widths = [last_width(line) if width is None else F.lit(width) for _, width in spans(starts)]
-    places = F.array(
-        *[F.struct(F.lit(s).alias("at"), w.alias("width")) for s, w in zip(starts, widths)]
-    )
 
-    def stripped(cut: Step, strip: Step) -> Column:
-        found = F.transform(places, lambda p: strip_field(cut(p), strip))
+    def stripped(cut: Step, length: Column, trim: Step) -> Column:
+        places = F.array(
+            *[
+                F.struct(
+                    F.lit(start).alias("at"),
+                    (F.lit(width) if width else last_width(length)).alias("width"),
+                )
+                for start, width in spans(starts)
+            ]
+        )
+        found = F.transform(places, lambda p: strip_field(cut(p), trim))
         found = F.transform(found, lambda f: F.when(f == "", F.lit("0")).otherwise(f))
-        return F.transform(found, finish(strip)) if finish else found
+        return F.transform(found, finish(trim)) if finish else found
 
-    by_character = stripped(lambda p: F.substr(line, p["at"], p["width"]), strip_space)
-    by_byte = stripped(lambda p: F.substr(bytes_, p["at"], p["width"]).cast("string"), F.trim)
+    by_character = stripped(
+        lambda p: F.substr(line, p["at"], p["width"]), F.length(line), strip_space
+    )
+    by_byte = stripped(
+        lambda p: encoding.text_of_bytes(F.substr(bytes_, p["at"], p["width"])),
+        F.octet_length(line),
+        F.trim,
+    )
     return (
         prepared.withColumn("bytes", line.cast("binary"))
         .select(F.when(F.col("special"), by_character).otherwise(by_byte).alias("fields"))
@@ -126,7 +165,7 @@ def _cut_lines(
 def parse_fixed_width(lines: DataFrame, layout: Sequence[tuple[str, int]]) -> DataFrame:
     """Cut each line into trimmed fields without leading zeros; empty fields are "0"."""
     names, starts = zip(*layout)
-    return _cut_lines(_prepared(lines, lambda value: value), names, starts)
+    return _cut_lines(_prepared(lines, UTF_8), UTF_8, names, starts)
 
 
 def parse_assessments(lines: DataFrame) -> DataFrame:
@@ -154,7 +193,7 @@ def parse_owners(lines: DataFrame) -> DataFrame:
     """11 fields in windows-1252; commas become bars."""
     names, starts = zip(*fields(OWNERS))
     barred = lines.select(F.replace(F.col("value"), F.lit(","), F.lit("|")).alias("value"))
-    return _cut_lines(_prepared(barred, decode_windows_1252), names, starts)
+    return _cut_lines(_prepared(barred, WINDOWS_1252), WINDOWS_1252, names, starts)
 
 
 def sales_names(header: str) -> list[str]:
@@ -179,13 +218,13 @@ def parse_sales(lines: DataFrame, header: str) -> DataFrame:
     dropped = [re.escape(SALES_HEADER_PREFIX), ".*" + re.escape(SALES_FOOTER_TEXT)]
     dropped.append(re.escape(header.strip()) + "$")
     data = "(?s)^" + "".join(f"(?!{pattern})" for pattern in dropped) + "."
-    prepared = _prepared(lines, decode_windows_1252, strip_space, F.trim)
-    kept = prepared.filter(F.col("line").rlike(data))
+    prepared = _prepared(lines, WINDOWS_1252, strip=lambda trim: trim)
     return _cut_lines(
-        kept,
+        prepared.filter(F.col("line").rlike(data)),
+        WINDOWS_1252,
         sales_names(header),
         SALES_STARTS,
-        last_width=lambda text: F.greatest(F.length(text) - SALES_STARTS[-1], F.lit(0)),
+        last_width=lambda length: F.greatest(length - SALES_STARTS[-1], F.lit(0)),
         finish=_without_comma,
     )
 

@@ -85,6 +85,14 @@ def test_owners_file_in_the_legacy_code_page(spark, tmp_path):
     ]
 
 
+def test_rare_white_space_is_trimmed_in_the_legacy_code_page(spark, tmp_path):
+    # A no-break space at the edge of a field goes, inside of it stays, as does an ellipsis.
+    owner = "\xa0é\xa0x\t".ljust(40)
+    line = "0002110010001" + owner + "…".ljust(40) + "\x1f00 y"
+    found = fw.read_owners(spark, write(tmp_path / "raw.txt", line.encode("windows-1252")))
+    assert rows(found, "owner", "owner_type", "co_mailing_address") == [("é\xa0x", "…", " y")]
+
+
 def test_every_defined_byte_of_the_code_page(spark, tmp_path):
     undefined = {0x81, 0x8D, 0x8F, 0x90, 0x9D}
     raw = bytes(b for b in range(0x21, 0x100) if b not in undefined)
