@@ -130,15 +130,17 @@ def estimate(patterns: list[str], counts: np.ndarray, rounds: int = 200) -> np.n
 
     A rule that votes does so at a rate of its own on good and on bad texts; its accuracy is how
     far these differ. An abstention says nothing. All start from the reading that a text with a
-    vote against it is likely bad. A vote against never raises the probability and a vote
+    vote against it is likely bad, and the share of texts without one stays the share of good
+    texts: where most rules abstain, votes alone do not tell it. A vote against never raises the probability and a vote
     for never lowers it, whatever else the texts differ in.
     """
     if not patterns:
         return np.zeros(0)
     votes = np.array([["+-0".index(v) for v in p] for p in patterns])
-    good = np.where((votes == 1).any(axis=1), 0.1, 0.95)
+    against = (votes == 1).any(axis=1)
+    good = np.where(against, 0.1, 0.95)
+    share = np.clip(counts[~against].sum() / counts.sum(), 0.5, 0.95)
     for _ in range(rounds):
-        share = np.clip((counts @ good + 1) / (counts.sum() + 2), 0.05, 0.99)
         odds = np.full(len(patterns), np.log(share / (1 - share)))
         for k in range(votes.shape[1]):
             rate = []
