@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelstats.llm import bpe, oracle, quality, rules
+from parcelstats.llm import bpe, language_model, oracle, quality, rules
 from parcelstats.llm.mixing import mix_sources
 from parcelstats.llm.near_texts import link_near_texts
 from parcelstats.llm.near_vectors import link_near_vectors
@@ -61,6 +61,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = language_model.score_texts(table(spark, sf_dir, "documents"))
+    return scored.withColumn("held_out", ~language_model.training_part(F.col("doc_id")))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select(
@@ -107,6 +112,7 @@ QUERIES: dict[str, Query] = {
         op3_bpe_round_trip,
         op4_quality_classifier,
         op5_toxicity,
+        op6_language_model,
         op8_mix_sources,
         op9_secret_scan,
         op10_quality_rules,
