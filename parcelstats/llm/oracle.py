@@ -1,5 +1,9 @@
 """DuckDB SQL for the queries of this package that SQL can express."""
 
+from parcelstats.llm.licenses import TEMPLATES
+
+_TEMPLATES = ", ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(TEMPLATES))
+
 OP8 = r"""
 WITH sized AS (
   SELECT doc_id, source,
@@ -37,3 +41,52 @@ SELECT doc_id, size, source_size, target,
        (size * (floor(place * expected + start) - floor((place - 1) * expected + start)))::BIGINT AS taken
 FROM placed
 """
+
+OP7 = r"""
+WITH templates(template, license, sentence) AS (VALUES TEMPLATE_ROWS),
+tt AS (
+  SELECT template, license, term, count(*) AS tf FROM (
+    SELECT template, license, unnest(regexp_extract_all(lower(sentence), '[a-z]+|[0-9]+(?:\.[0-9]+)*')) AS term
+    FROM templates) GROUP BY ALL
+), idf AS (
+  SELECT term, ln((1.0 + (SELECT count(*) FROM templates)) / (1.0 + count(*))) + 1.0 AS idf FROM tt GROUP BY term
+), tv AS (
+  SELECT template, license, term, tf * idf AS w FROM tt JOIN idf USING (term)
+), tl AS (
+  SELECT template, sqrt(sum(w * w)) AS len FROM tv GROUP BY template
+), files AS (
+  SELECT doc_id, text, source || '/' || lang || '/' || (doc_id // 100) AS dir FROM documents
+), sentences AS (
+  SELECT doc_id, generate_subscripts(parts, 1) AS place, unnest(parts) AS sentence FROM (
+    SELECT doc_id, string_split(regexp_replace(text, '([.!?])[ \t\r\x0b\f]+', '\1
+', 'g'), chr(10)) AS parts FROM files)
+), terms AS (
+  SELECT doc_id, place, term, count(*) AS tf FROM (
+    SELECT doc_id, place, unnest(regexp_extract_all(lower(sentence), '[a-z]+|[0-9]+(?:\.[0-9]+)*')) AS term
+    FROM sentences
+    WHERE regexp_matches(sentence, '(?i)licen[sc]|\bCC BY|SPDX|all rights reserved')) GROUP BY ALL
+), weighted AS (
+  SELECT doc_id, place, term,
+         tf * coalesce(idf, ln(1.0 + (SELECT count(*) FROM templates)) + 1.0) AS w
+  FROM terms LEFT JOIN idf USING (term)
+), lengths AS (
+  SELECT doc_id, place, sqrt(sum(w * w)) AS len FROM weighted GROUP BY ALL
+), dots AS (
+  SELECT x.doc_id, x.place, v.template, v.license, sum(x.w * v.w / l.len) AS dot
+  FROM weighted x JOIN tv v USING (term) JOIN tl l USING (template) GROUP BY ALL
+), cosines AS (
+  SELECT doc_id, license, round(dot / len, 6) AS cosine FROM dots JOIN lengths USING (doc_id, place)
+), own AS (
+  SELECT doc_id, license, cosine FROM cosines WHERE cosine >= 0.6
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, license) = 1
+), declared AS (
+  SELECT dir, license, cosine FROM files JOIN own USING (doc_id)
+  WHERE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) <= 60
+  QUALIFY row_number() OVER (PARTITION BY dir ORDER BY cosine DESC, dir || '/' || doc_id) = 1
+)
+SELECT f.doc_id,
+       coalesce(o.license, d.license) AS license,
+       coalesce(o.cosine, d.cosine) AS license_cosine,
+       CASE WHEN o.license IS NOT NULL THEN 'notice' WHEN d.license IS NOT NULL THEN 'directory' END AS license_from
+FROM files f LEFT JOIN own o USING (doc_id) LEFT JOIN declared d ON d.dir = f.dir
+""".replace("TEMPLATE_ROWS", _TEMPLATES)

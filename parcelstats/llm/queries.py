@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelstats.llm import bpe, language_model, oracle, quality, rules
+from parcelstats.llm.licenses import scan_licenses
 from parcelstats.llm.mixing import mix_sources
 from parcelstats.llm.near_texts import link_near_texts
 from parcelstats.llm.near_vectors import link_near_vectors
@@ -66,6 +67,14 @@ def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("held_out", ~language_model.training_part(F.col("doc_id")))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents stand in a folder per source, language and hundred of ids."""
+    group = F.expr("cast(doc_id div 100 as string)")
+    path = F.concat_ws("/", "source", "lang", group, F.col("doc_id").cast("string"))
+    files = table(spark, sf_dir, "documents").select("doc_id", "text", path.alias("path"))
+    return scan_licenses(files).select("doc_id", "license", "license_cosine", "license_from")
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select(
@@ -113,9 +122,10 @@ QUERIES: dict[str, Query] = {
         op4_quality_classifier,
         op5_toxicity,
         op6_language_model,
+        op7_license_scan,
         op8_mix_sources,
         op9_secret_scan,
         op10_quality_rules,
     )
 }
-ORACLE_SQL: dict[str, str] = {"op8_mix_sources": oracle.OP8}
+ORACLE_SQL: dict[str, str] = {"op7_license_scan": oracle.OP7, "op8_mix_sources": oracle.OP8}
