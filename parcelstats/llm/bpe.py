@@ -18,6 +18,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from parcelstats.llm.words import blocks, mix, powers
 
@@ -478,5 +479,4 @@ def decode(tokens: DataFrame, ids: str = "ids", to: str = "decoded", path: str |
             arrays = [*batch.columns, pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, to])
 
-    schema = tokens.schema.add(to, "string")
-    return tokens.mapInArrow(run, schema)
+    return tokens.mapInArrow(run, StructType([*tokens.schema.fields, StructField(to, StringType())]))
