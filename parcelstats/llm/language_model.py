@@ -39,7 +39,7 @@ CONTEXT_BITS = 40
 END = np.uint64(0x2545F4914F6CDD1D)
 BEGIN = np.uint64(0x9E6C63D0876A9A47)
 # Codes of probabilities: logarithms to the base 10 from LOWEST on, in steps of STEP.
-LOWEST, STEP = -20.0, 36.0 / 65535
+LOWEST, STEP = -14.0, 28.0 / 65535
 
 
 class EliasFano:
@@ -48,32 +48,29 @@ class EliasFano:
     def __init__(self, values: np.ndarray):
         n = len(values)
         top = int(values[-1]) if n else 0
-        self.n, self.low_bits = n, max((max(top, 1) // max(n, 1)).bit_length() - 1, 0)
+        # A low part must fit a read of eight bytes that starts at any bit of a byte.
+        room = max((max(top, 1) // max(n, 1)).bit_length() - 1, 0)
+        self.n, self.low_bits = n, min(room, 56)
         shift = np.uint64(self.low_bits)
         high = (values >> shift).astype(np.int64)
         unary = np.zeros(n + (top >> self.low_bits) + 2, dtype=bool)
         unary[high + np.arange(n)] = True
         planes = np.arange(self.low_bits, dtype=np.uint64)
         low = ((values[:, None] >> planes) & np.uint64(1)).astype(bool)
-        self._map(np.packbits(unary), np.packbits(low.reshape(-1)))
+        packed = np.packbits(unary), np.packbits(low.reshape(-1), bitorder="little")
+        buffer = mmap.mmap(-1, len(packed[0]) + len(packed[1]) + 8)
+        buffer.write(packed[0].tobytes() + packed[1].tobytes() + bytes(8))
+        self.unary = np.frombuffer(buffer, np.uint8, len(packed[0]))
+        #: Eight bytes from every byte of the low bits on.
+        self.low = np.ndarray(len(packed[1]) + 1, np.uint64, buffer, len(packed[0]), (1,))
         zeros = np.flatnonzero(~np.unpackbits(self.unary, count=len(unary)).astype(bool))
         #: Where the numbers with each high part begin.
         self.begins = np.concatenate([[0], zeros - np.arange(len(zeros))])
 
-    def _map(self, unary: np.ndarray, low: np.ndarray) -> None:
-        buffer = mmap.mmap(-1, max(len(unary) + len(low), 1))
-        buffer.write(unary.tobytes() + low.tobytes())
-        self.unary = np.frombuffer(buffer, np.uint8, len(unary))
-        self.low = np.frombuffer(buffer, np.uint8, len(low), len(unary))
-
     def lows(self, at: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(at), np.uint64)
         first = at * self.low_bits
-        for k in range(self.low_bits):
-            place = first + k
-            bit = (self.low[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1
-            out |= bit.astype(np.uint64) << np.uint64(k)
-        return out
+        read = self.low[first >> 3] >> (first & 7).astype(np.uint64)
+        return read & np.uint64((1 << self.low_bits) - 1)
 
     def find(self, keys: np.ndarray, start: np.ndarray | None = None, end: np.ndarray | None = None) -> np.ndarray:
         """Place of each key, -1 where it is missing, by the first number that is not less.
@@ -91,13 +88,18 @@ class EliasFano:
             at, stop = np.maximum(at, start), np.minimum(stop, end)
         rows = np.flatnonzero((at < stop) & ((keys >> shift).astype(np.int64) == high))
         at, stop, low = at[rows], stop[rows], low[rows]
-        while len(rows):
-            own = self.lows(at)
-            hit = own == low
-            out[rows[hit]] = at[hit]
-            at = at + 1
-            go = (own < low) & (at < stop)
-            rows, at, stop, low = rows[go], at[go], stop[go], low[go]
+        last = stop.copy()
+        while True:  # halve what is left of each stretch until its first number not below is found
+            go = np.flatnonzero(at < stop)
+            if not len(go):
+                break
+            middle = (at[go] + stop[go]) >> 1
+            below = self.lows(middle) < low[go]
+            at[go] = np.where(below, middle + 1, at[go])
+            stop[go] = np.where(below, stop[go], middle)
+        inside = np.flatnonzero(at < last)
+        hit = inside[self.lows(at[inside]) == low[inside]]
+        out[rows[hit]] = at[hit]
         return out
 
     def get(self, at: np.ndarray) -> np.ndarray:
@@ -117,44 +119,55 @@ def decoded(codes: np.ndarray) -> np.ndarray:
 class Trie:
     """Words of a shard with their contexts; built from training tokens (word, context)."""
 
-    def __init__(self, words: np.ndarray, contexts: np.ndarray, totals: dict[int, int], n: int, v: int, mu: float):
-        order = np.lexsort((contexts, words))
-        words, contexts = words[order], contexts[order]
-        new = np.ones(len(words), dtype=bool)
-        new[1:] = words[1:] != words[:-1]
-        begins = np.flatnonzero(new)
-        own = words[begins]
-        pair = new.copy()
-        pair[1:] |= contexts[1:] != contexts[:-1]
+    def __init__(
+        self, words: np.ndarray, number: np.ndarray, contexts: np.ndarray,
+        totals: dict[int, int], n: int, v: int, mu: float,
+    ):
+        """``number`` gives the place of each token's word among the distinct ``words``."""
+        keys = np.sort((number.astype(np.uint64) << np.uint64(CONTEXT_BITS)) | contexts)
+        pair = np.ones(len(keys), dtype=bool)
+        pair[1:] = keys[1:] != keys[:-1]
         pairs = np.flatnonzero(pair)
-        number = np.cumsum(new) - 1
-        self.words = EliasFano(own)
-        counts = np.diff(np.append(begins, len(words)))
+        seen = np.diff(np.append(pairs, len(keys)))
+        owner = (keys[pairs] >> np.uint64(CONTEXT_BITS)).astype(np.int64)
+        counts = np.bincount(number, minlength=len(words))
+        used = np.flatnonzero(counts)
+        place = np.cumsum(counts > 0) - 1
+        owner = place[owner]
+        self.words = EliasFano(words[used])
         self.counts = np.array(
-            [totals.get(w, c) for w, c in zip(own.tolist(), counts.tolist(), strict=True)], np.int64
+            [totals.get(w, c) for w, c in zip(words[used].tolist(), counts[used].tolist(), strict=True)], np.int64
         )
-        self.pointers = EliasFano(np.append(np.cumsum(pair)[begins] - 1, len(pairs)).astype(np.uint64))
-        keys = (number[pairs].astype(np.uint64) << np.uint64(CONTEXT_BITS)) | contexts[pairs]
-        self.contexts = EliasFano(keys)
+        begins = np.searchsorted(owner, np.arange(len(used) + 1))
+        self.pointers = EliasFano(begins.astype(np.uint64))
+        own = keys[pairs] & np.uint64((1 << CONTEXT_BITS) - 1)
+        self.contexts = EliasFano((owner.astype(np.uint64) << np.uint64(CONTEXT_BITS)) | own)
         unigram = np.log10((self.counts + ADDED) / (n + ADDED * (v + 1)))
         self.unseen = coded(unigram + np.log10(mu))
-        seen = np.diff(np.append(pairs, len(words)))
-        self.seen = coded(np.log10(seen + mu * 10.0 ** unigram[number[pairs]]))
+        self.seen = coded(np.log10(seen + mu * 10.0 ** unigram[owner]))
         self.unknown = coded(np.log10(mu * ADDED / (n + ADDED * (v + 1))))
 
-    def look_up(self, words: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(training count of each word, code of log10(c(h, w) + mu * P(w)))."""
-        word = self.words.find(words)
-        known = np.flatnonzero(word >= 0)
+    def look_up(
+        self, words: np.ndarray, number: np.ndarray, contexts: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """(training count of each of ``words``, code of log10(c(h, w) + mu * P(w)) per token).
+
+        Tokens are given as the number of their word and their context.
+        """
+        at = self.words.find(words)
+        known = at >= 0
         counts = np.zeros(len(words), np.int64)
-        codes = np.full(len(words), self.unknown, np.uint16)
-        at = word[known]
-        counts[known] = self.counts[at]
-        start = self.pointers.get(at).astype(np.int64)
-        end = self.pointers.get(at + 1).astype(np.int64)
-        keys = (at.astype(np.uint64) << np.uint64(CONTEXT_BITS)) | contexts[known]
-        place = self.contexts.find(keys, start, end)
-        codes[known] = np.where(place >= 0, self.seen[np.maximum(place, 0)], self.unseen[at])
+        counts[known] = self.counts[at[known]]
+        start, end = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        start[known] = self.pointers.get(at[known]).astype(np.int64)
+        end[known] = self.pointers.get(at[known] + 1).astype(np.int64)
+        unseen = np.full(len(words), self.unknown, np.uint16)
+        unseen[known] = self.unseen[at[known]]
+        keys = (np.maximum(at, 0).astype(np.uint64)[number] << np.uint64(CONTEXT_BITS)) | contexts
+        place = self.contexts.find(keys, start[number], end[number])
+        codes = unseen[number]
+        found = place >= 0
+        codes[found] = self.seen[place[found]]
         return counts, codes
 
 
@@ -206,10 +219,11 @@ def _requests(hot: np.ndarray, n_shards: int):
 
     def emit(unit: int, parts: list[tuple], ids: list[pa.Array]) -> pa.RecordBatch:
         word, before, text = (np.concatenate(x) for x in zip(*parts, strict=True))
-        spread = np.isin(word, hot)
+        spread = hot[np.minimum(np.searchsorted(hot, word), len(hot) - 1)] == word
         key = np.where(spread, word ^ (before * np.uint64(0xD6E8FEB86659FD93)), word)
-        shard = ((key >> np.uint64(20)) % np.uint64(n_shards)).astype(np.int64)
-        order = np.lexsort((word, shard))
+        shard = (key % np.uint64(n_shards)).astype(np.int64)
+        # Words that agree in their upper bits may mix, which costs a run more.
+        order = np.argsort((shard.astype(np.uint64) << np.uint64(44)) | (word >> np.uint64(20)))
         word, before, text, shard = word[order], before[order], text[order], shard[order]
         new = np.ones(len(word), dtype=bool)
         new[1:] = (word[1:] != word[:-1]) | (shard[1:] != shard[:-1])
@@ -290,21 +304,23 @@ def _replies(hot: dict[int, int], n: int, v: int, mu: float):
             low = np.frombuffer(packed, np.uint32, len(text)).astype(np.uint64)
             high = np.frombuffer(packed, np.uint8, len(text), 4 * len(text)).astype(np.uint64)
             contexts.append(low | (high << np.uint64(32)))
-        word = np.concatenate([np.repeat(w, r) for w, r in zip(words, runs, strict=True)])
+        distinct, of_run = np.unique(np.concatenate(words), return_inverse=True)
+        number = np.repeat(of_run, np.concatenate(runs))
         context, text = np.concatenate(contexts), np.concatenate(texts)
         train = text >> np.uint16(15) != 0
-        trie = Trie(word[train], context[train], hot, n, v, mu)
-        counts, codes = trie.look_up(word, context)
+        trie = Trie(distinct, number[train], context[train], hot, n, v, mu)
+        counts, codes = trie.look_up(distinct, number, context)
+        counts = counts[of_run]
+        n_runs = np.cumsum([0, *map(len, runs)])
         sizes = [len(t) for t in texts]
         ends = np.cumsum(sizes)
         columns: list[list] = [[], [], [], []]
         for k, end in enumerate(ends):
             own = slice(end - sizes[k], end)
-            first = np.cumsum(runs[k]) - runs[k]
             columns[0].append(_planes(texts[k]))
             columns[1].append(_planes(codes[own]))
             columns[2].append(raw["runs"][k])
-            columns[3].append(_planes(counts[own][first]))
+            columns[3].append(_planes(counts[n_runs[k] : n_runs[k + 1]]))
         return pa.table(
             [group.column("shard"), group.column("unit"), *(pa.array(c, pa.binary()) for c in columns)],
             names=["shard", "unit", "texts", "codes", "runs", "counts"],

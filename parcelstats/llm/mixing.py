@@ -84,7 +84,7 @@ def mix_sources(
     sized = docs.withColumn("mix_size", word_count(F.col(text))).withColumns(
         {"_place": _place(F.col("mix_size")), "_order": F.coalesce(F.md5(F.col(id).cast("string")), F.lit("g"))}
     )
-    sized = sized.withColumns({"_part": F.substring("_order", 1, 2), "_source": F.col(source)})
+    sized = sized.withColumns({"_part": F.substring("_order", 1, 2), "_source": F.col(source), "_tie": F.xxhash64(text)})
     cells = sized.groupBy("_source", "_place", "_part").agg(
         F.count("*").alias("_n"), F.sum("mix_size").alias("_size")
     )
@@ -111,13 +111,13 @@ def mix_sources(
         & (sized["_place"] == starts["_p"])
         & (sized["_part"] == starts["_q"]),
     )
-    rank = Window.partitionBy("_source", "_place", "_part").orderBy("_order", F.xxhash64(text))
+    rank = Window.partitionBy("_source", "_place", "_part").orderBy("_order", "_tie")
     expected = F.when(F.col("mix_source_size") > 0, F.col("mix_target") / F.col("mix_source_size")).otherwise(0.0)
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed + "/"), F.coalesce("_source", F.lit("")))), 1, 8), 16, 10).cast("double") / float(1 << 32)
     position = F.col("_before") + F.row_number().over(rank)
     crossed = F.floor(position * expected + offset) - F.floor((position - 1) * expected + offset)
     return placed.withColumn("mix_copies", crossed.cast("long")).drop(
-        "_place", "_order", "_part", "_source", "_s", "_p", "_q", "_before"
+        "_place", "_order", "_part", "_source", "_s", "_p", "_q", "_before", "_tie"
     )
 
 

@@ -29,8 +29,8 @@ MANTISSA_BITS = 10
 #: with a probability of (1 - 0.75**4)**32, about 5 in a million.
 BAND = 4
 BANDS = REGISTERS // BAND
-#: Pairs with an estimate this far below the threshold are dropped; six standard errors.
-MARGIN = 0.23
+#: Pairs with an estimate this far below the threshold are dropped; over four standard errors.
+MARGIN = 0.16
 #: Members of a list compared in one go when a list holds texts of several components.
 BLOCK = 1024
 SEED = 7
@@ -197,6 +197,40 @@ def _likely_across(threshold: float):
     return run
 
 
+def _likely_stars(threshold: float):
+    """Within each list the member nearest to all, with the others that come near it.
+
+    Copies of one text are mostly nearer to it than to each other. The text agrees most with
+    the commonest register of every place.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, edges in whole_groups(batches, ["band", "low", "high"]):
+            node, component, count = (
+                table.column(c).to_numpy() for c in ("node", "component", "n_shingles")
+            )
+            sketch = _sketches(table.column("sketch"))
+            for start, end in zip(edges[:-1], edges[1:], strict=True):
+                own = np.sort(sketch[start:end], axis=0)
+                new = np.ones(own.shape, dtype=bool)
+                new[1:] = own[1:] != own[:-1]
+                first = np.where(new, np.arange(len(own))[:, None], 0)
+                length = np.arange(len(own))[:, None] - np.maximum.accumulate(first, axis=0)
+                common = own[np.argmax(length, axis=0), np.arange(REGISTERS)]
+                centre = start + int(np.argmax((sketch[start:end] == common).sum(axis=1)))
+                j = np.arange(start, end)
+                j = j[component[j] != component[centre]]
+                i = np.full(len(j), centre)
+                keep = estimate(sketch[i], sketch[j], count[i], count[j]) >= threshold - MARGIN
+                i, j = i[keep], j[keep]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.minimum(node[i], node[j])), pa.array(np.maximum(node[i], node[j]))],
+                    names=["a", "b"],
+                )
+
+    return run
+
+
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -287,34 +321,20 @@ def link_near_texts(
         )
     )
     links = _verify(likely, rows, one, size, percent)
-    reach = settle(components(links))
-    # Lists that hold several components: their members are compared across components.
-    placed = lists.join(reach, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = (
-        placed.groupBy("band")
-        .agg(F.min("component").alias("first"), F.max("component").alias("last"), F.count("*").alias("n"))
-        .filter("first <> last and n > 2")
-        .select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("n_blocks"))
-    )
-    spread = (
-        placed.join(mixed, "band")
-        .join(short, "node")
-        .withColumn("block", F.pmod("node", "n_blocks").cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-        .withColumn("low", F.least("block", "other"))
-        .withColumn("high", F.greatest("block", "other"))
-        .select("band", "low", "high", "block", "node", "component", "n_shingles", "sketch")
-    )
-    keys = ["band", "low", "high"]
-    across = (
-        spread.repartition(*keys)
-        .sortWithinPartitions(*keys)
-        .mapInArrow(_likely_across(threshold), "a long, b long")
-        .distinct()
-        .join(likely, ["a", "b"], "left_anti")
-    )
-    more = _verify(settle(across), rows, one, size, percent)
-    reach = components(links.union(more))
+    # Lists that hold several components are compared again: first with the member in their
+    # middle, then, where components are left, member by member across components.
+    tested = likely
+    for compare in (_likely_stars, _likely_across):
+        reach = settle(components(links))
+        more = settle(
+            _mixed_lists(lists, reach, short)
+            .mapInArrow(compare(threshold), "a long, b long")
+            .distinct()
+            .join(tested, ["a", "b"], "left_anti")
+        )
+        tested = tested.union(more)
+        links = settle(links.union(_verify(more, rows, one, size, percent)))
+    reach = components(links)
     named_classes = one.select("node", "smallest", "members").join(reach, "node", "left")
     named_classes = settle(
         named_classes.filter("component is not null or members > 1").withColumn(
@@ -337,6 +357,29 @@ def link_near_texts(
     )
 
 
+def _mixed_lists(lists: DataFrame, reach: DataFrame, short: DataFrame) -> DataFrame:
+    """Members of lists with several components, by list and pair of its blocks, in order."""
+    placed = lists.join(reach, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = (
+        placed.groupBy("band")
+        .agg(F.min("component").alias("first"), F.max("component").alias("last"), F.count("*").alias("n"))
+        .filter("first <> last and n > 2")
+        .select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("n_blocks"))
+    )
+    keys = ["band", "low", "high"]
+    return (
+        placed.join(mixed, "band")
+        .join(short, "node")
+        .withColumn("block", F.pmod("node", "n_blocks").cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
+        .withColumn("low", F.least("block", "other"))
+        .withColumn("high", F.greatest("block", "other"))
+        .select(*keys, "block", "node", "component", "n_shingles", "sketch")
+        .repartition(*keys)
+        .sortWithinPartitions(*keys)
+    )
+
+
 def _with_both(pairs: DataFrame, values: DataFrame, *columns: str) -> DataFrame:
     """Pairs (a, b) with the named columns of both ends, those of a first."""
     left = values.select(F.col("node").alias("a"), *(F.col(c).alias(f"{c}_a") for c in columns))
