@@ -12,10 +12,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
     For results of a few rows whose plan is large: every further use would otherwise
     repeat that plan. Checkpoints go to the shared folder of the session and survive
-    the loss of executors; a local folder is set only where the session names none.
+    the loss of executors. Only a session on one machine (``local[...]``) may go without one.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if shared is None and not context.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="parcelstats-"))
     return df.checkpoint()

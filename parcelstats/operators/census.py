@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelstats.operators.inflation import FIRST_YEAR, LAST_YEAR
 from parcelstats.operators.series import normalise_year_ranges
-from parcelstats.reference_data import COUNTY, REGIONS, STATE
+from parcelstats.reference_data import COUNTY, STATE
 
 INCOME_CODE = "b79aa"
 POPULATION_CODE = "av0aa"
@@ -53,15 +52,13 @@ def tract_population(df: DataFrame, state: str = STATE) -> DataFrame:
 
 
 def regional_income(income: DataFrame, columns: list[str]) -> DataFrame:
-    """Income rows of the known regions and the county, one per region and year.
+    """Income rows, one per region and year, whatever the labels of the regions.
 
-    At most eight regions times ``LAST_YEAR - FIRST_YEAR + 1`` years: safe to broadcast.
     A second row for a region and year fails the query instead of repeating sales.
     """
     message = F.concat_ws(" ", F.lit("more than one income row for"), "region", "year")
     return (
-        income.filter(F.col("region").isin([*REGIONS, COUNTY]))
-        .filter(F.col("year").between(FIRST_YEAR, LAST_YEAR))
+        income.filter(F.col("region").isNotNull() & F.col("year").isNotNull())
         .groupBy("region", "year")
         .agg(
             *[

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelstats.reference_data import FIRST_BUILT_YEAR, LAST_BUILT_YEAR
 
-MAX_DOMAIN = 100_000
+#: Values of a dimension that are attached to a row at once.
+BLOCK = 10_000
 
 
 def dense_counts(counts: DataFrame, dims: Sequence[str], count: str) -> DataFrame:
@@ -17,27 +18,30 @@ def dense_counts(counts: DataFrame, dims: Sequence[str], count: str) -> DataFram
 
     ``counts`` is already aggregated to one row per combination. The first dimension
     may have any number of values: it stays distributed, and the value lists of the
-    others are attached to each of its rows. These must hold at most ``MAX_DOMAIN``
-    values each, more fail the query. A null value takes part in the grid but matches
+    others are attached to each of its rows in blocks of about ``BLOCK``, each an array
+    that a row finds by the block's number. A null value takes part in the grid but matches
     no count. Other columns stay null for missing combinations.
     """
     first, *others = dims
     grid = counts.select(first).distinct()
     for dim in others:
-        grid = grid.withColumn(f"_{dim}", F.explode(_domain(counts, dim)))
+        domain = counts.select(dim).distinct()
+        n_blocks = domain.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / BLOCK).cast("int"))).scalar()
+        number = F.pmod(F.xxhash64(dim), n_blocks.cast("bigint")).cast("int").alias("_block")
+        blocks = domain.select(number, F.struct(dim).alias("_value")).groupBy("_block").agg(
+            F.collect_set("_value").alias("_values")
+        )
+        grid = (
+            grid.withColumn("_block", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
+            .join(blocks, "_block")
+            .withColumn(f"_{dim}", F.explode("_values"))
+            .drop("_block", "_values")
+        )
     grid = grid.select(first, *[F.col(f"_{dim}.{dim}").alias(dim) for dim in others])
     filled = F.coalesce(F.col(count), F.lit(0).cast("bigint"))
     return grid.join(counts, list(dims), "left").withColumn(count, filled)
 
 
-def _domain(counts: DataFrame, dim: str) -> Column:
-    """The values of a dimension as one array. The limit is one above what is allowed."""
-    values = F.collect_set(F.struct(dim))
-    too_many = F.raise_error(F.lit(f"more than {MAX_DOMAIN} values of {dim}"))
-    checked = F.when(F.count("*") <= MAX_DOMAIN, values).otherwise(too_many)
-    return counts.select(dim).distinct().limit(MAX_DOMAIN + 1).agg(checked).scalar()
-
-
 def add_decade(
     df: DataFrame,
     year: str = "year_built",

@@ -1,45 +1,39 @@
-"""Inflation adjustment and its inverse (OP-5, OP-5b) and the bounded annual series."""
+"""Inflation adjustment and its inverse (OP-5, OP-5b) and annual series."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelstats.functions import rounded_long
 
-FIRST_YEAR, LAST_YEAR = 1500, 2500
-
 
 def annual_series(df: DataFrame, value: str, year: str = "year") -> DataFrame:
-    """(year, value) with one row per year, at most ``LAST_YEAR - FIRST_YEAR + 1`` rows.
+    """(year, value) with one row per year, whatever the year.
 
-    The bound makes the result safe to broadcast whatever the input holds. A year
-    with two rows fails the query instead of multiplying the rows joined to it.
+    A year with two rows fails the query instead of multiplying the rows joined to it.
     """
     message = F.concat(F.lit("more than one row for year "), F.col(year).cast("string"))
     single = F.when(F.count("*") == 1, F.max(value)).otherwise(F.raise_error(message))
     return (
         df.select(F.col(year).try_cast("bigint").alias(year), value)
-        .filter(F.col(year).between(FIRST_YEAR, LAST_YEAR))
+        .filter(F.col(year).isNotNull())
         .groupBy(year)
         .agg(single.alias(value))
     )
 
 
 def price_index(cpi: DataFrame, base_year: int) -> DataFrame:
-    """(year, cpi, base_cpi), small enough to broadcast; fails without the base year.
-
-    The window over all rows sees no more than the years of ``annual_series``.
-    """
+    """(year, cpi, base_cpi); fails without the base year."""
     series = annual_series(cpi.select("year", F.col("cpi").cast("double").alias("cpi")), "cpi")
-    base = F.max(F.when(F.col("year") == base_year, F.col("cpi"))).over(Window.partitionBy())
+    base = series.filter(F.col("year") == base_year).agg(F.max("cpi")).scalar()
     missing = F.raise_error(F.lit(f"no cpi for base year {base_year}"))
     return series.select("year", "cpi", F.coalesce(base, missing).alias("base_cpi"))
 
 
 def _with_cpi(df: DataFrame, cpi: DataFrame, base_year: int) -> DataFrame:
     dated = df.withColumn("year", F.col("year").cast("bigint"))
-    return dated.join(F.broadcast(price_index(cpi, base_year)), "year", "left")
+    return dated.join(price_index(cpi, base_year), "year", "left")
 
 
 def adjust_for_inflation(

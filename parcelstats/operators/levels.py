@@ -56,7 +56,7 @@ def affordable_share(
         "region", "year", (F.col("median_household_income") * ratio).alias("affordability_thresh")
     )
     by_region = (
-        sales.join(F.broadcast(thresholds), ["region", "year"])
+        sales.join(thresholds, ["region", "year"])
         .groupBy("home_type", "region", "year")
         .agg(
             F.max("affordability_thresh").alias("affordability_thresh"),

@@ -8,12 +8,7 @@ from pyspark.sql import functions as F
 from parcelstats.lineage import cut_lineage
 from parcelstats.operators.census import county_income, tract_income, tract_population
 from parcelstats.operators.geo import add_tract_region
-from parcelstats.operators.inflation import (
-    FIRST_YEAR,
-    LAST_YEAR,
-    adjust_for_inflation,
-    deflate_to_nominal,
-)
+from parcelstats.operators.inflation import adjust_for_inflation, deflate_to_nominal
 from parcelstats.operators.quantiles import weighted_median
 from parcelstats.operators.series import (
     annual_reference_income,
@@ -39,8 +34,8 @@ def _regions(tracts: DataFrame, population: DataFrame, cpi: DataFrame, base_year
     """
     weighted = tract_income(tracts).join(tract_population(population), ["year", "tracta"], "left")
     adjusted = adjust_for_inflation(add_tract_region(weighted), cpi, INCOME, base_year)
-    known = adjusted.filter(F.col("year").between(FIRST_YEAR, LAST_YEAR))
-    return weighted_median(known, ["year", "region"], ADJUSTED, "persons_total", few_groups=True)
+    known = adjusted.filter(F.col("year").isNotNull())
+    return weighted_median(known, ["year", "region"], ADJUSTED, "persons_total")
 
 
 def _county(county: DataFrame, cpi: DataFrame, base_year: int) -> DataFrame:

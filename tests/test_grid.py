@@ -1,7 +1,5 @@
 """OP-14, OP-15."""
 
-import pytest
-
 from parcelstats.operators import grid
 from parcelstats.operators.grid import add_decade, decade_bins, dense_counts
 from tests.helpers import bag, plan, rows
@@ -28,11 +26,11 @@ def test_missing_combinations_and_the_null_region_are_zero(spark):
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
-def test_too_many_values_fail_instead_of_being_cut(spark, monkeypatch):
-    monkeypatch.setattr(grid, "MAX_DOMAIN", 2)
-    counts = spark.createDataFrame([("A", d, "x", 1, 1.0) for d in range(3)], SCHEMA)
-    with pytest.raises(Exception, match="more than 2 values of decade"):
-        rows(dense_counts(counts, ["region", "decade", "home_type"], "n"))
+def test_values_of_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(grid, "BLOCK", 2)
+    counts = spark.createDataFrame([("A", d, f"x{d % 3}", 1, 1.0) for d in range(7)], SCHEMA)
+    found = rows(dense_counts(counts, ["region", "decade", "home_type"], "n"), "decade", "home_type", "n")
+    assert sorted(found) == [(d, f"x{h}", int(d % 3 == h)) for d in range(7) for h in range(3)]
 
 
 def test_decades(spark):
