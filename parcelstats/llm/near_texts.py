@@ -33,6 +33,10 @@ BANDS = REGISTERS // BAND
 MARGIN = 0.16
 #: Members of a list compared in one go when a list holds texts of several components.
 BLOCK = 1024
+#: Shingles in a block of members that come with their sets (8 bytes each).
+BLOCK_SHINGLES = 1 << 22
+#: A part of a list: its band's key and the two blocks that it compares.
+LIST = ["band", "low", "high"]
 SEED = 7
 
 
@@ -147,8 +151,9 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [
                 pa.array(keys.reshape(-1).view(np.int64)),
                 pa.array(np.repeat(batch.column(0).to_numpy(False), BANDS)),
+                pa.array(np.repeat(batch.column(2).to_numpy(False), BANDS)),
             ],
-            names=["band", "node"],
+            names=["band", "node", "n_shingles"],
         )
 
 
@@ -171,32 +176,118 @@ def _likely(threshold: float):
     return run
 
 
-def _likely_across(threshold: float):
-    """Pairs of different components within a list whose estimate comes near the threshold."""
+def _own_pairs(band, component, whole, block, count, sketch, threshold: float):
+    """Pairs of different components within one list whose estimate comes near the threshold.
+
+    Yields positions (i, j), i < j, for some members i at a time. A pair belongs to the list
+    of its first equal band, so that no pair turns up in two lists.
+    """
+    n = len(component)
+    bands = sketch.view(np.uint64)
+    for at in range(0, n, 64):
+        rows = np.arange(at, min(at + 64, n))
+        i, j = (x.ravel() for x in np.meshgrid(rows, np.arange(n), indexing="ij"))
+        use = (i < j) & (component[i] != component[j]) & (whole | (block[i] != block[j]))
+        i, j = i[use], j[use]
+        if not len(i):
+            continue
+        keep = estimate(sketch[i], sketch[j], count[i], count[j]) >= threshold - MARGIN
+        i, j = i[keep], j[keep]
+        if not len(i):
+            continue
+        place = np.argmax(bands[i] == bands[j], axis=1)
+        first = mix(mix(bands[i, place]) + place.astype(np.uint64)).view(np.int64)
+        own = first == band
+        yield i[own], j[own]
+
+
+def _members_across(threshold: float):
+    """Members of lists that have a pair to verify with another component of their list."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, edges in whole_groups(batches, LIST):
+            band, low, high, block, component, count = (
+                table.column(c).to_numpy() for c in (*LIST, "block", "component", "n_shingles")
+            )
+            sketch = _sketches(table.column("sketch"))
+            used = np.zeros(table.num_rows, dtype=bool)
+            for start, end in zip(edges[:-1], edges[1:], strict=True):
+                part = slice(start, end)
+                whole = low[start] == high[start]
+                for i, j in _own_pairs(
+                    band[start], component[part], whole, block[part], count[part], sketch[part], threshold
+                ):
+                    used[start + i] = True
+                    used[start + j] = True
+            yield from table.filter(pa.array(used)).to_batches()
+
+    return run
+
+
+def _links_across(threshold: float, percent: int):
+    """Verified links between components of a list; as many as join what hangs together.
+
+    The sets of the members come along, so that pairs never leave the task. A pair whose
+    ends have been joined by links found before is not looked at.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, edges in whole_groups(batches, ["band", "low", "high"]):
-            node, component, count, block = (
-                table.column(c).to_numpy() for c in ("node", "component", "n_shingles", "block")
+        for table, edges in whole_groups(batches, LIST):
+            band, low, high, block, component, count, node = (
+                table.column(c).to_numpy() for c in (*LIST, "block", "component", "n_shingles", "node")
             )
-            whole = table.column("low").to_numpy() == table.column("high").to_numpy()
             sketch = _sketches(table.column("sketch"))
+            links: list[tuple[int, int]] = []
             for start, end in zip(edges[:-1], edges[1:], strict=True):
-                for at in range(start, end, 64):
-                    rows = np.arange(at, min(at + 64, end))
-                    i, j = (x.ravel() for x in np.meshgrid(rows, np.arange(start, end), indexing="ij"))
-                    use = (i < j) & (component[i] != component[j]) & (whole[i] | (block[i] != block[j]))
-                    i, j = i[use], j[use]
-                    keep = estimate(sketch[i], sketch[j], count[i], count[j]) >= threshold - MARGIN
-                    i, j = i[keep], j[keep]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.minimum(node[i], node[j])), pa.array(np.maximum(node[i], node[j]))],
-                        names=["a", "b"],
-                    )
+                part = slice(start, end)
+                sets = _Sets(table.column("shingles").slice(start, end - start))
+                joined = component[part].copy()
+                whole = low[start] == high[start]
+                for i, j in _own_pairs(
+                    band[start], component[part], whole, block[part], count[part], sketch[part], threshold
+                ):
+                    begins = np.flatnonzero(np.r_[True, i[1:] != i[:-1]]) if len(i) else []
+                    for one, others in zip(i[begins], np.split(j, begins[1:])):
+                        others = others[joined[others] != joined[one]]
+                        for other in others[sets.similar(one, others, percent)]:
+                            if joined[other] != joined[one]:
+                                joined[joined == joined[other]] = joined[one]
+                                links.append((node[start + one], node[start + other]))
+            a, b = np.array(links, np.int64).reshape(-1, 2).T
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"]
+            )
 
     return run
 
 
+class _Sets:
+    """Sorted shingle hashes of the members of a list, one after another."""
+
+    def __init__(self, column):
+        packed = column.combine_chunks().cast(pa.large_binary())
+        places, content = packed.buffers()[1:]
+        edge = np.frombuffer(places, np.int64)[packed.offset : packed.offset + len(packed) + 1]
+        self.values = np.frombuffer(content, np.uint8)[edge[0] : edge[-1]].view(np.uint64)
+        self.edge = (edge - edge[0]) // 8
+
+    def similar(self, one: int, others: np.ndarray, percent: int) -> np.ndarray:
+        """Which of the others share so many hundredths of their union with one."""
+        own = self.values[self.edge[one] : self.edge[one + 1]]
+        size = self.edge[others + 1] - self.edge[others]
+        found = np.zeros(len(others), dtype=bool)
+        fit = np.flatnonzero(100 * np.minimum(size, len(own)) >= percent * np.maximum(size, len(own)))
+        for at in range(0, len(fit), 256):
+            some = fit[at : at + 256]
+            begin = np.cumsum(size[some]) - size[some]
+            place = np.repeat(self.edge[others[some]] - begin, size[some])
+            values = self.values[place + np.arange(len(place))]
+            near = np.minimum(np.searchsorted(own, values), len(own) - 1)
+            shared = np.add.reduceat((own[near] == values).astype(np.int64), begin)
+            found[some] = 100 * shared >= percent * (size[some] + len(own) - shared)
+        return found
+
+
 def _likely_stars(threshold: float):
     """Within each list the member nearest to all, with the others that come near it.
 
@@ -205,7 +296,7 @@ def _likely_stars(threshold: float):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, edges in whole_groups(batches, ["band", "low", "high"]):
+        for table, edges in whole_groups(batches, LIST):
             node, component, count = (
                 table.column(c).to_numpy() for c in ("node", "component", "n_shingles")
             )
@@ -285,7 +376,8 @@ def link_near_texts(
     Equal sets are found by a 64-bit hash and come down to one member first. A list of
     sketches is not expanded into pairs: each member is compared with the smallest of its
     list, and only lists that still hold several components afterwards are compared member
-    by member, across components, in blocks.
+    by member, across components, in blocks. There the full sets come into the task, and
+    what leaves it is the links that join components, not the pairs.
     """
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     threshold = percent / 100
@@ -305,7 +397,9 @@ def link_near_texts(
         .dropDuplicates(["node"])
     )
     one = settle(owner.select("node", "smallest", "members", "n_shingles", "sketch"))
-    banded = one.select("node", "sketch").mapInArrow(_bands, "band long, node long")
+    banded = one.select("node", "sketch", "n_shingles").mapInArrow(
+        _bands, "band long, node long, n_shingles long"
+    )
     pivots = (
         banded.groupBy("band")
         .agg(F.min("node").alias("pivot"), F.count("*").alias("n"))
@@ -323,17 +417,25 @@ def link_near_texts(
     links = _verify(likely, rows, one, size, percent)
     # Lists that hold several components are compared again: first with the member in their
     # middle, then, where components are left, member by member across components.
-    tested = likely
-    for compare in (_likely_stars, _likely_across):
-        reach = settle(components(links))
-        more = settle(
-            _mixed_lists(lists, reach, short)
-            .mapInArrow(compare(threshold), "a long, b long")
-            .distinct()
-            .join(tested, ["a", "b"], "left_anti")
-        )
-        tested = tested.union(more)
-        links = settle(links.union(_verify(more, rows, one, size, percent)))
+    reach = settle(components(links))
+    more = settle(
+        _mixed_lists(lists, reach, short)
+        .mapInArrow(_likely_stars(threshold), "a long, b long")
+        .distinct()
+        .join(likely, ["a", "b"], "left_anti")
+    )
+    links = settle(links.union(_verify(more, rows, one, size, percent)))
+    reach = settle(components(links))
+    mixed = _mixed_lists(lists, reach, short)
+    members = settle(mixed.mapInArrow(_members_across(threshold), mixed.schema))
+    sets = _shingles(members.select("node").distinct(), rows, one, size)
+    across = (
+        members.join(sets, "node")
+        .repartition(*LIST)
+        .sortWithinPartitions(*LIST)
+        .mapInArrow(_links_across(threshold, percent), "a long, b long")
+    )
+    links = settle(links.union(across))
     reach = components(links)
     named_classes = one.select("node", "smallest", "members").join(reach, "node", "left")
     named_classes = settle(
@@ -362,21 +464,26 @@ def _mixed_lists(lists: DataFrame, reach: DataFrame, short: DataFrame) -> DataFr
     placed = lists.join(reach, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = (
         placed.groupBy("band")
-        .agg(F.min("component").alias("first"), F.max("component").alias("last"), F.count("*").alias("n"))
+        .agg(
+            F.min("component").alias("first"), F.max("component").alias("last"),
+            F.count("*").alias("n"), F.sum("n_shingles").alias("total"),
+        )
         .filter("first <> last and n > 2")
-        .select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("n_blocks"))
+        .select(
+            "band",
+            F.ceil(F.greatest(F.col("n") / BLOCK, F.col("total") / BLOCK_SHINGLES)).cast("int").alias("n_blocks"),
+        )
     )
-    keys = ["band", "low", "high"]
     return (
         placed.join(mixed, "band")
-        .join(short, "node")
+        .join(short.select("node", "sketch"), "node")
         .withColumn("block", F.pmod("node", "n_blocks").cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
         .withColumn("low", F.least("block", "other"))
         .withColumn("high", F.greatest("block", "other"))
-        .select(*keys, "block", "node", "component", "n_shingles", "sketch")
-        .repartition(*keys)
-        .sortWithinPartitions(*keys)
+        .select(*LIST, "block", "node", "component", "n_shingles", "sketch")
+        .repartition(*LIST)
+        .sortWithinPartitions(*LIST)
     )
 
 
@@ -391,10 +498,15 @@ def _with_both(pairs: DataFrame, values: DataFrame, *columns: str) -> DataFrame:
 def _verify(pairs: DataFrame, rows: DataFrame, one: DataFrame, size: int, percent: int) -> DataFrame:
     """Those of the pairs whose full sets are similar enough."""
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    ids = one.join(nodes, "node").select(F.col("smallest").alias("id"), "node")
-    texts = rows.join(ids.select("id").distinct(), "id", "left_semi").select("text")
-    sets = texts.mapInArrow(_sets(size), "node long, shingles binary").join(nodes, "node", "left_semi")
-    sets = settle(sets.dropDuplicates(["node"]))
+    sets = _shingles(nodes, rows, one, size)
     return settle(
         _with_both(pairs, sets, "shingles").mapInArrow(_verified(percent), "a long, b long")
     )
+
+
+def _shingles(nodes: DataFrame, rows: DataFrame, one: DataFrame, size: int) -> DataFrame:
+    """Full sets of the nodes: (node, shingles), from the text of their smallest member."""
+    ids = one.join(nodes, "node").select(F.col("smallest").alias("id"))
+    texts = rows.join(ids.distinct(), "id", "left_semi").select("text")
+    sets = texts.mapInArrow(_sets(size), "node long, shingles binary").join(nodes, "node", "left_semi")
+    return settle(sets.dropDuplicates(["node"]))
