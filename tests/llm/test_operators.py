@@ -11,6 +11,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -19,6 +20,7 @@ from parcelstats.llm import bpe, language_model, licenses, mixing, queries, qual
 from parcelstats.llm.components import components
 from parcelstats.llm.near_texts import link_near_texts
 from parcelstats.llm.near_vectors import link_near_vectors
+from parcelstats.llm.runs import whole_groups
 from tests.compare import differences, duckdb_on
 
 SMALL = "/root/testdata/sf0.001"
@@ -82,8 +84,29 @@ def test_vectors_match_brute_force(spark):
         assert r["component_id"] == min(seen) and r["kept"] == (r["vec_id"] == min(seen))
 
 
+@pytest.mark.parametrize("batch_size", [1, 2, 3, 7])
+def test_groups_stay_whole_across_batches(batch_size):
+    keys = [1, 1, 1, 2, 3, 3, 3, 3, 3]
+    rows = pa.RecordBatch.from_arrays([pa.array(keys), pa.array(range(len(keys)))], names=["k", "v"])
+    batches = (rows.slice(i, batch_size) for i in range(0, len(keys), batch_size))
+    found = [
+        (table.column("k")[int(a)].as_py(), table.column("v").slice(a, b - a).to_pylist())
+        for table, edges in whole_groups(batches, ["k"])
+        for a, b in zip(edges[:-1], edges[1:], strict=True)
+    ]
+    assert found == [(1, [0, 1, 2]), (2, [3]), (3, [4, 5, 6, 7, 8])]
+
+
 def test_texts_match_brute_force(spark, odd, empty):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    # Copies of a text with some words changed: below the threshold of most others.
+    rng = random.Random(4)
+    base = [f"word{k}" for k in range(90)]
+    copies = []
+    for k in range(150):
+        changed = set(rng.sample(range(90), rng.randint(0, 6)))
+        copies.append((100_000 + k, " ".join(f"x{k}y{j}" if j in changed else w for j, w in enumerate(base))))
+    docs = docs.union(spark.createDataFrame(copies, docs.schema))
     for frame in (docs, odd.filter("doc_id is not null")):
         rows = [(r["doc_id"], r["text"]) for r in frame.select("doc_id", "text").collect()]
         sets = {}
