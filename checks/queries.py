@@ -29,6 +29,7 @@ from parcelstats.operators.property import (
 from parcelstats.operators.quantiles import weighted_median
 from parcelstats.operators.series import interpolate_by_reference
 from parcelstats.plans import affordability, condo, construction, income, sales
+from parcelstats.plans.ingest import ingest
 from parcelstats.reference_data import PROPERTY_BASE_YEAR
 from parcelstats.sources.csv import read_csv, write_csv
 from parcelstats.sources.fixed_width import (
@@ -48,8 +49,10 @@ def query(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A new folder in the shared folder of the cluster; local only where none is set."""
+    """A new folder in the shared folder of the cluster; local only on one machine without one."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
     return f"{shared or tempfile.gettempdir()}/parcelstats-{uuid.uuid4().hex}"
 
 
@@ -278,6 +281,29 @@ def csv_normalised_roundtrip(i: Inputs) -> DataFrame:
     return read_csv(i.spark, folder, wanted, types)
 
 
+def ingested(i: Inputs, kind: str, lines: DataFrame) -> DataFrame:
+    """Raw lines written as text files, turned into a typed table and read from there."""
+    folder = scratch_folder(i.spark)
+    lines.write.text(f"{folder}/raw")
+    ingest(i.spark, kind, f"{folder}/raw", f"{folder}/table")
+    return i.spark.read.parquet(f"{folder}/table")
+
+
+@query
+def ingest_assessments(i: Inputs) -> DataFrame:
+    return ingested(i, "assessments", raw_lines.assessment_lines(i))
+
+
+@query
+def ingest_dwellings(i: Inputs) -> DataFrame:
+    return ingested(i, "dwellings", raw_lines.dwelling_lines(i))
+
+
+@query
+def ingest_owners(i: Inputs) -> DataFrame:
+    return ingested(i, "owners", raw_lines.owner_lines(i))
+
+
 # Names of the survey where a function of that name is already in use.
 for name, build in {
     "valid_parcel_key": "valid_parcel_keys",

@@ -25,23 +25,30 @@ def dense_counts(counts: DataFrame, dims: Sequence[str], count: str) -> DataFram
     first, *others = dims
     grid = counts.select(first).distinct()
     for dim in others:
-        domain = counts.select(dim).distinct()
-        n_blocks = domain.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / BLOCK).cast("int"))).scalar()
-        number = F.pmod(F.xxhash64(dim), n_blocks.cast("bigint")).cast("int").alias("_block")
-        blocks = domain.select(number, F.struct(dim).alias("_value")).groupBy("_block").agg(
-            F.collect_set("_value").alias("_values")
-        )
-        grid = (
-            grid.withColumn("_block", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
-            .join(blocks, "_block")
-            .withColumn(f"_{dim}", F.explode("_values"))
-            .drop("_block", "_values")
-        )
-    grid = grid.select(first, *[F.col(f"_{dim}.{dim}").alias(dim) for dim in others])
+        grid = with_each_value(grid, counts.select(dim).distinct())
     filled = F.coalesce(F.col(count), F.lit(0).cast("bigint"))
     return grid.join(counts, list(dims), "left").withColumn(count, filled)
 
 
+def with_each_value(rows: DataFrame, domain: DataFrame) -> DataFrame:
+    """Each of ``rows`` with each value of ``domain``, one column of distinct values.
+
+    The values come in arrays of about ``BLOCK`` that a row finds by the array's number.
+    """
+    (name,) = domain.columns
+    n_blocks = domain.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / BLOCK).cast("int"))).scalar()
+    number = F.pmod(F.xxhash64(name), n_blocks.cast("bigint")).cast("int").alias("_block")
+    blocks = domain.select(number, F.struct(name).alias("_value")).groupBy("_block").agg(
+        F.collect_set("_value").alias("_values")
+    )
+    return (
+        rows.withColumn("_block", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
+        .join(blocks, "_block")
+        .withColumn("_value", F.explode("_values"))
+        .select(*rows.columns, F.col(f"_value.{name}").alias(name))
+    )
+
+
 def add_decade(
     df: DataFrame,
     year: str = "year_built",

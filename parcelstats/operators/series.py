@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelstats.functions import lenient_long, rounded_long, year_prefix
+from parcelstats.operators.grid import with_each_value
 from parcelstats.reference_data import REFERENCE_SWITCH_YEAR
 
 
@@ -50,21 +51,16 @@ def interpolate_by_reference(
     multiplied with the reference; positions without a reference row drop out, and
     so do not even take part: a ratio is known only where the reference is.
 
-    Positions are whole numbers; ``reference`` has one row per position. A group fills
-    one window partition of as many rows as the reference has positions, whatever the
-    size of the data behind it.
+    Positions are numbers; a position that ``reference`` repeats fails the query. A group
+    fills one window partition of as many rows as the reference has positions, however
+    far these lie apart and whatever the size of the data behind it.
     """
-    span = reference.agg(F.struct(F.min(position).alias("low"), F.max(position).alias("high")))
-    low, high = F.col("_span.low"), F.col("_span.high")
-    grid = (
-        df.select(group)
-        .distinct()
-        .withColumn("_span", span.scalar())
-        .filter(low.isNotNull())
-        .select(group, F.explode(F.sequence(low, high)).alias(position))
-    )
+    placed = reference.filter(F.col(position).isNotNull())
+    message = F.concat(F.lit("more than one reference for "), F.col(position).cast("string"))
+    single = F.when(F.count("*") == 1, F.max(column)).otherwise(F.raise_error(message))
+    along = placed.groupBy(position).agg(single.alias("_reference"))
+    grid = with_each_value(df.select(group).distinct(), placed.select(position).distinct())
     values = df.select(group, position, F.col(column).cast("double").alias("_value"))
-    along = reference.select(position, F.col(column).alias("_reference"))
     ratio = F.try_divide(F.col("_value"), F.col("_reference").cast("double"))
 
     # Two running windows in opposite directions: a frame that looks ahead to the

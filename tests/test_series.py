@@ -1,5 +1,7 @@
 """OP-12, OP-13, OP-23, OP-25."""
 
+import pytest
+
 from parcelstats.operators.series import (
     annual_reference_income,
     interpolate_by_reference,
@@ -53,3 +55,16 @@ def test_one_reference_position_does_not_divide_by_zero(spark):
     known = spark.createDataFrame([("A", 1, 10)], "region string, year long, v long")
     reference = spark.createDataFrame([(1, 20), (2, 0)], "year long, v long")
     assert bag(interpolate_by_reference(known, reference, "v"), "year", "v") == [(1, 10), (2, 0)]
+
+
+def test_reference_positions_may_lie_far_apart(spark):
+    known = spark.createDataFrame([("A", 0, 10)], "region string, year long, v long")
+    reference = spark.createDataFrame([(0, 20), (3_000_000_000, 40)], "year long, v long")
+    assert bag(interpolate_by_reference(known, reference, "v"), "year", "v") == [(0, 10), (3_000_000_000, 20)]
+
+
+def test_a_repeated_reference_position_fails(spark):
+    known = spark.createDataFrame([("A", 0, 10)], "region string, year long, v long")
+    reference = spark.createDataFrame([(0, 20), (0, 40)], "year long, v long")
+    with pytest.raises(Exception, match="more than one reference for 0"):
+        interpolate_by_reference(known, reference, "v").collect()
