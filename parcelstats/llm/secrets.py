@@ -19,12 +19,8 @@ from pyspark.sql import functions as F
 
 from parcelstats.llm.tables import settle
 
-CANDIDATE = (
-    r"(?<![A-Za-z0-9_+/.@-])(?=[A-Za-z_+/.@-]*[0-9]|[A-Z]{16})"
-    r"[A-Za-z0-9_+/.@-]{12,}={0,2}"
-)
 #: Characters before and after a candidate that neighbouring words are read from.
-NEAR = 40
+NEAR = 64
 MARK = "[secret]"
 MAX_FIT = 20_000
 DICTIONARY = 300
@@ -33,27 +29,53 @@ DEPTH = 5
 SEED = 11
 
 # Words that announce a secret, and parts of paths that hold none.
-ANNOUNCED = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api[_ -]?key|access[_ -]?key|auth|credential)"
+ANNOUNCED = (
+    r"(?i:pass(?:word|wd|phrase)?|pwd|secret(?!ar)|token|(?:api|access|private)[_ -]?key|auth(?!or(?!i[sz]))|credential)"
+)
+# What may follow such a word in its name: SECRET_KEY, tokenValue, credentials, Authorization.
+SUFFIX = r"(?i:s|ori[sz]ation|entication|entials?)?(?:[A-Z0-9_.-][A-Za-z0-9_.-]{0,20})?"
+SCHEME = r"(?i:bearer|basic|token)\s{1,4}"
 HARMLESS_PATH = r"(?i)(test|example|sample|fixture|mock|docs?/)"
 # Key formats that need no context: prefix and alphabet of well-known services.
 FORMATS = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abp]-[A-Za-z0-9-]{10,}|sk-[A-Za-z0-9]{20,})$"
+# Assigned values that name or describe a secret but are none.
+PLACEHOLDER = (
+    r"^(?i:none|null|nil|true|false|undefined|str|string|int|integer|bool|boolean|bytes|x{3,}|\*{3,}|\.{3,})$"
+    r"|^(\$\{?\w+|\$\(|\{\{|<\w|%\(?\w+[)%])|^[A-Za-z_][\w.]*(\(|\[[\"'\w])"
+)
 # End of the fixed values.
 
+#: A name with an announcing word, up to the value assigned to it.
+LED = ANNOUNCED + SUFFIX + r"[\"'`\\\]]{0,3}\s{0,4}(?::=|=>|==?|:)\s{0,4}"
+#: The same as the end of the text before a value.
+NAMED = LED + r"(?:\\?[\"'`])?(?:" + SCHEME + ")?$"
+CANDIDATE = (
+    r"(?<![A-Za-z0-9_+/.@-])(?=[A-Za-z_+/.@-]*[0-9]|[A-Z]{16})"
+    r"[A-Za-z0-9_+/.@-]{12,}={0,2}"
+)
+
 #: Columns of a finding, then those that the forest decides by.
 FEATURES = (
     "length", "digits", "capitals", "marks", "changes", "variety", "covered", "hex", "one_case",
-    "announced", "assigned", "quoted", "address", "harmless_path",
+    "announced", "assigned", "quoted", "address", "harmless_path", "named",
 )
 
 
 def candidates(text: Column, parts: Column) -> Column:
-    """Array of (value, before, after) of a text, given the parts between its candidates."""
+    """Array of (value, before, after) of a text, given the parts between its candidates.
+
+    A candidate may stand in the name that a value is assigned to, so ``before`` goes on through
+    the candidate in front.
+    """
     found = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
+    near = lambda i: F.concat_ws(
+        "", F.when(i > 0, F.concat(F.right(F.get(parts, i - 1), F.lit(NEAR)), F.right(F.get(found, i - 1), F.lit(NEAR)))), F.get(parts, i)
+    )
     return F.transform(
         found,
         lambda value, i: F.struct(
             value.alias("value"),
-            F.right(F.get(parts, i), F.lit(NEAR)).alias("before"),
+            F.right(near(i), F.lit(NEAR)).alias("before"),
             F.left(F.get(parts, i + 1), F.lit(NEAR)).alias("after"),
         ),
     )
@@ -84,10 +106,11 @@ def described(finding: Column, path: Column, dictionary: Sequence[str]) -> Colum
         "hex": yes(value.rlike("^([0-9a-f]+|[0-9A-F]+)$")),
         "one_case": yes(value.rlike("^([0-9a-z]+|[0-9A-Z]+)$")),
         "announced": yes(before.rlike(ANNOUNCED)),
-        "assigned": yes(before.rlike(r"[=:]\s*[\"']?$")),
+        "assigned": yes(before.rlike(r"[=:]\s*[\"']?$") | before.rlike(NAMED)),
         "quoted": yes(before.rlike("[\"']$") & after.rlike("^[\"']")),
         "address": yes(value.rlike(r"@|^[0-9.]+$|\.(com|org|net|html?)")),
         "harmless_path": yes(F.coalesce(path, F.lit("")).rlike(HARMLESS_PATH)),
+        "named": yes(before.rlike(NAMED)),
     }
     return F.struct(
         value.alias("value"), before.alias("before"), after.alias("after"),
@@ -96,10 +119,18 @@ def described(finding: Column, path: Column, dictionary: Sequence[str]) -> Colum
 
 
 def weak_label(value: Column, before: Column) -> Column:
-    """Label of a finding where nobody has looked at it: a well-known format, or a value of
-    letters and digits that is assigned right after a word that announces it."""
-    announced = before.rlike(ANNOUNCED + r"\s*[=:]\s*[\"']?$") & value.rlike("^[A-Za-z0-9_+/-]{16,}=*$")
-    return (value.rlike(FORMATS) | announced).cast("int")
+    """Label of a finding where nobody has looked at it, null where the rules cannot tell.
+
+    1: a well-known format, or a value with letters and digits that is assigned right after a
+    word that announces it. 0: a placeholder, or nothing announces it. Any other value with an
+    announcing word near it has no label.
+    """
+    mixed = value.rlike(r"^(?=.*[A-Za-z])(?=.*[0-9])\S+$")
+    return (
+        F.when(value.rlike(FORMATS), 1)
+        .when(before.rlike(NAMED), F.when(value.rlike(PLACEHOLDER), 0).when(mixed, 1))
+        .when(~before.rlike(ANNOUNCED), 0)
+    )
 
 
 def learn_dictionary(findings: DataFrame, size: int = DICTIONARY) -> list[str]:
