@@ -1,6 +1,7 @@
 """Secret scans with a random forest that removes false positives.
 
-Candidates are long runs of key-like characters with a digit or in capitals. A random forest on their
+Candidates are long runs of key-like characters with a digit or in capitals, and every value
+that is assigned right after a word that announces it. A random forest on their
 length, changes of character class, dictionary coverage, path and neighbouring words,
 trained from labelled findings, tells secrets from addresses, numbers and names. Only
 DataFrame functions are used: texts are cut at their candidates within the row, and the
@@ -49,8 +50,18 @@ PLACEHOLDER = (
 LED = ANNOUNCED + SUFFIX + r"[\"'`\\\]]{0,3}\s{0,4}(?::=|=>|==?|:)\s{0,4}"
 #: The same as the end of the text before a value.
 NAMED = LED + r"(?:\\?[\"'`])?(?:" + SCHEME + ")?$"
+#: Quoted values go up to their quote; others to white space, less closing punctuation or a next parameter.
+QUOTED = "".join(rf"(?<={LED}{q})(?:[^{q}\\\r\n]++|\\.)++(?={q})|" for q in ("\"", "'"))
+BARE = (
+    r"(?:[^\s\"'`&.,;:)\]}<\\]++|[.,;:)\]}\\]++(?=[^\s\"'`&.,;:)\]}<\\])|'(?=\w)|&(?!\w{1,30}=)|<(?![/A-Za-z]))++"
+)
+#: The first conditions are cheap and rule nearly every place out.
+ASSIGNED = (
+    rf"(?<=[=:>\s\"'`])(?<=[=:>]\s{{0,4}}\\?[\"'`]?(?:{SCHEME})?)(?![\s\"'`]|{SCHEME}|[\[{{(]+(?:[\s\"'`]|$))"
+    rf"(?:{QUOTED}(?<={LED}(?:\\?[\"'`])?(?:{SCHEME})?){BARE})"
+)
 CANDIDATE = (
-    r"(?<![A-Za-z0-9_+/.@-])(?=[A-Za-z_+/.@-]*[0-9]|[A-Z]{16})"
+    rf"{ASSIGNED}|(?<![A-Za-z0-9_+/.@-])(?=[A-Za-z_+/.@-]*[0-9]|[A-Z]{{16}})"
     r"[A-Za-z0-9_+/.@-]{12,}={0,2}"
 )
 

@@ -19,3 +19,37 @@ def test_announced_values_are_no_negatives(spark):
     frame = spark.createDataFrame(rows, "before string, value string, label int")
     for r in frame.withColumn("found", secrets.weak_label(F.col("value"), F.col("before"))).collect():
         assert r["found"] == r["label"], r
+
+
+SHORT = {
+    "password=hunter2": "password=[secret]",
+    "pwd: Tr0ub4dor&3, next": "pwd: [secret], next",
+    'token = "qwErTyUiOpAsDfGh"': 'token = "[secret]"',
+    "pass: p!a#s$s%9 end": "pass: [secret] end",
+    "url?token=a1b2c3&user=bob": "url?token=[secret]&user=bob",
+    '{"Authorization": "Bearer abc.12-3"}': '{"Authorization": "Bearer [secret]"}',
+    'db_password: "it\\"s 9 lives"': 'db_password: "[secret]"',
+    "API_KEY_12345678=zz9zz rest": None,
+    '"auth": {"user": 1}': '"auth": {"user": 1}',
+    "author: Smith9, secretary: Mary4": "author: Smith9, secretary: Mary4",
+}
+
+
+def test_short_values_and_any_alphabet_are_redacted(spark):
+    texts = [*SHORT, *(f'key token = "{k * 7919:x}f00ba4{k:04d}c3"' for k in range(40)), *(f"write to person{k}.90@mail.example.com" for k in range(40))]
+    docs = spark.createDataFrame([(k, t, "s") for k, t in enumerate(texts)], "doc_id long, text string, source string")
+    scanned = secrets.scan_secrets(docs).withColumn("clean", secrets.redacted(F.col("text"), F.col("findings")))
+    found = {r["text"]: r["clean"] for r in scanned.collect()}
+    for text, clean in SHORT.items():
+        assert "zz9zz" not in found[text] if clean is None else found[text] == clean
+    assert all(found[t] == t for t in texts if t.startswith("write"))
+
+
+@pytest.mark.parametrize("value", ["x" * 200_000, 'a"' * 3, "a.b" * 60_000])
+def test_values_of_any_length_are_cut_whole(spark, value):
+    docs = spark.createDataFrame([(f"password={value}",), (f"password='{value}'",)], "text string")
+    parts = F.split("text", secrets.CANDIDATE, -1)
+    rows = docs.select("text", secrets.candidates(F.col("text"), parts).alias("found"), parts.alias("parts")).collect()
+    for r in rows:
+        assert len(r["parts"]) == len(r["found"]) + 1 and len(r["found"]) > 0
+    assert rows[1]["found"][0]["value"] == value
