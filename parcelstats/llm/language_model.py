@@ -2,9 +2,10 @@
 
 P(w | h) = (c(h, w) + MU * P(w)) / (c(h) + MU) with P(w) = (c(w) + 0.1) / (N + 0.1 * (V + 1)).
 The logarithm splits into a part that depends on w and the pair, and a part that depends on h
-alone; both are known where all occurrences of a word meet. So every token travels once, to
-the shard of its word, and the documents' parts come back to be added up. Words that make up
-a large share of all tokens are spread over the shards by their contexts.
+alone; both are known where all occurrences of a word meet. So every pair of a unit of
+documents travels once, with its count, to the shard of its word, and its code comes back to
+the unit, where the documents' tokens are added up. Words that make up a large share of all
+tokens are spread over the shards by their contexts.
 
 A trie has two levels: words, and behind monotone pointers the contexts in front of each word.
 Sorted keys and pointers are Elias-Fano coded, probabilities are 16-bit codes, and all lie in
@@ -117,20 +118,26 @@ def decoded(codes: np.ndarray) -> np.ndarray:
 
 
 class Trie:
-    """Words of a shard with their contexts; built from training tokens (word, context)."""
+    """Words of a shard with their contexts; built from counted training pairs (word, context)."""
 
     def __init__(
         self, words: np.ndarray, number: np.ndarray, contexts: np.ndarray,
-        totals: dict[int, int], n: int, v: int, mu: float,
+        times: np.ndarray, totals: dict[int, int], n: int, v: int, mu: float,
     ):
-        """``number`` gives the place of each token's word among the distinct ``words``."""
-        keys = np.sort((number.astype(np.uint64) << np.uint64(CONTEXT_BITS)) | contexts)
+        """``number`` gives the place of each pair's word among the distinct ``words``.
+
+        A pair may be given more than once; its counts ``times`` (at least 1) are added up.
+        """
+        keys = (number.astype(np.uint64) << np.uint64(CONTEXT_BITS)) | contexts
+        order = np.argsort(keys)
+        keys = keys[order]
         pair = np.ones(len(keys), dtype=bool)
         pair[1:] = keys[1:] != keys[:-1]
         pairs = np.flatnonzero(pair)
-        seen = np.diff(np.append(pairs, len(keys)))
+        total = np.concatenate([[0], np.cumsum(times[order])])
+        seen = np.diff(total[np.append(pairs, len(keys))])
         owner = (keys[pairs] >> np.uint64(CONTEXT_BITS)).astype(np.int64)
-        counts = np.bincount(number, minlength=len(words))
+        counts = np.bincount(number, times, len(words)).astype(np.int64)
         used = np.flatnonzero(counts)
         place = np.cumsum(counts > 0) - 1
         owner = place[owner]
@@ -150,9 +157,9 @@ class Trie:
     def look_up(
         self, words: np.ndarray, number: np.ndarray, contexts: np.ndarray
     ) -> tuple[np.ndarray, np.ndarray]:
-        """(training count of each of ``words``, code of log10(c(h, w) + mu * P(w)) per token).
+        """(training count of each of ``words``, code of log10(c(h, w) + mu * P(w)) per pair).
 
-        Tokens are given as the number of their word and their context.
+        Pairs are given as the number of their word and their context.
         """
         at = self.words.find(words)
         known = at >= 0
@@ -208,13 +215,17 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-UNIT = "shard long, unit long, runs binary, words binary, contexts binary, texts binary"
+UNIT = (
+    "shard long, unit long, runs binary, words binary, contexts binary, times binary, "
+    "ids binary, texts binary, lengths binary"
+)
 
 
 def _requests(hot: np.ndarray, n_shards: int):
-    """Tokens of a unit of documents by shard, sorted by word; and a row with the ids.
+    """Distinct pairs of a unit of documents by shard, sorted by word; and a row that stays with the unit.
 
-    ``texts`` holds each token's document in the unit, the highest bit tells training.
+    ``times`` holds how often each pair occurs in training texts. The unit's own row has the
+    ids, each token's document in the order of the pairs, and the number of tokens per pair.
     """
 
     def emit(unit: int, parts: list[tuple], ids: list[pa.Array]) -> pa.RecordBatch:
@@ -222,38 +233,44 @@ def _requests(hot: np.ndarray, n_shards: int):
         spread = hot[np.minimum(np.searchsorted(hot, word), len(hot) - 1)] == word
         key = np.where(spread, word ^ (before * np.uint64(0xD6E8FEB86659FD93)), word)
         shard = (key % np.uint64(n_shards)).astype(np.int64)
-        # Words that agree in their upper bits may mix, which costs a run more.
-        order = np.argsort((shard.astype(np.uint64) << np.uint64(44)) | (word >> np.uint64(20)))
-        word, before, text, shard = word[order], before[order], text[order], shard[order]
+        context = before & np.uint64((1 << CONTEXT_BITS) - 1)
+        order = np.lexsort((context, word, shard))
+        word, context, text, shard = word[order], context[order], text[order], shard[order]
         new = np.ones(len(word), dtype=bool)
         new[1:] = (word[1:] != word[:-1]) | (shard[1:] != shard[:-1])
-        run = np.flatnonzero(new)
-        length = np.diff(np.append(run, len(word))).astype(np.uint32)
-        context = before & np.uint64((1 << CONTEXT_BITS) - 1)
+        new_pair = new.copy()
+        new_pair[1:] |= context[1:] != context[:-1]
+        pair = np.flatnonzero(new_pair)
+        length = np.diff(np.append(pair, len(word))).astype(np.uint32)
+        trained = np.concatenate([[0], np.cumsum(text >> np.uint16(15), dtype=np.int64)])
+        times = np.diff(trained[np.append(pair, len(word))]).astype(np.uint32)
+        word, context, shard, run = word[pair], context[pair], shard[pair], np.flatnonzero(new[pair])
+        pairs = np.diff(np.append(run, len(pair))).astype(np.uint32)
         low, high = context.astype(np.uint32), (context >> np.uint64(32)).astype(np.uint8)
         used, starts = np.unique(shard, return_index=True)
         stops = np.append(starts[1:], len(shard))
         run_at = np.searchsorted(run, np.append(starts, len(shard)))
-        runs, words, contexts, texts = [], [], [], []
+        runs, words, contexts, counted = [], [], [], []
         for k in range(len(used)):
             a, b, c, d = starts[k], stops[k], run_at[k], run_at[k + 1]
-            runs.append(_planes(length[c:d]))
+            runs.append(_planes(pairs[c:d]))
             words.append(word[run[c:d]].tobytes())
             contexts.append(low[a:b].tobytes() + high[a:b].tobytes())
-            texts.append(_planes(text[a:b]))
+            counted.append(_planes(times[a:b]))
         sink = pa.BufferOutputStream()
         table = pa.table({"id": pa.chunked_array(ids)})
         with pa.ipc.new_stream(sink, table.schema) as writer:
             writer.write_table(table)
         rows = [*used.tolist(), -1 - unit]
+        own = sink.getvalue().to_pybytes(), _planes(text & np.uint16(0x7FFF)), _planes(length)
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(rows, pa.int64()),
                 pa.array([unit] * len(rows), pa.int64()),
-                pa.array([*runs, sink.getvalue().to_pybytes()], pa.binary()),
-                *(pa.array([*x, None], pa.binary()) for x in (words, contexts, texts)),
+                *(pa.array([*x, None], pa.binary()) for x in (runs, words, contexts, counted)),
+                *(pa.array([*[None] * len(used), x], pa.binary()) for x in own),
             ],
-            names=["shard", "unit", "runs", "words", "contexts", "texts"],
+            names=["shard", "unit", "runs", "words", "contexts", "times", "ids", "texts", "lengths"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,51 +296,49 @@ def _requests(hot: np.ndarray, n_shards: int):
     return run
 
 
-REPLY = "shard long, unit long, texts binary, codes binary, runs binary, counts binary"
+REPLY = (
+    "shard long, unit long, codes binary, runs binary, counts binary, ids binary, texts binary, lengths binary"
+)
 
 
 def _replies(hot: dict[int, int], n: int, v: int, mu: float):
-    """Builds the trie of a shard from its training tokens and looks all its tokens up."""
+    """Builds the trie of a shard from its training pairs and looks all its pairs up."""
 
     def run(group: pa.Table) -> pa.Table:
         shard = group.column("shard").to_pylist()
-        if shard[0] < 0:  # the ids of a unit go on as they are
-            return pa.table(
-                [
-                    group.column("shard"), group.column("unit"), group.column("runs"),
-                    *(pa.nulls(len(shard), pa.binary()) for _ in range(3)),
-                ],
-                names=["shard", "unit", "texts", "codes", "runs", "counts"],
-            )
-        raw = {c: group.column(c).to_pylist() for c in ("runs", "words", "contexts", "texts")}
+        names = ["shard", "unit", "codes", "runs", "counts", "ids", "texts", "lengths"]
+        if shard[0] < 0:  # what stays with a unit goes on as it is
+            none = pa.nulls(len(shard), pa.binary())
+            kept = (group.column(c) for c in ("ids", "texts", "lengths"))
+            return pa.table([group.column("shard"), group.column("unit"), none, none, none, *kept], names=names)
+        raw = {c: group.column(c).to_pylist() for c in ("runs", "words", "contexts", "times")}
         runs = [_unplaned(r, np.uint32).astype(np.int64) for r in raw["runs"]]
         words = [np.frombuffer(w, np.uint64) for w in raw["words"]]
-        texts = [_unplaned(t, np.uint16) for t in raw["texts"]]
+        sizes = [len(t) // 4 for t in raw["times"]]
         contexts = []
-        for packed, text in zip(raw["contexts"], texts, strict=True):
-            low = np.frombuffer(packed, np.uint32, len(text)).astype(np.uint64)
-            high = np.frombuffer(packed, np.uint8, len(text), 4 * len(text)).astype(np.uint64)
+        for packed, size in zip(raw["contexts"], sizes, strict=True):
+            low = np.frombuffer(packed, np.uint32, size).astype(np.uint64)
+            high = np.frombuffer(packed, np.uint8, size, 4 * size).astype(np.uint64)
             contexts.append(low | (high << np.uint64(32)))
         distinct, of_run = np.unique(np.concatenate(words), return_inverse=True)
         number = np.repeat(of_run, np.concatenate(runs))
-        context, text = np.concatenate(contexts), np.concatenate(texts)
-        train = text >> np.uint16(15) != 0
-        trie = Trie(distinct, number[train], context[train], hot, n, v, mu)
+        context = np.concatenate(contexts)
+        times = np.concatenate([_unplaned(t, np.uint32) for t in raw["times"]]).astype(np.int64)
+        train = times > 0
+        trie = Trie(distinct, number[train], context[train], times[train], hot, n, v, mu)
         counts, codes = trie.look_up(distinct, number, context)
         counts = counts[of_run]
         n_runs = np.cumsum([0, *map(len, runs)])
-        sizes = [len(t) for t in texts]
         ends = np.cumsum(sizes)
-        columns: list[list] = [[], [], [], []]
+        columns: list[list] = [[], [], []]
         for k, end in enumerate(ends):
-            own = slice(end - sizes[k], end)
-            columns[0].append(_planes(texts[k]))
-            columns[1].append(_planes(codes[own]))
-            columns[2].append(raw["runs"][k])
-            columns[3].append(_planes(counts[n_runs[k] : n_runs[k + 1]]))
+            columns[0].append(_planes(codes[end - sizes[k] : end]))
+            columns[1].append(raw["runs"][k])
+            columns[2].append(_planes(counts[n_runs[k] : n_runs[k + 1]]))
+        none = pa.nulls(len(shard), pa.binary())
         return pa.table(
-            [group.column("shard"), group.column("unit"), *(pa.array(c, pa.binary()) for c in columns)],
-            names=["shard", "unit", "texts", "codes", "runs", "counts"],
+            [group.column("shard"), group.column("unit"), *(pa.array(c, pa.binary()) for c in columns), none, none, none],
+            names=names,
         )
 
     return run
@@ -334,21 +349,26 @@ def _summed(n: int, v: int, mu: float, begin: float, end_count: int):
 
     def run(group: pa.Table) -> pa.Table:
         order = np.argsort(group.column("shard").to_numpy(), kind="stable")
-        rows = {c: group.column(c).to_pylist() for c in ("texts", "codes", "runs", "counts")}
-        ids = pa.ipc.open_stream(rows["texts"][order[0]]).read_all().column("id")
+        rows = {c: group.column(c).to_pylist() for c in ("codes", "runs", "counts", "ids", "texts", "lengths")}
+        ids = pa.ipc.open_stream(rows["ids"][order[0]]).read_all().column("id")
         m = len(ids)
         base, score = np.zeros(m), np.full(m, begin)
         n_tokens, n_known = np.zeros(m, np.int64), np.zeros(m, np.int64)
         scale = n + ADDED * (v + 1)
-        for k in order[1:]:
-            text = (_unplaned(rows["texts"][k], np.uint16) & 0x7FFF).astype(np.int64)
-            run_length = _unplaned(rows["runs"][k], np.uint32)
-            count = np.repeat(_unplaned(rows["counts"][k], np.int64), run_length)
-            n_tokens += np.bincount(text, minlength=m)
-            n_known += np.bincount(text, count > 0, m).astype(np.int64)
-            base += np.bincount(text, np.log10((count + ADDED) / scale), m)
+        texts = _unplaned(rows["texts"][order[0]], np.uint16).astype(np.int64)
+        lengths = _unplaned(rows["lengths"][order[0]], np.uint32).astype(np.int64)
+        pair, token = 0, 0
+        for k in order[1:]:  # the unit's tokens are in the order of the shards
             code = decoded(_unplaned(rows["codes"][k], np.uint16))
-            score += np.bincount(text, code - np.log10(count + mu), m)
+            length = lengths[pair : pair + len(code)]
+            pair += len(code)
+            text = texts[token : token + int(length.sum())]
+            token += len(text)
+            count = np.repeat(_unplaned(rows["counts"][k], np.int64), _unplaned(rows["runs"][k], np.uint32))
+            n_tokens += np.bincount(text, minlength=m)
+            n_known += np.bincount(text, np.repeat(count > 0, length), m).astype(np.int64)
+            base += np.bincount(text, np.repeat(np.log10((count + ADDED) / scale), length), m)
+            score += np.bincount(text, np.repeat(code - np.log10(count + mu), length), m)
         # The end of a text is a token but never a context.
         score += np.log10(end_count + mu)
         return pa.table(
