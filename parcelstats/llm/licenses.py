@@ -1,12 +1,16 @@
 """Licences of files: TF-IDF cosine to templates, then inheritance from ancestor directories.
 
-Sentences that speak of a licence are compared with a list of notices. A file without a
+Sentences that speak of a licence are compared with a list of notices, also where a header
+wraps them over lines; whole files are compared with whole licence texts. A file without a
 notice of its own takes the licence of the nearest directory above it that has a licence
 file. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
 
+from math import log
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,14 +32,44 @@ TEMPLATES = (
     ("MIT", "Licensed under the MIT License."),
     ("MPL-2.0", "This file is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
+# Standard headers that run over several lines.
+_GNU = "redistribute it and/or modify it under the terms of the GNU {} Public License as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version."
+HEADERS = (
+    ("GPL-2.0", _GNU.format("General", "2")),
+    ("GPL-3.0", _GNU.format("General", "3")),
+    ("LGPL-2.1", _GNU.format("Lesser General", "2.1")),
+    ("LGPL-3.0", _GNU.format("Lesser General", "3")),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
+)
+# Every text in license_texts has one of these, however it is wrapped.
+_GAP = r"[\s#*/;%-]+"
+WHOLE = "(?i)" + "|".join(
+    x.replace(" ", _GAP)
+    for x in (
+        "permission is hereby granted, free of charge", "permission to use, copy, modify",
+        "redistribution and use in source and binary forms", "apache license", "gnu (lesser )?general public license",
+        "mozilla public license", "cc0 1\\.0 universal",
+    )
+)
+# Names of licence files.
+NAMED = r"(?i)(^|/)(un)?(licen[sc]es?|copying)([.-][^/]*)?$"
+# Beginnings of commented lines.
+LEADER = r"^[ \t]*(#+|\*+(?!/)|/\*+|//+|;+|%+|--+|<!--)?[ \t]*|[ \t\r]*(\*/|-->)?[ \t\r]*$"
 # End of the fixed values.
 
+#: Lines that a header's sentence may run over.
+WRAPPED = 6
+#: Least cosine of a whole file to a whole licence text.
+LEAST_WHOLE = 0.85
 SPEAKS = r"(?i)licen[sc]|\bCC BY|SPDX|all rights reserved"
+SPEAKS_OR_GRANTS = SPEAKS + "|permission is hereby granted"
 SENTENCE_END = r"\n|(?<=[.!?])[ \t\r\x0b\f]+"
 WORD = r"[a-z]+|[0-9]+(\.[0-9]+)*"
 #: Least cosine of a notice to its template.
 LEAST = 0.6
-#: A file of at most this many words that has a notice is a licence file of its directory.
+#: A file of at most this many words that has a notice is a licence file of its directory; one
+#: with the name of a licence file and a licence, or with a whole licence text, is at any length.
 FILE_WORDS = 60
 
 
@@ -52,22 +86,71 @@ def _counted(sentences: DataFrame, *keys: str) -> DataFrame:
 def template_vectors(spark) -> tuple[DataFrame, DataFrame, float]:
     """(template, license, term, weight), (term, idf) and the idf of terms in no template."""
     rows = [(k, name, text) for k, (name, text) in enumerate(TEMPLATES)]
+    # The terms' weights are those of the notices; headers are compared by the same.
+    headers = [(len(rows) + k, name, text) for k, (name, text) in enumerate(HEADERS)]
     counted = _counted(spark.createDataFrame(rows, "template int, license string, sentence string"), "template", "license")
     n = len(TEMPLATES)
     idf = counted.groupBy("term").agg((F.log((1.0 + n) / (1.0 + F.count("*"))) + 1.0).alias("idf"))
-    weighted = counted.join(F.broadcast(idf), "term").withColumn("weight", F.col("tf") * F.col("idf"))
+    unknown = log(1.0 + n) + 1.0
+    more = _counted(spark.createDataFrame(headers, "template int, license string, sentence string"), "template", "license")
+    weighted = counted.union(more.select(counted.columns)).join(F.broadcast(idf), "term", "left").withColumn(
+        "weight", F.col("tf") * F.coalesce("idf", F.lit(unknown))
+    )
     norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy("template")))
-    from math import log
+    return weighted.select("template", "license", "term", (F.col("weight") / norm).alias("unit")), idf, unknown
 
-    return weighted.select("template", "license", "term", (F.col("weight") / norm).alias("unit")), idf, log(1.0 + n) + 1.0
+
+def _sentences(text: Column) -> Column:
+    """Sentences of a text that speak of a licence: of its lines, and of up to WRAPPED lines joined."""
+    lines = F.split(text, "\n")
+    bare = F.transform(lines, lambda s: F.regexp_replace(s, LEADER, ""))
+
+    def joined(first: Column, i: Column) -> Column:
+        wide = lambda n: F.array_join(F.slice(bare, i + 1, n), " ")
+        return F.when(
+            wide(WRAPPED).rlike(SPEAKS_OR_GRANTS),
+            F.flatten(F.array(*(F.split(wide(n), SENTENCE_END) for n in range(2, WRAPPED + 1)))),
+        )
+
+    # Lines count alone and joined with 1 to WRAPPED - 1 of the next ones.
+    windows = F.flatten(F.filter(F.transform(bare, joined), lambda x: x.isNotNull()))
+    return F.array_union(
+        F.filter(F.split(text, SENTENCE_END), lambda s: s.rlike(SPEAKS)),
+        F.filter(windows, lambda s: s.rlike(SPEAKS_OR_GRANTS)),
+    )
+
+
+def whole_texts(docs: DataFrame, least: float = LEAST_WHOLE) -> DataFrame:
+    """The licence text that a whole row (_key, text) is: (_key, _whole, _likeness)."""
+    folder = Path(__file__).parent / "license_texts"
+    texts = [(p.stem, p.read_text(encoding="utf-8")) for p in sorted(folder.glob("*.txt"))]
+    known = _counted(docs.sparkSession.createDataFrame(texts, "_whole string, sentence string"), "_whole")
+    n = len(texts)
+    idf = known.groupBy("term").agg((F.log((1.0 + n) / (1.0 + F.count("*"))) + 1.0).alias("idf"))
+    weigh = lambda counted: counted.join(F.broadcast(idf), "term", "left").withColumn(
+        "weight", F.col("tf") * F.coalesce("idf", F.lit(log(1.0 + n) + 1.0))
+    )
+    length = F.sqrt(F.sum(F.col("weight") * F.col("weight")))
+    known, own = weigh(known), weigh(_counted(docs.select("_key", F.col("text").alias("sentence")), "_key"))
+    unit = known.join(F.broadcast(known.groupBy("_whole").agg(length.alias("n"))), "_whole").select(
+        "_whole", "term", (F.col("weight") / F.col("n")).alias("unit")
+    )
+    dots = own.join(F.broadcast(unit), "term").groupBy("_key", "_whole").agg(F.sum(F.col("weight") * F.col("unit")).alias("dot"))
+    cosines = dots.join(own.groupBy("_key").agg(length.alias("length")), "_key").withColumn(
+        "cosine", F.round(F.col("dot") / F.col("length"), 6)
+    )
+    best = F.min(F.struct((-F.col("cosine")).alias("c"), F.col("_whole")))
+    return (
+        cosines.filter(F.col("cosine") >= least).groupBy("_key").agg(best.alias("best"))
+        .select("_key", F.col("best._whole").alias("_whole"), (-F.col("best.c")).alias("_likeness"))
+    )
 
 
 def notices(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """The best notice of each row (_key, text): (_key, license, cosine)."""
     spark = docs.sparkSession
     vectors, idf, unknown = template_vectors(spark)
-    speaking = F.filter(F.split("text", SENTENCE_END), lambda s: s.rlike(SPEAKS))
-    sentences = docs.select("_key", F.posexplode(speaking).alias("place", "sentence"))
+    sentences = docs.select("_key", F.posexplode(_sentences(F.col("text"))).alias("place", "sentence"))
     own = _counted(sentences, "_key", "place").join(F.broadcast(idf), "term", "left")
     own = own.withColumn("weight", F.col("tf") * F.coalesce("idf", F.lit(unknown)))
     # The templates are a fixed list; terms in none of them count in the length only.
@@ -89,7 +172,8 @@ def scan_licenses(files: DataFrame, path: str = "path", text: str = "text", leas
     """``files`` with license, license_cosine and license_from ("notice", "directory" or null).
 
     ``path`` names a file with "/" between directories. The licence file of a directory is
-    the one with the best notice, then the first by path. A null path is in no directory, a
+    one by name or with a whole licence text before a short file with a notice, then the one
+    with the best notice, then the first by path. A whole licence text goes before notices in it. A null path is in no directory, a
     null or empty text has no notice. Repeated rows get the same answer; existing columns of
     these names are replaced; an empty table stays empty.
     """
@@ -99,14 +183,23 @@ def scan_licenses(files: DataFrame, path: str = "path", text: str = "text", leas
             "_dir": F.when(F.col(path).contains("/"), F.regexp_replace(F.col(path), "/[^/]*$", "")),
         }
     )
-    speaking = keyed.filter(F.col(text).rlike(SPEAKS))
-    found = notices(speaking.select("_key", F.col(text).alias("text")).dropDuplicates(["_key"]), least)
+    speaking = keyed.filter(F.col(text).rlike(SPEAKS) | F.col(text).rlike(WHOLE))
+    distinct = speaking.select("_key", F.col(text).alias("text")).dropDuplicates(["_key"])
+    whole = whole_texts(distinct.filter(F.col("text").rlike(WHOLE)))
+    found = notices(distinct, least).join(whole, "_key", "full").select(
+        "_key", F.coalesce("_whole", "license").alias("license"), F.coalesce("_likeness", "cosine").alias("cosine"),
+        F.col("_whole").isNotNull().alias("_is_whole"),
+    )
     words = F.array_size(F.filter(F.split(F.col(text), r"[\x20\x09-\x0D]+"), lambda w: w != ""))
-    small = speaking.filter(words <= FILE_WORDS).select("_key", "_dir", F.col(path).alias("_path")).filter("_dir is not null")
+    may = speaking.select(
+        "_key", "_dir", F.col(path).alias("_path"), F.col(path).rlike(NAMED).alias("_named"), (words <= FILE_WORDS).alias("_small")
+    ).filter("_dir is not null")
     declared = (
-        small.join(found, "_key")
+        may.join(found, "_key")
+        .filter("_named or _is_whole or _small")
+        .withColumn("_rank", F.when(F.col("_named") | F.col("_is_whole"), 0).otherwise(1))
         .groupBy("_dir")
-        .agg(F.min(F.struct((-F.col("cosine")).alias("c"), F.col("_path"), F.col("license"))).alias("best"))
+        .agg(F.min(F.struct("_rank", (-F.col("cosine")).alias("c"), F.col("_path"), F.col("license"))).alias("best"))
         .select(F.col("_dir").alias("_above"), F.col("best.license").alias("_license"), (-F.col("best.c")).alias("_cosine"))
     )
     steps = F.split("_dir", "/")
@@ -131,5 +224,5 @@ def scan_licenses(files: DataFrame, path: str = "path", text: str = "text", leas
                 "license": F.coalesce("license", "_license"),
             }
         )
-        .drop("_key", "_dir", "_license", "_cosine", "cosine")
+        .drop("_key", "_dir", "_license", "_cosine", "cosine", "_is_whole")
     )
