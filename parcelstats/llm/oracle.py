@@ -90,3 +90,88 @@ SELECT f.doc_id,
        CASE WHEN o.license IS NOT NULL THEN 'notice' WHEN d.license IS NOT NULL THEN 'directory' END AS license_from
 FROM files f LEFT JOIN own o USING (doc_id) LEFT JOIN declared d ON d.dir = f.dir
 """.replace("TEMPLATE_ROWS", _TEMPLATES)
+
+
+def _assigned(centroids: str) -> str:
+    """Nearest centroid of every kept vector, the smaller number among equally near ones."""
+    distance = "list_sum([(q[i] - c[i]) * (q[i] - c[i]) for i in range(1, 65)])::BIGINT"
+    return (
+        f"SELECT vec_id, q, arg_min(number, (distance, number)) AS cluster, min(distance) AS distance"
+        f" FROM (SELECT row_id, vec_id, q, number, {distance} AS distance FROM kept, {centroids})"
+        f" GROUP BY row_id, vec_id, q"
+    )
+
+
+def _moved(centroids: str, assigned: str) -> str:
+    floor = "((s - ((s % n) + n) % n) // n)::BIGINT"
+    return (
+        f"SELECT number, coalesce(m.c, {centroids}.c) AS c FROM {centroids} LEFT JOIN ("
+        f" SELECT cluster, list({floor} ORDER BY place) AS c FROM ("
+        f" SELECT cluster, place, sum(x) AS s, count(*) AS n FROM ("
+        f" SELECT cluster, unnest(range(64)) AS place, unnest(q) AS x FROM {assigned})"
+        f" GROUP BY cluster, place) GROUP BY cluster) m ON m.cluster = number"
+    )
+
+
+OP11 = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row_id, vec_id, [floor(64 * x::DOUBLE)::BIGINT for x in embedding] AS q
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len([1 for x in embedding if x IS NOT NULL AND isfinite(x)]) = 64
+),
+c0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY h, q) - 1)::INTEGER AS number, q AS c
+  FROM (SELECT sha256('1:' || vec_id::VARCHAR) AS h, q FROM kept ORDER BY h, q LIMIT 16)
+),
+a0 AS MATERIALIZED ({_assigned("c0")}), c1 AS MATERIALIZED ({_moved("c0", "a0")}),
+a1 AS MATERIALIZED ({_assigned("c1")}), c2 AS MATERIALIZED ({_moved("c1", "a1")}),
+a2 AS MATERIALIZED ({_assigned("c2")}), c3 AS MATERIALIZED ({_moved("c2", "a2")}),
+a3 AS MATERIALIZED ({_assigned("c3")})
+SELECT vec_id, cluster, distance,
+  sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia,
+  sum(distance) OVER ()::BIGINT AS inertia,
+  sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a3 JOIN c3 ON cluster = number
+"""
+
+OP12 = """
+WITH payloads AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h
+  FROM pages
+),
+first AS (SELECT h, min(page_id) AS first_id FROM payloads GROUP BY h)
+SELECT page_id, payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((('0x' || substr(p.h, 1 + 10 * (i // 8), 10))::BIGINT >> (35 - 5 * (i % 8))) & 31)::INTEGER, 1)
+    for i in range(32)], '') AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM payloads p JOIN first f ON p.h = f.h
+"""
+
+OP13 = """
+WITH taking AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * x::DOUBLE)::BIGINT for x in embedding] AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([1 for x in embedding if x IS NOT NULL AND isfinite(x)]) = len(embedding)
+),
+scored AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same,
+    list_sum([a.q[i] * r.q[i] for i in range(1, len(a.q) + 1)])::BIGINT AS score
+  FROM taking a JOIN taking r ON a.vec_id <> r.vec_id AND len(a.q) = len(r.q)
+  WHERE a.vec_id % 50 = 0
+),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+),
+negatives AS (
+  SELECT anchor_id, positive_id, id AS negative_id, positive_score, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INTEGER AS rank
+  FROM positives JOIN scored USING (anchor_id)
+  WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+)
+SELECT * FROM negatives WHERE rank <= 3
+"""

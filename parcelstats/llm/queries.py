@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelstats.llm import bpe, language_model, oracle, quality, rules
+from parcelstats.llm import bpe, language_model, oracle, quality, rules, warc
+from parcelstats.llm.centroids import cluster_vectors
+from parcelstats.llm.hard_negatives import mine_hard_negatives
 from parcelstats.llm.licenses import scan_licenses
 from parcelstats.llm.mixing import mix_sources
 from parcelstats.llm.near_texts import link_near_texts
@@ -113,6 +115,29 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op12_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives written, every page looked up in their index, and its record read."""
+    pages = table(spark, sf_dir, "pages")
+    archives = warc.write_archives(pages)
+    captures = warc.fetch(archives, warc.look_up(archives, pages))
+    return captures.select(
+        F.col("page").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        F.col("kind").alias("record_type"),
+        "refers_to",
+    )
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(table(spark, sf_dir, "embeddings"), label=moved)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -126,6 +151,15 @@ QUERIES: dict[str, Query] = {
         op8_mix_sources,
         op9_secret_scan,
         op10_quality_rules,
+        op11_centroid_clusters,
+        op12_warc_round_trip,
+        op13_hard_negatives,
     )
 }
-ORACLE_SQL: dict[str, str] = {"op7_license_scan": oracle.OP7, "op8_mix_sources": oracle.OP8}
+ORACLE_SQL: dict[str, str] = {
+    "op7_license_scan": oracle.OP7,
+    "op8_mix_sources": oracle.OP8,
+    "op11_centroid_clusters": oracle.OP11,
+    "op12_warc_round_trip": oracle.OP12,
+    "op13_hard_negatives": oracle.OP13,
+}
