@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelstats.reference_data import SPECIAL_COMPLEXES
+
 ZONES = [11, 14, 21, 23, 26, 31, 38, 39, 43, 45, 49, 51, 60]
 
 
@@ -140,6 +142,15 @@ class Inputs:
             .distinct()
         )
 
+    def in_built_in_complexes(self, parcels: DataFrame) -> DataFrame:
+        """Two parcels in three move to one of the built-in complexes, whole complexes at a time."""
+        codes = F.array(*[F.lit(code) for code in sorted(SPECIAL_COMPLEXES)])
+        sub = F.expr("tmk div 10000 % 100000000")
+        code = F.element_at(codes, (sub % len(SPECIAL_COMPLEXES) + 1).cast("int")).cast("bigint")
+        moved = 2000000000000 + code * 10000 + F.col("tmk") % 10000
+        inside = F.expr("length(cast(tmk AS string)) = 13") & (sub % 3 != 0)
+        return parcels.withColumn("tmk", F.when(inside, moved).otherwise(F.col("tmk")))
+
     def tract_income(self) -> DataFrame:
         customer, nation = F.col("c_custkey"), F.col("c_nationkey")
         years = ["1980", "1990", "2000", "2006-2010", "2011-2015", "2016-2020"]

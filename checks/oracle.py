@@ -8,8 +8,8 @@ from __future__ import annotations
 
 import re
 
-from checks.raw_lines import dwelling_modulus
-from parcelstats.sources.layouts import DWELLINGS, fields, spans
+from checks.raw_lines import DWELLING_WIDTHS, dwelling_modulus
+from parcelstats.reference_data import SPECIAL_COMPLEXES
 
 TMK = "CAST(2000000000000 + zs * 10000000000 + cplx * 10000 + unit AS BIGINT)"
 RESIDENTIAL = "('owner-occupied', 'non-owner-occupied', 'tvr-strh', 'long-term-rental')"
@@ -278,31 +278,31 @@ VIEWS["known_ratio"] = """
   FROM hourly_known k JOIN hourly_reference r ON k.hour = r.hour WHERE r.mean <> 0"""
 
 
-def with_views(body: str) -> str:
+def with_views(body: str, views: dict[str, str] = VIEWS) -> str:
     """``body`` behind the views it uses, directly or through other views."""
 
     def used(text: str) -> set[str]:
         names = set(re.findall(r"[a-z_0-9]+", text))
-        return {v for v in VIEWS if v in names}
+        return {v for v in views if v in names}
 
     needed: set[str] = set()
     waiting = used(body)
     while waiting:
         name = waiting.pop()
         needed.add(name)
-        waiting |= used(VIEWS[name]) - needed - {name}
+        waiting |= used(views[name]) - needed - {name}
     ordered: list[str] = []
 
     def place(name: str) -> None:
         if name in ordered:
             return
-        for other in sorted(used(VIEWS[name]) - {name}):
+        for other in sorted(used(views[name]) - {name}):
             place(other)
         ordered.append(name)
 
     for name in sorted(needed):
         place(name)
-    ctes = [f"{name} AS ({VIEWS[name]})" for name in ordered]
+    ctes = [f"{name} AS ({views[name]})" for name in ordered]
     if body.startswith(STEPS):
         ctes.append("")
         body = body.removeprefix(STEPS)
@@ -310,12 +310,15 @@ def with_views(body: str) -> str:
 
 
 def fixed_width_dwellings() -> str:
-    layout = fields(DWELLINGS)
-    widths = [width for _, width in spans([start for _, start in layout])]
     columns = ["CAST(2000000000000 + l_partkey AS VARCHAR) AS tmk"]
-    for i, ((name, _), width) in list(enumerate(zip(layout, widths)))[1:]:
+    for i, (name, width) in list(enumerate(DWELLING_WIDTHS.items()))[1:]:
         number = f"(l_orderkey * {i + 3} + l_linenumber * 7 + {i}) % {dwelling_modulus(width)}"
-        columns.append(f"CAST({number} AS VARCHAR) AS {name}")
+        value = f"CAST({number} AS VARCHAR)"
+        if name == "building_grade":
+            value = f"CASE WHEN l_orderkey % 97 = 0 THEN 'B+' ELSE {value} END"
+        if name == "percent_complete":
+            value = f"CAST({number} + 1 AS VARCHAR) || '.5'"
+        columns.append(f"{value} AS {name}")
     return f"SELECT {', '.join(columns)} FROM lineitem"
 
 
@@ -457,6 +460,35 @@ GROUP BY GROUPING SETS ((flag, year), (year))""",
     "interpolate_generic": interpolated(
         "hourly_known", "hourly_reference", "hour", "event_type", "mean", "mean"
     ),
+    "median_of_times": """
+SELECT CASE WHEN GROUPING(event_type) = 1 THEN 'all' ELSE event_type END AS event_type,
+  CAST(TRUNC(MEDIAN(EPOCH_US(ts))) AS BIGINT) AS micros, COUNT(*) AS rows
+FROM events GROUP BY GROUPING SETS ((event_type), ())""",
+    "weighted_median_of_times": """
+SELECT users, ARG_MIN(micros, rn) AS micros FROM (
+  SELECT *, (running - w / 2) / total AS position, ROW_NUMBER() OVER (PARTITION BY users ORDER BY micros, w) AS rn FROM (
+    SELECT users, micros, w, SUM(w) OVER (PARTITION BY users) AS total,
+      SUM(w) OVER (PARTITION BY users ORDER BY micros, w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running
+    FROM (SELECT CASE WHEN user_id % 3 = 0 THEN 'hot' ELSE CAST(user_id % 5 AS VARCHAR) END AS users,
+            EPOCH_US(ts) AS micros, (user_id % 8) / 8 AS w FROM events)))
+WHERE position >= 0.5 GROUP BY users""",
+    "interpolate_segments": interpolated(
+        "hourly_known", "hourly_reference", "hour", "event_type", "mean", "mean"
+    ),
+    "csv_files_by_name": """
+, file1 AS (SELECT o_orderkey % 13 = 0 AS short, o_orderkey AS order_key,
+    CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE CAST(FLOOR(o_totalprice) AS BIGINT) END AS total_price,
+    STRFTIME(o_orderdate, '%Y-%m-%d') AS order_date, o_orderpriority || ', "x"' AS priority FROM orders)
+SELECT order_key, total_price, CASE WHEN NOT short THEN order_date END AS order_date,
+  CASE WHEN NOT short THEN priority END AS priority FROM file1
+UNION ALL SELECT order_key, CASE WHEN NOT short THEN total_price END,
+  CASE WHEN NOT short THEN order_date END, priority FROM file1""",
+    "complex_names": """
+, listed AS ({complexes}),
+moved AS (SELECT DISTINCT {moved} AS tmk FROM assessments)
+SELECT tmk, name IS NOT NULL AS is_special, name AS complex_name FROM moved
+LEFT JOIN listed ON CAST(SUBSTRING(CAST(tmk AS VARCHAR), 2, 8) AS BIGINT) = code
+WHERE LENGTH(CAST(tmk AS VARCHAR)) = 13""",
     "dense_grid_generic": """
 , counts AS (SELECT n_name AS nation, o_orderpriority AS priority, YEAR(o_orderdate) AS year, COUNT(*) AS orders
     FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2, 3)
@@ -524,18 +556,53 @@ def _firsts() -> str:
     return ", ".join(f"MIN({n}) FILTER (rn = 1) AS {n}" for n in names)
 
 
-#: Columns that ingest turns into whole numbers; the others stay text.
-INGESTED_NUMBERS = {
-    "assessments": [
-        "tmk", "parcel_year", "assessed_land_value", "land_exemption", "assessed_building_value",
-        "building_exemption",
+def moved_into_complexes() -> str:
+    codes = ", ".join(str(code) for code in sorted(SPECIAL_COMPLEXES))
+    sub = "tmk // 10000 % 100000000"
+    code = f"CAST([{codes}][{sub} % {len(SPECIAL_COMPLEXES)} + 1] AS BIGINT)"
+    return (
+        f"CASE WHEN LENGTH(CAST(tmk AS VARCHAR)) = 13 AND {sub} % 3 <> 0"
+        f" THEN 2000000000000 + {code} * 10000 + tmk % 10000 ELSE tmk END"
+    )
+
+
+def profile_in_complexes() -> str:
+    """The profile of condominiums over parcels moved into the built-in complexes."""
+    views = dict(VIEWS)
+    for name in ("assessments", "dwellings"):
+        views[name] = f"SELECT * REPLACE ({moved_into_complexes()} AS tmk) FROM ({VIEWS[name]})"
+    rows = ", ".join(f"({code})" for code in SPECIAL_COMPLEXES)
+    views["special_complexes"] = f"SELECT * FROM (VALUES {rows}) AS t(tmk_sub)"
+    return with_views(BODIES["condo_profile"].replace("{shares}", _shares()), views)
+
+
+def complexes() -> str:
+    rows = ", ".join("({}, '{}')".format(code, name.replace("'", "''")) for code, name in SPECIAL_COMPLEXES.items())
+    return f"SELECT * FROM (VALUES {rows}) AS t(code, name)"
+
+
+#: Columns whose values are texts or fractions; all others are whole numbers.
+TEXTS = {
+    "assessments": ["tax_rate_class"],
+    "dwellings": ["building_grade"],
+    "owners": [
+        "owner", "owner_type", "mailing_street_address", "mailing_city_state_zip",
+        "mailing_city_name", "mailing_state", "country",
     ],
-    "dwellings": [
-        "tmk", "parcel_year", "bed_rooms", "condo_type", "year_built", "effective_year_built",
-        "sf_of_living_area", "building_value",
+    "sales": [
+        "saledate", "recorddate", "instruno", "seller", "buyer", "note", "source", "remark",
     ],
-    "owners": ["tmk", "mailing_zip1"],
 }
+FRACTIONS = {"dwellings": ["percent_complete"]}
+
+
+def ingested(kind: str) -> str:
+    """The fields of an extract in the types that all their values have."""
+    doubles = FRACTIONS.get(kind, [])
+    others = ", ".join([*TEXTS[kind], *doubles])
+    kept = "".join(f", {c}" for c in TEXTS[kind]) + "".join(f", CAST({c} AS DOUBLE) AS {c}" for c in doubles)
+    whole = f"CAST(NULLIF(COLUMNS(* EXCLUDE ({others})), '') AS BIGINT)"
+    return f"SELECT {whole}{kept} FROM ({BODIES[f'fixed_width_{kind}']})"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -543,10 +610,9 @@ def oracle_sql() -> dict[str, str]:
     for name, body in BODIES.items():
         body = body.replace("{shares}", _shares()).replace("{firsts}", _firsts())
         body = body.replace("{owner_rollup}", BODIES["owner_rollup"])
+        body = body.replace("{moved}", moved_into_complexes()).replace("{complexes}", complexes())
         result[name] = with_views(body)
-    for kind, numbers in INGESTED_NUMBERS.items():
-        typed = ", ".join(f"CAST({n} AS BIGINT) AS {n}" for n in numbers)
-        result[f"ingest_{kind}"] = with_views(
-            f"SELECT * REPLACE ({typed}) FROM ({BODIES[f'fixed_width_{kind}']})"
-        )
+    result["condo_profile_built_in"] = profile_in_complexes()
+    for kind in TEXTS:
+        result[f"ingest_{kind}"] = with_views(ingested(kind))
     return result

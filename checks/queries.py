@@ -12,7 +12,12 @@ from pyspark.sql import functions as F
 from checks import raw_lines
 from checks.fixtures import Inputs
 from parcelstats.operators.census import tract_income
-from parcelstats.operators.geo import add_tract_region, add_zone_region
+from parcelstats.operators.geo import (
+    add_complex_code,
+    add_tract_region,
+    add_zone_region,
+    mark_special_complexes,
+)
 from parcelstats.operators.grid import dense_counts
 from parcelstats.operators.inflation import adjust_for_inflation, deflate_to_nominal
 from parcelstats.operators.keys import dedupe_bundle_sales, first_per_key, valid_parcel_key
@@ -26,7 +31,7 @@ from parcelstats.operators.property import (
     parcel_enriched,
     sale_normalise,
 )
-from parcelstats.operators.quantiles import weighted_median
+from parcelstats.operators.quantiles import grouped_medians, weighted_median
 from parcelstats.operators.series import interpolate_by_reference
 from parcelstats.plans import affordability, condo, construction, income, sales
 from parcelstats.plans.ingest import ingest
@@ -203,16 +208,49 @@ def median_generic(i: Inputs) -> DataFrame:
 
 
 @query
-def interpolate_generic(i: Inputs) -> DataFrame:
-    """Hourly means per event type, filled along the hourly mean of all types."""
+def median_of_times(i: Inputs) -> DataFrame:
+    """Median time of the events per type, in microseconds, in ranges of few values."""
+    times = i.table("events").select("event_type", F.expr("unix_micros(cast(ts AS TIMESTAMP))").alias("micros"))
+    medians = grouped_medians(times, ["event_type"], ["micros"], [["event_type"], []], cut=50)
+    kind = F.when(F.col("level") == 1, F.lit("all")).otherwise(F.col("event_type"))
+    return medians.select(kind.alias("event_type"), F.col("micros").cast("bigint").alias("micros"), "rows")
+
+
+@query
+def weighted_median_of_times(i: Inputs) -> DataFrame:
+    """Median time weighted by a fraction, where one group holds a third of the rows and more."""
+    user = F.col("user_id")
+    times = i.table("events").select(
+        F.when(user % 3 == 0, F.lit("hot")).otherwise((user % 5).cast("string")).alias("users"),
+        F.expr("unix_micros(cast(ts AS TIMESTAMP))").alias("micros"),
+        ((user % 8) / 8).alias("weight"),
+    )
+    return weighted_median(times, ["users"], "micros", "weight", cut=50)
+
+
+@query
+def interpolate_segments(i: Inputs) -> DataFrame:
+    """As ``interpolate_generic``, in segments of few hours."""
+    known, reference = _hourly(i)
+    return interpolate_by_reference(
+        known, reference, "mean", group="event_type", position="hour", segment=20
+    )
+
+
+def _hourly(i: Inputs) -> tuple[DataFrame, DataFrame]:
     points = i.table("events").select(
         F.expr("timestampdiff(HOUR, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)").alias("hour"),
         "event_type",
         F.round(F.col("value") * 100).cast("bigint").alias("cents"),
     )
     mean = F.expr("sum(cents) * 100 div count(*)").alias("mean")
-    known = points.groupBy("hour", "event_type").agg(mean)
-    reference = points.groupBy("hour").agg(mean)
+    return points.groupBy("hour", "event_type").agg(mean), points.groupBy("hour").agg(mean)
+
+
+@query
+def interpolate_generic(i: Inputs) -> DataFrame:
+    """Hourly means per event type, filled along the hourly mean of all types."""
+    known, reference = _hourly(i)
     return interpolate_by_reference(known, reference, "mean", group="event_type", position="hour")
 
 
@@ -304,6 +342,42 @@ def ingest_owners(i: Inputs) -> DataFrame:
     return ingested(i, "owners", raw_lines.owner_lines(i))
 
 
+@query
+def ingest_sales(i: Inputs) -> DataFrame:
+    """The file begins with the header; its copies and other noise lie between the data."""
+    header = i.spark.range(1).select(F.lit(raw_lines.sales_header()).alias("value"))
+    return ingested(i, "sales", header.union(raw_lines.sales_lines(i)))
+
+
+@query
+def csv_files_by_name(i: Inputs) -> DataFrame:
+    """Files with columns in another order, read by a pattern; ragged lines and bad values."""
+    folder = scratch_folder(i.spark)
+    orders = {
+        "1995": ["Order Key", "Total / Price", "Order Date", "Priority"],
+        "1996": ["Priority", "Order Key", "Extra", "Order Date", "Total / Price"],
+    }
+    for name, columns in orders.items():
+        raw_lines.csv_lines(i, columns).write.text(f"{folder}/orders-{name}")
+    wanted = ["order_key", "total_price", "order_date", "priority"]
+    types = {"order_key": "bigint", "total_price": "bigint"}
+    return read_csv(i.spark, f"{folder}/orders-*", wanted, types, by_name=True)
+
+
+@query
+def condo_profile_built_in(i: Inputs) -> DataFrame:
+    """Condominium subsets with the built-in complexes, on parcels that lie in them."""
+    moved = [i.in_built_in_complexes(t) for t in (i.assessments(), i.dwellings())]
+    return condo.condo_characteristics(*moved)
+
+
+@query
+def complex_names(i: Inputs) -> DataFrame:
+    """Parcels with the name of their complex, where it is one of the built-in ones."""
+    parcels = valid_parcel_key(i.in_built_in_complexes(i.assessments()).select("tmk").distinct())
+    return mark_special_complexes(add_complex_code(parcels)).select("tmk", "is_special", "complex_name")
+
+
 # Names of the survey where a function of that name is already in use.
 for name, build in {
     "valid_parcel_key": "valid_parcel_keys",

@@ -6,14 +6,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from checks.fixtures import Inputs, _tmk
-from parcelstats.sources.layouts import (
-    DWELLINGS,
-    SALES_STARTS,
-    WINDOWS_1252_C1,
-    fields,
-    spans,
-)
-
+from parcelstats.sources.layouts import WINDOWS_1252_C1
+
+# Fields of the dwellings and of the sales with their widths, stated here once
+# more so that the layouts of the library are checked too.
+DWELLING_WIDTHS = {
+    "tmk": 13, "parcel_year": 5, "card_number": 5, "story_height": 7, "exterior_wall": 3,
+    "framing": 3, "style_occupancy": 2, "roof_design": 3, "full_baths": 7, "half_baths": 7,
+    "additional_fixtures": 7, "total_fixtures": 6, "air_conditioning": 1, "attic": 1,
+    "total_rooms": 5, "bed_rooms": 5, "family_rooms": 5, "foundation": 3, "basement": 1,
+    "construction": 2, "flooring": 3, "interior_wall_structure": 3, "roof_material": 3,
+    "interior_wall_material": 3, "condo_floor_level": 8, "condo_type": 3, "condo_view": 3,
+    "condo_parking_spaces": 3, "condo_style": 3, "duplex": 3, "year_built": 5,
+    "effective_year_built": 5, "physical_condition": 1, "building_grade": 3,
+    "building_shape_factor": 3, "percent_complete": 11, "ceiling_material": 3,
+    "sf_of_living_area": 7, "sf_of_bldg_foot_print": 8, "addition_living_area_in_sf": 8,
+    "building_value": 11, "built_in_fire_place_linear_feet": 6, "no_prefab_fire_places": 2,
+    "no_wood_burning_fire_places": 2, "cost_and_design_adjustment": None,
+}
+SALES_WIDTHS = [18, 11, 11, 11, 21, 41, 41, 41, 9, 9, 41, 41, 41, 3, None]
 SALES_NAMES = [
     "parid", "saledate", "recorddate", "price", "instruno", "landcourt_no", "cert_no", "seller",
     "book", "page", "buyer", "note", "source", "cd", "remark",
@@ -60,14 +71,20 @@ def dwelling_modulus(width: int | None) -> int:
 
 
 def dwelling_lines(inputs: Inputs) -> DataFrame:
-    """45 fields: the key, then numbers padded in three ways."""
-    starts = [start for _, start in fields(DWELLINGS)]
+    """45 fields: the key, then numbers padded in three ways.
+
+    Grades are letters here and there, percentages have a fraction.
+    """
     parts = [zeros(2000000000000 + F.col("l_partkey"), 13)]
-    for i, (_, width) in list(enumerate(spans(starts)))[1:]:
-        number = (F.col("l_orderkey") * (i + 3) + F.col("l_linenumber") * 7 + i) % dwelling_modulus(
-            width
-        )
-        parts.append([zeros, left, right][i % 3](number, width or 8))
+    order = F.col("l_orderkey")
+    for i, (name, width) in list(enumerate(DWELLING_WIDTHS.items()))[1:]:
+        number = (order * (i + 3) + F.col("l_linenumber") * 7 + i) % dwelling_modulus(width)
+        value = number.cast("string")
+        if name == "building_grade":
+            value = F.when(order % 97 == 0, "B+").otherwise(value)
+        if name == "percent_complete":
+            value = F.concat((number + 1).cast("string"), F.lit(".5"))
+        parts.append([zeros, left, right][i % 3](value, width or 8))
     return inputs.table("lineitem").select(F.concat(*parts).alias("value"))
 
 
@@ -93,7 +110,7 @@ def sales_header() -> str:
     """The header line; every field but the last is padded to its width."""
     padded = [
         (name.upper().ljust(width - 1) if width else name.upper()) + ","
-        for name, (_, width) in zip(SALES_NAMES, spans(SALES_STARTS))
+        for name, width in zip(SALES_NAMES, SALES_WIDTHS)
     ]
     return "".join(padded)
 
@@ -121,7 +138,7 @@ def sales_lines(inputs: Inputs) -> DataFrame:
     ]
     parts = [
         F.concat(left(value, width - 1) if width else value.cast("string"), F.lit(","))
-        for value, (_, width) in zip(values, spans(SALES_STARTS))
+        for value, width in zip(values, SALES_WIDTHS)
     ]
     data = encode_windows_1252(F.concat(*parts))
     noise = F.array(
@@ -129,3 +146,23 @@ def sales_lines(inputs: Inputs) -> DataFrame:
     )
     lines = F.when(order % 50 == 0, F.concat(F.array(data), noise)).otherwise(F.array(data))
     return inputs.table("orders").select(F.explode(lines).alias("value"))
+
+
+def csv_lines(inputs: Inputs, columns: list[str]) -> DataFrame:
+    """Orders as CSV lines behind a header, some too short, some too long, some with bad values.
+
+    One partition, because the header must stay in front.
+    """
+    order = F.col("o_orderkey")
+    values = {
+        "Order Key": order.cast("string"),
+        "Total / Price": F.when(order % 17 == 0, "n/a").otherwise(F.floor("o_totalprice").cast("string")),
+        "Order Date": F.date_format("o_orderdate", "yyyy-MM-dd"),
+        "Priority": F.concat(F.lit('"'), "o_orderpriority", F.lit(', ""x"""')),
+        "Extra": F.lit("-"),
+    }
+    whole = F.concat_ws(",", *[values[c] for c in columns])
+    short = F.concat_ws(",", *[values[c] for c in columns[:2]])
+    line = F.when(order % 13 == 0, short).when(order % 11 == 0, F.concat(whole, F.lit(",more,more"))).otherwise(whole)
+    header = inputs.spark.range(1).select(F.lit(",".join(columns)).alias("value"))
+    return header.union(inputs.table("orders").select(line.alias("value"))).coalesce(1)

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelstats.reference_data import FIRST_BUILT_YEAR, LAST_BUILT_YEAR
 
 #: Values of a dimension that are attached to a row at once.
 BLOCK = 10_000
+#: Combinations that one task makes where the values are not broadcast.
+TASK_ROWS = 1_000_000
 
 
 def dense_counts(counts: DataFrame, dims: Sequence[str], count: str) -> DataFrame:
@@ -24,26 +26,38 @@ def dense_counts(counts: DataFrame, dims: Sequence[str], count: str) -> DataFram
     """
     first, *others = dims
     grid = counts.select(first).distinct()
+    n_rows = grid.agg(F.count("*")).scalar()
     for dim in others:
-        grid = with_each_value(grid, counts.select(dim).distinct())
+        values = counts.select(dim).distinct()
+        n_values = values.agg(F.count("*")).scalar()
+        grid = with_each_value(grid, values, n_rows, n_values)
+        n_rows = n_rows * n_values
     filled = F.coalesce(F.col(count), F.lit(0).cast("bigint"))
     return grid.join(counts, list(dims), "left").withColumn(count, filled)
 
 
-def with_each_value(rows: DataFrame, domain: DataFrame) -> DataFrame:
+def with_each_value(rows: DataFrame, domain: DataFrame, n_rows: Column, n_values: Column) -> DataFrame:
     """Each of ``rows`` with each value of ``domain``, one column of distinct values.
 
-    The values come in arrays of about ``BLOCK`` that a row finds by the array's number.
+    The values come in arrays of about ``BLOCK`` that a row finds by the array's number and by
+    a salt of the row. There are as many salts, each with a copy of the arrays, as leave a
+    task about ``TASK_ROWS`` combinations, so few blocks do not mean few tasks. ``n_rows`` and
+    ``n_values`` are the numbers of rows of the two sides.
     """
     (name,) = domain.columns
-    n_blocks = domain.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / BLOCK).cast("int"))).scalar()
+    n_blocks = F.greatest(F.lit(1), F.ceil(n_values / BLOCK)).cast("int")
+    n_salts = F.greatest(F.lit(1), F.ceil(n_rows * (n_values / n_blocks) / TASK_ROWS)).cast("int")
     number = F.pmod(F.xxhash64(name), n_blocks.cast("bigint")).cast("int").alias("_block")
-    blocks = domain.select(number, F.struct(name).alias("_value")).groupBy("_block").agg(
-        F.collect_set("_value").alias("_values")
+    blocks = (
+        domain.select(number, F.struct(name).alias("_value"))
+        .groupBy("_block")
+        .agg(F.collect_set("_value").alias("_values"))
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), n_salts - 1)))
     )
+    salt = F.pmod(F.xxhash64(*rows.columns), n_salts.cast("bigint")).cast("int")
     return (
-        rows.withColumn("_block", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
-        .join(blocks, "_block")
+        rows.withColumns({"_block": F.explode(F.sequence(F.lit(0), n_blocks - 1)), "_salt": salt})
+        .join(blocks, ["_block", "_salt"])
         .withColumn("_value", F.explode("_values"))
         .select(*rows.columns, F.col(f"_value.{name}").alias(name))
     )
@@ -61,6 +75,14 @@ def add_decade(
     )
 
 
+def decade_span(first: Column, last: Column) -> list[Column]:
+    """``decade_desc`` and ``num_years`` of a decade from its first and last observed year."""
+    return [
+        F.concat_ws("-", first, last).alias("decade_desc"),
+        (last - first + 1).alias("num_years"),
+    ]
+
+
 def decade_bins(df: DataFrame, first: str = "year_built", last: str | None = None) -> DataFrame:
     """Per decade the observed year range as ``decade_desc`` and its ``num_years``.
 
@@ -70,9 +92,5 @@ def decade_bins(df: DataFrame, first: str = "year_built", last: str | None = Non
     return (
         df.groupBy("decade")
         .agg(F.min(first).alias("_start"), F.max(last or first).alias("_end"))
-        .select(
-            "decade",
-            F.concat_ws("-", F.col("_start"), F.col("_end")).alias("decade_desc"),
-            (F.col("_end") - F.col("_start") + 1).alias("num_years"),
-        )
+        .select("decade", *decade_span(F.col("_start"), F.col("_end")))
     )

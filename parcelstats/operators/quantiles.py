@@ -1,12 +1,12 @@
 """Exact medians that never gather a group in one task (AGG-4, OP-11).
 
 Both operators work on distinct values with their weights. A first aggregate per
-value runs partly before the exchange and spreads a hot group over its values.
-The values are then counted in buckets of a fixed logarithmic scale, ordered like
-the values. A running sum over the few buckets of a group finds the bucket that
-holds the median, and only the values of that bucket are sorted. With a ``depth``
-above 1 the bucket is divided again in the same way first, which suits values that
-lie close together for their size, such as time stamps.
+value runs partly before the exchange and spreads a hot group over its values. A
+group of more than ``cut`` distinct values is then divided into ranges: a quantile
+sketch of its values gives the boundaries, so that the ranges hold about equally many
+values however close together these lie. The ranges are counted, a running sum over
+them finds the range that holds the median, and only the values of that range are
+sorted. With a ``depth`` above 1 a range that is still long is divided again.
 
 Values are compared as doubles: whole numbers are exact up to 2^53.
 """
@@ -18,23 +18,69 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-# Buckets per power of two, and parts of a bucket at each further depth. A bucket
-# holds at most |v| / 5900 whole numbers, and a group of 64-bit numbers at most about
-# 520,000 buckets.
-BUCKETS_PER_OCTAVE = 4096
-_LAST = (1 << 63) - 1
+#: Distinct values of a group that one task sorts without dividing the group.
+SORTED_VALUES = 1_000_000
+#: A group is divided into SPLITS * SPLITS ranges; a value finds its range in two steps.
+SPLITS = 32
+#: Highest number of a range.
+MOST_RANGES = SPLITS * SPLITS
 
 
-def buckets_of(value: Column, depth: int = 1) -> dict[str, Column]:
-    """Bucket numbers that order like the value; null for null, NaN last."""
-    place = F.signum(value) * F.log2(F.abs(value) + 1)
-    columns = {}
-    for level in range(depth):
-        place = place * BUCKETS_PER_OCTAVE
-        number = F.floor(place)
-        columns[f"_bucket{level}"] = F.when(F.isnan(value), F.lit(_LAST)).otherwise(number)
-        place = place - number
-    return columns
+def range_bounds(values: DataFrame, keys: Sequence[str], cut: int) -> DataFrame:
+    """Boundaries of the groups with more than ``cut`` rows: (keys, _upper, _inner).
+
+    ``_inner`` has SPLITS lists of boundaries and ``_upper`` the last one of each. There are
+    at most rows / cut such groups, with SPLITS * SPLITS boundaries each.
+    """
+    parts = SPLITS * SPLITS
+    number = F.col("_value").cast("double")
+    known = F.when(~F.isnan(number), number)
+    ranks = F.array(*[F.lit(i / parts) for i in range(1, parts + 1)])
+    lists = F.transform(
+        F.sequence(F.lit(0), F.lit(SPLITS - 1)),
+        lambda i: F.slice("_bounds", i * SPLITS + 1, F.lit(SPLITS)),
+    )
+    return (
+        values.groupBy(*keys)
+        .agg(F.count("_value").alias("_distinct"), F.percentile_approx(known, ranks, 4 * parts).alias("_bounds"))
+        .filter(F.col("_distinct") > cut)
+        .select(*keys, lists.alias("_inner"))
+        .withColumn("_upper", F.transform("_inner", lambda x: F.element_at(x, -1)))
+    )
+
+
+def range_number(value: Column, upper: Column, inner: Column) -> Column:
+    """Number of the boundaries below the value, which orders like the value; null for null.
+
+    NaN comes after all boundaries. Without boundaries every value has the number 0.
+    """
+    value = value.cast("double")
+    place = F.size(F.filter(upper, lambda b: b < value))
+    within = F.get(inner, place)
+    below = F.coalesce(F.size(F.filter(within, lambda b: b < value)), F.lit(0))
+    return F.when(value.isNotNull(), F.when(upper.isNull(), 0).otherwise(place * SPLITS + below))
+
+
+def _on(keys: Sequence[str]) -> Column:
+    matching = F.lit(True)
+    for k in keys:
+        matching = matching & F.col(k).eqNullSafe(F.col(f"_at_{k}"))
+    return matching
+
+
+def _joined(values: DataFrame, other: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on the keys; null keys match each other. Spark broadcasts ``other`` where it is small."""
+    renamed = other.select(
+        *[F.col(k).alias(f"_at_{k}") for k in keys], *[c for c in other.columns if c not in keys]
+    )
+    return values.join(renamed, _on(keys), how).drop(*[f"_at_{k}" for k in keys])
+
+
+def _with_ranges(values: DataFrame, keys: Sequence[str], name: str, cut: int) -> DataFrame:
+    """Number of the range of each value within its group."""
+    bounded = _joined(values, range_bounds(values, keys, cut), keys, "left")
+    number = range_number(F.col("_value"), F.col("_upper"), F.col("_inner"))
+    return bounded.withColumn(name, number).drop("_upper", "_inner")
 
 
 def _frames(keys: Sequence[str], order: str) -> tuple[WindowSpec, WindowSpec, WindowSpec]:
@@ -48,28 +94,15 @@ def _frames(keys: Sequence[str], order: str) -> tuple[WindowSpec, WindowSpec, Wi
     )
 
 
-def _values_of_buckets(
-    values: DataFrame, targets: DataFrame, keys: Sequence[str], few_groups: bool
-) -> DataFrame:
-    """Rows of ``values`` that fall into a target bucket; null keys match each other."""
-    renamed = targets.select(
-        *[F.col(k).alias(f"_at_{k}") for k in keys], *[c for c in targets.columns if c not in keys]
-    )
-    if few_groups:
-        renamed = F.broadcast(renamed)
-    matching = F.lit(True)
-    for k in keys:
-        matching = matching & F.col(k).eqNullSafe(F.col(f"_at_{k}"))
-    return values.join(renamed, matching, "inner").drop(*[f"_at_{k}" for k in keys])
-
-
 def grouped_medians(
     df: DataFrame,
     keys: Sequence[str],
     measures: Sequence[str],
     levels: Sequence[Sequence[str]] | None = None,
     weight: str | None = None,
-    few_groups: bool = False,
+    lowest: Sequence[str] = (),
+    highest: Sequence[str] = (),
+    cut: int = SORTED_VALUES,
     depth: int = 1,
 ) -> DataFrame:
     """Exact median of each measure per group, for one or several grouping levels.
@@ -78,18 +111,19 @@ def grouped_medians(
     measure (mean of the two middle values, nulls skipped) and ``rows``, the group
     size with nulls included. ``weight`` names a column of row counts for input
     that is already aggregated. Keys outside a level are null, as are null keys:
-    tell them apart by ``level``.
+    tell them apart by ``level``. The minima of the columns ``lowest`` and the maxima
+    of the columns ``highest`` come along under their names.
 
-    ``few_groups`` promises that the keys bound the number of groups (regions, years).
-    The buckets to look into, at most two per group and measure, are then broadcast
-    and the values are not exchanged again.
+    At most ``cut`` distinct values are sorted in one go where a group has more.
     """
     levels = [list(level) for level in (levels or [keys])]
     count = F.sum(weight) if weight else F.count("*")
+    extremes = {**dict.fromkeys(lowest, F.min), **dict.fromkeys(highest, F.max)}
     values = (
         df.groupingSets([level + [m] for level in levels for m in measures], *keys, *measures)
         .agg(
             count.alias("_n"),
+            *[extreme(c).alias(f"_{c}") for c, extreme in extremes.items()],
             *[F.grouping(c).alias(f"_without_{c}") for c in [*keys, *measures]],
         )
         .withColumn("_level", _level_number(keys, levels))
@@ -97,30 +131,33 @@ def grouped_medians(
         .withColumn("_value", F.coalesce(*[F.col(m).cast("double") for m in measures]))
     )
     group = [*keys, "_level", "_measure"]
-    buckets = buckets_of(F.col("_value"), depth)
-    values = values.withColumns(buckets).select(*group, *buckets, "_value", "_n")
+    found = values.select(*group, "_value", "_n", *[f"_{c}" for c in extremes])
 
     low = F.expr("(_filled + 1) div 2")
     high = F.expr("_filled div 2 + 1")
     holds_middle = (F.col("_upto") >= low) & (F.col("_upto") - F.col("_n") < high)
 
-    is_filled = F.col("_bucket0").isNotNull()
+    is_filled = F.col("_range0").isNotNull()
     filled = F.when(is_filled, F.col("_n")).otherwise(0)
     holds_middle = (F.col("_filled") == 0) | (is_filled & holds_middle)
 
-    found, scope, known = values, group, ["_rows", "_filled", "_before"]
-    for bucket in buckets:
+    whole_group = [f"_all_{c}" for c in extremes]
+    scope, known = group, ["_rows", "_filled", "_before", *whole_group]
+    for level in range(depth):
+        bucket = f"_range{level}"
+        found = _with_ranges(found, scope, bucket, cut)
         so_far, _, whole = _frames(scope, bucket)
-        carried = [] if scope == group else [F.max(c).alias(c) for c in known]
-        counted = found.groupBy(*scope, bucket).agg(
-            F.sum("_n").alias("_n"), *carried
-        )
+        carried = [F.max(c).alias(c) for c in known]
+        if scope == group:
+            carried = [extreme(f"_{c}").alias(f"_{c}") for c, extreme in extremes.items()]
+        counted = found.groupBy(*scope, bucket).agg(F.sum("_n").alias("_n"), *carried)
         if scope == group:
             counted = counted.withColumns(
                 {
                     "_rows": F.sum("_n").over(whole),
                     "_filled": F.sum(filled).over(whole),
                     "_before": F.lit(0),
+                    **{f"_all_{c}": extreme(f"_{c}").over(whole) for c, extreme in extremes.items()},
                 }
             )
         scope = [*scope, bucket]
@@ -130,7 +167,7 @@ def grouped_medians(
             .withColumn("_before", F.col("_upto") - filled)
             .select(*scope, *known)
         )
-        found = _values_of_buckets(values, targets, scope, few_groups)
+        found = _joined(found.drop(*known), targets, scope, "inner")
 
     in_order, _, _ = _frames(scope, "_value")
     middle = found.withColumn(
@@ -142,7 +179,11 @@ def grouped_medians(
         medians.append(((F.min(value) + F.max(value)) / 2).alias(measure))
     return (
         middle.groupBy(*keys, "_level")
-        .agg(*medians, F.max("_rows").alias("rows"))
+        .agg(
+            *medians,
+            F.max("_rows").alias("rows"),
+            *[F.max(f"_all_{c}").alias(c) for c in extremes],
+        )
         .withColumnRenamed("_level", "level")
     )
 
@@ -169,7 +210,7 @@ def weighted_median(
     keys: Sequence[str],
     value: str,
     weight: str,
-    few_groups: bool = False,
+    cut: int = SORTED_VALUES,
     depth: int = 1,
 ) -> DataFrame:
     """Weighted median per group: keys and ``value``.
@@ -181,29 +222,30 @@ def weighted_median(
 
     Positions never fall along the order. The last row of a value, its heaviest,
     therefore decides for the whole value, and the sum and maximum of the weights
-    per value are enough. ``few_groups`` as in ``grouped_medians``.
+    per value are enough. ``cut`` as in ``grouped_medians``.
     """
-    keys = list(keys)
-    buckets = buckets_of(F.col("_value").cast("double"), depth)
-    values = (
-        df.groupBy(*keys, F.col(value).alias("_value"))
+    keys, outer = [*keys, "_all"], list(keys)
+    found = (
+        df.withColumn("_all", F.lit(0))
+        .groupBy(*keys, F.col(value).alias("_value"))
         .agg(F.sum(weight).alias("_weight"), F.max(weight).alias("_last"))
-        .withColumns(buckets)
     )
 
     def reached(upto: Column, last: str) -> Column:
         position = F.try_divide(upto - F.col(last) / 2, F.col("_total"))
         return F.coalesce(position >= 0.5, F.lit(False))
 
-    # The weight of the last weighted row of a bucket; max_by skips a null order,
-    # the null bucket has a single value.
+    # The weight of the last weighted row of a range; max_by skips a null order,
+    # the null range has a single value.
     weighted_value = F.when(F.col("_last").isNotNull(), F.col("_value"))
     last_weight = F.coalesce(F.max_by("_last", weighted_value), F.max("_last"))
     before = F.col("_upto") - F.coalesce(F.col("_weight"), F.lit(0))
     reached_here = reached(F.col("_upto"), "_last") & ~reached(before, "_last_before")
 
-    found, scope = values, keys
-    for bucket in buckets:
+    scope = keys
+    for level in range(depth):
+        bucket = f"_range{level}"
+        found = _with_ranges(found, scope, bucket, cut)
         so_far, earlier, whole = _frames(scope, bucket)
         carried = [] if scope == keys else [F.max(c).alias(c) for c in ("_total", "_before")]
         counted = found.groupBy(*scope, bucket).agg(
@@ -224,10 +266,10 @@ def weighted_median(
             .filter(reached_here)
             .select(*scope, "_total", before.alias("_before"))
         )
-        found = _values_of_buckets(values, targets, scope, few_groups)
+        found = _joined(found.drop("_total", "_before"), targets, scope, "inner")
 
     in_order, _, _ = _frames(scope, "_value")
-    # Should rounding of fractional weights hide the crossing seen for the bucket,
+    # Should rounding of fractional weights hide the crossing seen for the range,
     # its last weighted value is the one.
     chosen = F.coalesce(
         F.min(F.when(reached(F.col("_upto"), "_last"), F.col("_value"))),
@@ -236,6 +278,6 @@ def weighted_median(
     running = F.coalesce(F.sum("_weight").over(in_order), F.lit(0))
     return (
         found.withColumn("_upto", F.col("_before") + running)
-        .groupBy(*keys)
+        .groupBy(*outer)
         .agg(chosen.alias(value))
     )

@@ -32,7 +32,7 @@ def property_affordability(property_sales: DataFrame, household_income: DataFram
         F.col("adj_price").cast("double"), F.col("adj_median_household_income").cast("double")
     )
     return (
-        property_sales.join(F.broadcast(income), ["region", "year"])
+        property_sales.join(income, ["region", "year"])
         .select(
             "region",
             "year",

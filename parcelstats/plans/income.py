@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelstats.lineage import cut_lineage
 from parcelstats.operators.census import county_income, tract_income, tract_population
 from parcelstats.operators.geo import add_tract_region
 from parcelstats.operators.inflation import adjust_for_inflation, deflate_to_nominal
@@ -83,12 +82,10 @@ def household_income_interpolated(
     annual = splice_series(
         annual_reference_income(state_reference), annual_reference_income(county_reference)
     )
-    reference = cut_lineage(
-        adjust_for_inflation(annual, cpi, INCOME, base_year).select("year", ADJUSTED)
-    )
+    reference = adjust_for_inflation(annual, cpi, INCOME, base_year).select("year", ADJUSTED)
     regions = _regions(tracts, population, cpi, base_year)
     county_years = _county(county, cpi, base_year)
     # A row per region and census year; the county is one more region to fill.
-    known = cut_lineage(regions.unionByName(county_years.select(*regions.columns)))
+    known = regions.unionByName(county_years.select(*regions.columns))
     filled = interpolate_by_reference(known, reference, ADJUSTED)
     return _published(deflate_to_nominal(filled, cpi, INCOME, base_year), ["region", "year"])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,26 +33,81 @@ def read_csv(
     columns: Sequence[str] = (),
     types: Mapping[str, str] | None = None,
     multi_line: bool = False,
+    by_name: bool = False,
 ) -> DataFrame:
     """Header CSV files as strings, or leniently cast to ``types``.
 
-    Types are stated, never inferred: inference costs a pass over the data and turns
-    date strings into dates. A value that does not fit its type becomes null. Lines
-    with too many fields lose the extra ones, short lines are filled with nulls. All
-    files of a path must have the same columns in the same order. ``multi_line`` allows
-    line breaks in quotes, at the price of one task per file.
+    A value that does not fit its type becomes null. Lines with too many fields lose the
+    extra ones, short lines are filled with nulls. ``multi_line`` allows line breaks in
+    quotes, at the price of one task per file. Use ``infer_types`` for types that follow from
+    all values.
+
+    All files of a path must have the same header, and a file with another one fails the
+    query. ``by_name`` allows files with other columns or another order: their headers
+    are read first, a short job per file, files of one header are read together, and columns
+    match by their normalised names; a column that a file lacks is null in its rows.
     """
-    raw = spark.read.csv(
-        path,
-        header=True,
-        inferSchema=False,
-        mode="PERMISSIVE",
-        escape='"',
-        # Stands in for a missing value, so that a quoted empty text stays a text.
-        nullValue="\0",
-        multiLine=multi_line,
-    )
-    return with_types(normalise_columns(raw, columns), types or {})
+
+    def scan(paths: str | Sequence[str]) -> DataFrame:
+        raw = spark.read.csv(
+            paths,
+            header=True,
+            inferSchema=False,
+            enforceSchema=False,
+            mode="PERMISSIVE",
+            escape='"',
+            # Stands in for a missing value, so that a quoted empty text stays a text.
+            nullValue="\0",
+            multiLine=multi_line,
+        )
+        return normalise_columns(raw, columns)
+
+    if not by_name:
+        return with_types(scan(path), types or {})
+    files = sorted(spark.read.text(path).inputFiles())
+    with ThreadPoolExecutor(8) as pool:
+        headers = list(pool.map(lambda file: tuple(spark.read.csv(file, header=True, escape='"').columns), files))
+    same: dict[tuple[str, ...], list[str]] = {}
+    for file, header in zip(files, headers):
+        same.setdefault(header, []).append(file)
+    parts = [scan(paths) for paths in same.values()]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    return with_types(rows, types or {})
+
+
+# Texts that are a whole number, a number, a truth value.
+WHOLE = r"^[+-]?[0-9]+$"
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+TRUTH = r"^(true|false)$"
+
+
+def infer_types(df: DataFrame) -> dict[str, str]:
+    """Types that all values of the text columns have: bigint, double, boolean or string.
+
+    One pass over all rows: every task forms its verdict on each column, and the verdicts are
+    combined. Nulls and empty texts fit every type; a column without any value is a string.
+    Whole numbers beyond 64 bits make a double. Columns that are no text keep their type.
+    """
+    texts = [name for name, kind in df.dtypes if kind == "string"]
+    checks = []
+    for i, name in enumerate(texts):
+        value = F.nullif(F.col(f"`{name}`"), F.lit(""))
+        whole = F.when(value.rlike(WHOLE), value.try_cast("bigint").isNotNull()).when(value.isNotNull(), False)
+        checks += [
+            F.bool_and(whole).alias(f"w{i}"),
+            F.bool_and(value.rlike(NUMBER)).alias(f"n{i}"),
+            F.bool_and(value.rlike(TRUTH)).alias(f"t{i}"),
+        ]
+    if not texts:
+        return {}
+    verdicts = df.agg(*checks).first()
+    found = {}
+    for i, name in enumerate(texts):
+        kinds = (("w", "bigint"), ("n", "double"), ("t", "boolean"))
+        found[name] = next((kind for mark, kind in kinds if verdicts[f"{mark}{i}"]), "string")
+    return found
 
 
 def with_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:

@@ -244,13 +244,25 @@ def read_lines(spark: SparkSession, path: str, line_feed_only: bool = False) ->
     return reader.text(path)
 
 
-def first_line(lines: DataFrame) -> str:
-    """The first line that is not blank, the header of a sales file."""
+def header_line(lines: DataFrame) -> str:
+    """The header of a sales file: found in all its parts, in one pass.
+
+    The header is repeated between the data, so any of its copies will do; copies that
+    differ are an error. A file whose header does not begin as usual has it in its first
+    line that is not blank.
+    """
     text = strip_space(decode_windows_1252(F.col("value")))
-    found = lines.select(text.alias("value")).filter(F.col("value") != "").head(1)
-    if not found:
-        raise ValueError("sales file without a header line")
-    return found[0]["value"]
+    filled = lines.select(text.alias("value")).filter(F.col("value") != "")
+    copies = filled.filter(F.col("value").startswith(SALES_HEADER_PREFIX))
+    first, last = copies.agg(F.min("value"), F.max("value")).first()
+    if first is None:
+        found = filled.head(1)
+        if not found:
+            raise ValueError("sales file without a header line")
+        return found[0]["value"]
+    if first != last:
+        raise ValueError(f"sales files with different headers: {first!r}, {last!r}")
+    return first
 
 
 def read_assessments(spark: SparkSession, path: str) -> DataFrame:
@@ -269,4 +281,4 @@ def read_owners(spark: SparkSession, path: str) -> DataFrame:
 def read_sales(spark: SparkSession, path: str) -> DataFrame:
     """The header is read once, as the schema of the file; the data is not collected."""
     lines = read_lines(spark, path, line_feed_only=True)
-    return with_types(parse_sales(lines, first_line(lines)), TYPES["sales"])
+    return with_types(parse_sales(lines, header_line(lines)), TYPES["sales"])

@@ -6,31 +6,32 @@ from __future__ import annotations
 # Field names with their first character position, counted from 1. A
 # field reaches to the start of the next one, the last field to the end of the line.
 # ---------------------------------------------------------------------------
-ASSESSMENTS = """
-tmk 1, parcel_year 14, land_class 19, tax_rate_class 23, assessed_land_value 27,
-land_exemption 40, assessed_building_value 53, building_exemption 66
-"""
-
-DWELLINGS = """
-tmk 1, parcel_year 14, card_number 19, story_height 24, exterior_wall 31, framing 34,
-style_occupancy 37, roof_design 39, full_baths 42, half_baths 49, additional_fixtures 56,
-total_fixtures 63, air_conditioning 69, attic 70, total_rooms 71, bed_rooms 76,
-family_rooms 81, foundation 86, basement 89, construction 90, flooring 92,
-interior_wall_structure 95, roof_material 98, interior_wall_material 101,
-condo_floor_level 104, condo_type 112, condo_view 115, condo_parking_spaces 118,
-condo_style 121, duplex 124, year_built 127, effective_year_built 132,
-physical_condition 137, building_grade 138, building_shape_factor 141,
-percent_complete 144, ceiling_material 155, sf_of_living_area 158,
-sf_of_bldg_foot_print 165, addition_living_area_in_sf 173, building_value 181,
-built_in_fire_place_linear_feet 192, no_prefab_fire_places 198,
-no_wood_burning_fire_places 200, cost_and_design_adjustment 202
-"""
-
-OWNERS = """
-tmk 1, owner 14, owner_type 54, co_mailing_address 94, mailing_street_address 215,
-mailing_city_state_zip 295, mailing_city_name 387, mailing_state 427, mailing_zip1 429,
-mailing_zip2 434, country 438
-"""
+ASSESSMENTS = {
+    "tmk": 1, "parcel_year": 14, "land_class": 19, "tax_rate_class": 23,
+    "assessed_land_value": 27, "land_exemption": 40, "assessed_building_value": 53,
+    "building_exemption": 66,
+}
+
+DWELLINGS = {
+    "tmk": 1, "parcel_year": 14, "card_number": 19, "story_height": 24, "exterior_wall": 31,
+    "framing": 34, "style_occupancy": 37, "roof_design": 39, "full_baths": 42, "half_baths": 49,
+    "additional_fixtures": 56, "total_fixtures": 63, "air_conditioning": 69, "attic": 70,
+    "total_rooms": 71, "bed_rooms": 76, "family_rooms": 81, "foundation": 86, "basement": 89,
+    "construction": 90, "flooring": 92, "interior_wall_structure": 95, "roof_material": 98,
+    "interior_wall_material": 101, "condo_floor_level": 104, "condo_type": 112, "condo_view": 115,
+    "condo_parking_spaces": 118, "condo_style": 121, "duplex": 124, "year_built": 127,
+    "effective_year_built": 132, "physical_condition": 137, "building_grade": 138,
+    "building_shape_factor": 141, "percent_complete": 144, "ceiling_material": 155,
+    "sf_of_living_area": 158, "sf_of_bldg_foot_print": 165, "addition_living_area_in_sf": 173,
+    "building_value": 181, "built_in_fire_place_linear_feet": 192, "no_prefab_fire_places": 198,
+    "no_wood_burning_fire_places": 200, "cost_and_design_adjustment": 202,
+}
+
+OWNERS = {
+    "tmk": 1, "owner": 14, "owner_type": 54, "co_mailing_address": 94,
+    "mailing_street_address": 215, "mailing_city_state_zip": 295, "mailing_city_name": 387,
+    "mailing_state": 427, "mailing_zip1": 429, "mailing_zip2": 434, "country": 438,
+}
 
 # The sales file names its fields itself.
 SALES_STARTS = [1, 19, 30, 41, 52, 73, 114, 155, 196, 205, 214, 255, 296, 337, 340]
@@ -47,10 +48,9 @@ WINDOWS_1252_C1 = {
 # ---------------------------------------------------------------------------
 
 
-def fields(layout: str) -> list[tuple[str, int]]:
-    """(name, start) pairs of a layout text."""
-    pairs = [entry.split() for entry in layout.replace("\n", " ").split(",")]
-    return [(name, int(start)) for name, start in pairs]
+def fields(layout: dict[str, int]) -> list[tuple[str, int]]:
+    """(name, start) pairs of a layout."""
+    return list(layout.items())
 
 
 def spans(starts: list[int]) -> list[tuple[int, int | None]]:

@@ -8,7 +8,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from parcelstats.operators.quantiles import buckets_of, grouped_medians, weighted_median
+from parcelstats.operators import quantiles
+from parcelstats.operators.quantiles import grouped_medians, range_number, weighted_median
 from tests.helpers import bag, plan, rows
 
 FEW = settings(
@@ -32,7 +33,7 @@ def median(values):
 def test_medians_per_level_match_brute_force(spark, data):
     df = spark.createDataFrame(data, "k string, x long, y long").withColumn("p", F.lit(1))
     depth = len(data) % 2 + 1
-    found = grouped_medians(df, ["k", "p"], ["x", "y"], [["k", "p"], ["p"]], depth=depth)
+    found = grouped_medians(df, ["k", "p"], ["x", "y"], [["k", "p"], ["p"]], cut=len(data) % 5, depth=depth)
     expected = [
         (k, 1, 0, median([r[1] for r in data if r[0] == k]), median([r[2] for r in data if r[0] == k]),
          sum(r[0] == k for r in data))
@@ -51,34 +52,48 @@ def test_median_of_counted_values(spark):
 
 def test_a_hot_group_is_spread_over_its_values(spark):
     df = spark.range(50_000).select(F.lit("hot").alias("k"), F.pmod(F.xxhash64("id"), F.lit(10**9)).alias("v"))
-    found = grouped_medians(df, ["k"], ["v"])
+    found = grouped_medians(df, ["k"], ["v"], cut=1000)
     values = sorted(r[0] for r in df.select("v").collect())
     assert rows(found, "v") == [((values[24_999] + values[25_000]) / 2,)]
-    # Values are exchanged by group and value, and sorted only within a bucket.
+    # Values are exchanged by group and value, and sorted only within a range.
     text = plan(found)
-    assert "hashpartitioning(k" in text and "percentile" not in text
+    assert "hashpartitioning(k" in text and "percentile(" not in text
 
 
-def test_buckets_follow_the_order_of_the_values(spark):
+def test_ranges_follow_the_order_of_the_values(spark):
     values = [None, float("-inf"), -1e300, -12.5, -1.0, -1e-9, 0.0, 1e-9, 0.5, 1.0, 2.0, 1e18, 1e300,
               float("inf"), float("nan")]
-    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
-    numbers = list(buckets_of(F.col("v"), 3).values())
-    buckets = [tuple(r) for r in df.orderBy("i").select(*numbers).collect()]
-    assert buckets[0] == (None, None, None)
-    assert buckets[1:] == sorted(buckets[1:])
-
-
-def test_close_large_values_are_told_apart_at_depth(spark):
-    # Microseconds of one second share a bucket; at depth 3 they do not.
+    df = spark.createDataFrame([(v,) for v in values], "_value double").withColumn("k", F.lit(1))
+    ranged = quantiles._with_ranges(df, ["k"], "n", 5)
+    numbers = dict((str(v), n) for v, n in ranged.select("_value", "n").collect())
+    assert numbers["None"] is None
+    in_order = [numbers[str(v)] for v in values[1:]]
+    assert in_order == sorted(in_order) and len(set(in_order)) > 10
+    undivided = quantiles._with_ranges(df, ["k"], "n", 14)
+    assert {n for v, n in undivided.select("_value", "n").collect() if v is not None} == {0}
+
+
+@pytest.mark.parametrize("shape", ["close", "skewed"])
+def test_ranges_hold_about_equally_many_values(spark, shape):
+    # Microseconds of one second, and values that crowd together near nought.
+    n = 50_000
+    value = F.col("id") * 331 + 1_700_000_000_000_000 if shape == "close" else F.exp(F.col("id") / 500.0)
+    df = spark.range(n).select(F.lit("k").alias("k"), value.cast("double").alias("_value"))
+    ranged = quantiles._with_ranges(df, ["k"], "n", 1000)
+    sizes = [r["count"] for r in ranged.groupBy("n").count().collect()]
+    ranges = quantiles.SPLITS**2
+    assert len(sizes) > 0.8 * ranges and max(sizes) < 4 * n / ranges
+
+
+@pytest.mark.parametrize("depth", [1, 2])
+def test_close_large_values(spark, depth):
     start = 1_700_000_000_000_000
     df = spark.range(3001).select(F.lit("k").alias("k"), (F.col("id") * 331 + start).alias("v"), F.lit(1).alias("w"))
-    numbers = buckets_of(F.col("v").cast("double"), 3)
-    counts = df.select(*[c.alias(n) for n, c in numbers.items()]).agg(F.countDistinct(*numbers)).first()[0]
-    assert counts > 20 and df.select(numbers["_bucket0"]).distinct().count() == 1
-    for depth in (1, 2, 3):
-        assert rows(grouped_medians(df, ["k"], ["v"], depth=depth), "v") == [(float(start + 1500 * 331),)]
-        assert rows(weighted_median(df, ["k"], "v", "w", depth=depth), "v") == [(start + 1500 * 331,)]
+    for cut in (1, 1000):
+        found = grouped_medians(df, ["k"], ["v"], cut=cut, depth=depth)
+        assert rows(found, "v") == [(float(start + 1500 * 331),)]
+        weighted = weighted_median(df, ["k"], "v", "w", cut=cut, depth=depth)
+        assert rows(weighted, "v") == [(start + 1500 * 331,)]
 
 
 def reference_weighted_median(data):
@@ -105,7 +120,7 @@ def reference_weighted_median(data):
 )
 def test_weighted_median_matches_the_row_by_row_rule(spark, data):
     df = spark.createDataFrame(data, "v long, w long").withColumn("k", F.lit(None).cast("string"))
-    found = weighted_median(df, ["k"], "v", "w", depth=len(data) % 2 + 1)
+    found = weighted_median(df, ["k"], "v", "w", cut=len(data) % 4, depth=len(data) % 2 + 1)
     assert [r[0] for r in rows(found, "v")] == reference_weighted_median(data)
 
 
@@ -115,6 +130,16 @@ def test_weighted_median_is_not_the_textbook_rule(spark):
     assert rows(weighted_median(df, ["k"], "v", "w")) == [("a", 20)]
 
 
+def test_fractional_weights_with_a_group_of_a_third_of_the_rows(spark):
+    data = [("hot" if i % 3 == 0 else f"g{i % 40}", (i * 7919) % 100_003, (i % 7) / 8) for i in range(3000)]
+    df = spark.createDataFrame(data, "k string, v long, w double")
+    expected = [(k, *reference_weighted_median([(v, w) for g, v, w in data if g == k])) for k in {r[0] for r in data}]
+    for cut in (10, 500):
+        assert bag(weighted_median(df, ["k"], "v", "w", cut=cut)) == sorted(expected)
+    whole = reference_weighted_median([(v, w) for _, v, w in data])
+    assert rows(weighted_median(df, [], "v", "w", cut=100)) == [tuple(whole)]
+
+
 def test_groups_without_weight_give_no_row(spark):
     df = spark.createDataFrame([("a", 10, None), ("b", 5, 0), ("c", 1, 2)], "k string, v long, w long")
     assert rows(weighted_median(df, ["k"], "v", "w")) == [("c", 1)]

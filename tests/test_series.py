@@ -1,6 +1,9 @@
 """OP-12, OP-13, OP-23, OP-25."""
 
+from random import Random
+
 import pytest
+from pyspark.sql import functions as F
 
 from parcelstats.operators.series import (
     annual_reference_income,
@@ -68,3 +71,59 @@ def test_a_repeated_reference_position_fails(spark):
     reference = spark.createDataFrame([(0, 20), (0, 40)], "year long, v long")
     with pytest.raises(Exception, match="more than one reference for 0"):
         interpolate_by_reference(known, reference, "v").collect()
+
+
+def filled_by_hand(known, reference, groups):
+    """(group, position, value) as the rule is stated, one position at a time."""
+    out = []
+    for g in groups:
+        ratios = sorted((p, v / reference[p]) for h, p, v in known if h == g and v is not None and reference.get(p))
+        for p, r in reference.items():
+            before = [x for x in ratios if x[0] <= p]
+            after = [x for x in ratios if x[0] >= p]
+            if r is None or not ratios:
+                out.append((g, p, None))
+                continue
+            (a, x), (b, y) = (before or after)[-1 if before else 0], (after or before)[0 if after else -1]
+            ratio = x if a == b else x + (y - x) * ((p - a) / (b - a))
+            out.append((g, p, ratio * r))
+    return out
+
+
+@pytest.mark.parametrize("segment", [1, 7, 10_000])
+def test_segments_do_not_change_the_values(spark, segment):
+    random = Random(segment)
+    reference = {p: random.choice([None, 0, 100, 150, 400]) for p in random.sample(range(-500, 500), 200)}
+    known = [
+        (g, p, random.randint(1, 900))
+        for g, share in (("dense", 0.9), ("thin", 0.02), ("one", 0.0))
+        for p in reference
+        if random.random() < share
+    ]
+    known += [("one", next(p for p, r in reference.items() if r), 77), ("outside", 9999, 5)]
+    found = interpolate_by_reference(
+        spark.createDataFrame(known, "region string, year long, v long"),
+        spark.createDataFrame(list(reference.items()), "year long, v long"),
+        "v",
+        segment=segment,
+    )
+    expected = {(g, p): v for g, p, v in filled_by_hand(known, reference, ["dense", "thin", "one", "outside"])}
+    got = {(r.region, r.year): r.v for r in found.collect()}
+    assert got.keys() == expected.keys()
+    for key, value in expected.items():
+        assert (got[key] is None) == (value is None)
+        assert value is None or abs(got[key] - value) <= 0.5 + 1e-6 * abs(value), key
+
+
+def test_a_long_group_is_filled_by_many_tasks(spark):
+    n = 200_000
+    reference = spark.range(n).select(F.col("id").alias("year"), F.lit(100).cast("long").alias("v"))
+    known = spark.createDataFrame([("A", 0, 100), ("A", n - 1, 300)], "region string, year long, v long")
+    found = interpolate_by_reference(known, reference, "v", segment=1000)
+    assert "hashpartitioning(region" in plan(found) and "_segment" in plan(found)
+    sizes = found.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in sizes) == n
+    assert found.filter("year = 100000").first()["v"] == 200
+    # 1024 segments fall on all partitions alike.
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    assert max(r["count"] for r in sizes) < 2 * n / min(int(parts), len(sizes))

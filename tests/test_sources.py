@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 
 from parcelstats.plans.ingest import ingest
 from parcelstats.sources import fixed_width as fw
-from parcelstats.sources.csv import normalise_name, read_csv, write_csv
+from parcelstats.sources.csv import infer_types, normalise_name, read_csv, write_csv
 from parcelstats.sources.extracts import read_extract
 from parcelstats.sources.layouts import (
     ASSESSMENTS,
@@ -149,6 +149,16 @@ def test_sales_fields_follow_the_stated_rules(spark, tmp_path):
     assert rows(found) == expected
 
 
+def test_sales_in_several_files(spark, tmp_path):
+    header, line = sale(*NAMES), sale("7", "2001-01-01", *["x"] * 13)
+    write(tmp_path / "a.txt", "\n".join([header, line]).encode())
+    write(tmp_path / "b.txt", "\n".join([line] * 50 + ["9 rows selected.", header, line]).encode())
+    assert fw.read_sales(spark, f"{tmp_path}/*.txt").count() == 52
+    write(tmp_path / "c.txt", header.replace("PRICE", "OTHER").encode())
+    with pytest.raises(ValueError, match="different headers"):
+        fw.read_sales(spark, f"{tmp_path}/*.txt")
+
+
 def test_empty_sales_file_has_no_header(spark, tmp_path):
     with pytest.raises(ValueError):
         fw.read_sales(spark, write(tmp_path / "raw.txt", b"\n \n"))
@@ -162,6 +172,28 @@ def test_ingest_writes_typed_parquet(spark, tmp_path):
     assert rows(table, "tmk", "assessed_building_value") == [(2110010010001, 1000)]
 
 
+def test_types_follow_from_all_values(spark):
+    n = 500
+    data = [(i, str(i), "" if i % 2 else str(-i), f"{i}.5" if i == n - 1 else str(i), "x" if i == n - 1 else "1",
+             None, "", "true" if i % 2 else "false", "1e3", str(10**30), ".", "+7") for i in range(n)]
+    names = ["id", "whole", "gaps", "late", "text", "nulls", "blank", "truth", "power", "big", "dot", "signed"]
+    df = spark.createDataFrame(data, "id long, " + ", ".join(f"{c} string" for c in names[1:])).repartition(7)
+    assert infer_types(df) == {
+        "whole": "bigint", "gaps": "bigint", "late": "double", "text": "string", "nulls": "string", "blank": "string",
+        "truth": "boolean", "power": "double", "big": "double", "dot": "string", "signed": "bigint",
+    }
+    assert set(infer_types(df.filter("false")).values()) == {"string"}
+    assert infer_types(df.select("id")) == {}
+
+
+def test_ingest_with_stated_types(spark, tmp_path):
+    raw = write(tmp_path / "raw.txt", assessment("2110010010001", "9").encode() + b"\n")
+    ingest(spark, "assessments", raw, f"{tmp_path}/table", types={"tmk": "bigint"})
+    assert dict(spark.read.parquet(f"{tmp_path}/table").dtypes)["parcel_year"] == "string"
+    with pytest.raises(ValueError):
+        ingest(spark, "other", raw, f"{tmp_path}/table")
+
+
 def test_names():
     assert normalise_name(" Price / Unit ") == "price_unit"
     assert normalise_name("A B/C\nD (x)") == "a_b_c_d_(x)"
@@ -185,6 +217,20 @@ def test_csv_reader(spark, tmp_path):
     assert read_csv(spark, f"{tmp_path}/b.csv").columns == ["year", "state", "b79aa", "note_text", "day"]
 
 
+def test_csv_files_with_other_headers(spark, tmp_path):
+    write(tmp_path / "a.csv", b"Year,Price / Unit,Note\n1990,7,x,extra\n1991\n")
+    write(tmp_path / "b.csv", b"NOTE,year\ny,1992\n")
+    write(tmp_path / "c.csv", b"Year,Price / Unit,Note\nbad,8,z\n")
+    types = {"year": "bigint", "price_unit": "bigint"}
+    found = read_csv(spark, f"{tmp_path}/*.csv", types=types, by_name=True)
+    assert bag(found, "year", "price_unit", "note") == [
+        (None, 8, "z"), (1990, 7, "x"), (1991, None, None), (1992, None, "y"),
+    ]
+    # Without by_name a file of another header is an error, not silently misread.
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, f"{tmp_path}/*.csv", types=types).collect()
+
+
 def test_colliding_names_are_refused(spark, tmp_path):
     with pytest.raises(ValueError, match="collide"):
         read_csv(spark, write(tmp_path / "a.csv", b"A B,a_b\n1,2\n"))
