@@ -27,15 +27,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays.
+    """Of each group of near-duplicates one row stays, the one with the smallest id.
 
-    Decided by id; of rows that repeat an id with the same text one stays, and rows without
-    an id stay, as there is nothing to name them by.
+    Decided row by row: of rows that repeat an id, those with texts of their own stay, and of
+    copies that share an id one does. Rows without an id come last in their group; texts
+    without words are in no group and stay.
     """
-    found = near_texts.link_near_texts(docs)
-    gone = found.filter("not kept").select("doc_id").distinct()
-    rest = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
-    return rest
+    rows = settle(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()))
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_row")
+    found = near_texts.link_near_texts(rows.select(place.alias("place"), "text"), id="place")
+    gone = found.filter("not kept").select(F.col("place._row").alias("_row"))
+    return rows.join(gone, "_row", "left_anti").select(*COLUMNS)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
