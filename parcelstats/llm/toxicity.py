@@ -22,14 +22,19 @@ from pyspark.sql import functions as F
 from parcelstats.llm.tables import settle
 
 # Letters of other alphabets, digits and signs that look like Latin letters.
+# Latin letters with strokes, hooks and tails are found by their Unicode names instead.
 LOOK_ALIKE = {
     "а": "a", "в": "b", "е": "e", "к": "k", "м": "m", "н": "h", "о": "o", "р": "p",
     "с": "c", "т": "t", "у": "y", "х": "x", "і": "i", "ј": "j", "ѕ": "s", "ԁ": "d",
-    "α": "a", "β": "b", "ε": "e", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p",
-    "τ": "t", "υ": "u", "χ": "x", "ı": "i", "ł": "l", "ø": "o", "đ": "d",
+    "ѵ": "v", "ԛ": "q", "ԝ": "w", "һ": "h", "ӏ": "l", "ү": "y", "ґ": "r", "ѡ": "w",
+    "α": "a", "β": "b", "γ": "y", "ε": "e", "η": "n", "ι": "i", "κ": "k", "ν": "v",
+    "ο": "o", "ρ": "p", "σ": "o", "τ": "t", "υ": "u", "χ": "x", "ω": "w", "ϲ": "c",
+    "ϳ": "j", "օ": "o", "ս": "u", "հ": "h", "ո": "n", "ց": "g", "զ": "q", "ք": "p",
+    "ı": "i", "ȷ": "j", "ſ": "s", "ᴏ": "o", "ⅼ": "l", "ꞵ": "b",
 }
 DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s"}
-# Phrases in which a word of the lexicon means no harm.
+# Phrases in which a word of the lexicon means no harm, chosen by hand out of everyday English;
+# callers bring their own list as a parameter.
 EXCEPTIONS = (
     "trash can", "trash cans", "trash collection", "clown fish", "idiot proof",
     "stupid question", "sore loser", "not stupid", "not worthless",
@@ -43,11 +48,24 @@ LEAST_SHARE = 0.004
 LEAST_RATIO = 25.0
 #: Letters of a beginning of a word; longer words are terms as a whole as well.
 BEGINNINGS = (4, 5, 6, 7)
-#: Labelled documents that the logistic curve is fitted on at most.
-MAX_FIT = 20_000
+#: Labelled documents of each class that the lexicon and the curve are learned from at most.
+MAX_PER_CLASS = 25_000
 TOKEN = regex.compile(r"\p{L}+")
 DISGUISED = regex.compile(r"(?<=\p{L})[013457@$8]|[013457@$8](?=\p{L})")
-FOLD = str.maketrans(LOOK_ALIKE)
+NAMED = regex.compile(r"LATIN (?:SMALL LETTER|LETTER SMALL CAPITAL) ([A-Z])(?: WITH .*)?")
+
+
+def look_alikes() -> dict[str, str]:
+    """All letters that fold to a Latin one: the fixed ones and those whose name says so."""
+    out = dict(LOOK_ALIKE)
+    for code in range(0x80, 0x2C80):
+        named = NAMED.fullmatch(unicodedata.name(chr(code), ""))
+        if named:
+            out.setdefault(chr(code), named[1].lower())
+    return out
+
+
+FOLD = str.maketrans(look_alikes())
 
 
 def fold(text: str) -> str:
@@ -56,8 +74,9 @@ def fold(text: str) -> str:
     if not text.isascii():
         text = text.translate(FOLD)
         text = "".join(c for c in unicodedata.normalize("NFKC", text) if not unicodedata.combining(c))
-    for _ in range(2):  # a substitute may stand beside another one
-        text = DISGUISED.sub(lambda m: DIGITS[m[0]], text)
+    disguised = 1
+    while disguised:  # a substitute beside another one becomes a letter's neighbour in turn
+        text, disguised = DISGUISED.subn(lambda m: DIGITS[m[0]], text)
     return f" {' '.join(TOKEN.findall(text))} "
 
 
@@ -68,27 +87,27 @@ def terms(folded: str) -> set[str]:
 
 
 def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(term, toxic, documents) of the batch: counted before it leaves the task."""
+    """(term, toxic, documents) of the task's labelled documents, which are bounded in number."""
+    counts: dict[tuple[str, int], int] = {}
     for batch in batches:
-        counts: dict[tuple[str, int], int] = {}
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             for term in terms(fold(text or "")):
                 counts[term, toxic] = counts.get((term, toxic), 0) + 1
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([t for t, _ in counts], pa.string()),
-                pa.array([x for _, x in counts], pa.int32()),
-                pa.array(list(counts.values()), pa.int64()),
-            ],
-            names=["term", "toxic", "documents"],
-        )
+    yield pa.RecordBatch.from_arrays(
+        [
+            pa.array([t for t, _ in counts], pa.string()),
+            pa.array([x for _, x in counts], pa.int32()),
+            pa.array(list(counts.values()), pa.int64()),
+        ],
+        names=["term", "toxic", "documents"],
+    )
 
 
 def learn_lexicon(labelled: DataFrame) -> dict[str, float]:
     """Weight of each term, from rows (text, toxic): the logarithm of how many times as
     frequent it is in toxic documents. A beginning replaces the terms that it covers if it
     is about as telling as they are."""
-    sums = labelled.groupBy("toxic").count().toPandas().set_index("toxic")["count"]
+    sums = labelled.select("toxic").groupBy("toxic").count().toPandas().set_index("toxic")["count"]
     n_toxic, n_clean = int(sums.get(1, 0)), int(sums.get(0, 0))
     if not n_toxic:
         return {}
@@ -152,14 +171,17 @@ def features(weight: np.ndarray, words: np.ndarray) -> np.ndarray:
     return np.stack([np.log1p(weight), np.log1p(100 * weight / np.maximum(words, 1))], axis=1)
 
 
-def fit_curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Logistic regression with a constant, by Newton steps on a penalised likelihood."""
+def fit_curve(x: np.ndarray, y: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Logistic regression with a constant, by Newton steps on a penalised likelihood.
+
+    ``share`` weighs each row, so that classes learned from in part count as a whole.
+    """
     x = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (y - p) - 0.01 * w
-        bend = (x * (p * (1 - p))[:, None]).T @ x + 0.01 * np.eye(len(w))
+        slope = x.T @ (share * (y - p)) - 0.01 * w
+        bend = (x * (share * p * (1 - p))[:, None]).T @ x + 0.01 * np.eye(len(w))
         step = np.linalg.solve(bend, slope)
         w = w + step
         if np.abs(step).max() < 1e-8:
@@ -224,13 +246,14 @@ def fit_toxicity(
     label: str = "toxic",
     training: Column | None = None,
     exceptions: Sequence[str] = EXCEPTIONS,
-    max_fit: int = MAX_FIT,
+    max_per_class: int = MAX_PER_CLASS,
 ) -> ToxicityModel:
     """Learn from the labelled documents whose ids ``training`` admits.
 
-    Term statistics cover all of them; the curve is fitted on at most about ``max_fit``, chosen
-    by a hash of the id. Null labels and ids are left out; of contradicting labels for an
-    id the larger counts. Without a toxic document nothing is ever toxic.
+    At most ``max_per_class`` toxic and as many other documents are learned from, those with
+    the smallest hash of the id; the list of their ids is all that is sent to the tasks. Null
+    labels and ids are left out; of contradicting labels for an id the larger counts. Without
+    a toxic document nothing is ever toxic.
     """
     admitted = training_part(F.col("id")) if training is None else training
     own = (
@@ -239,16 +262,23 @@ def fit_toxicity(
         .groupBy("id").agg(F.max("toxic").alias("toxic"))
         .filter(admitted)
     )
-    pairs = settle(docs.select(F.col(id).alias("id"), F.col(text).alias("text")).join(own, "id"))
+    classes = [
+        own.filter(F.col("toxic") == kind).orderBy(F.xxhash64("id"), "id").limit(max_per_class)
+        for kind in (0, 1)
+    ]
+    chosen = settle(classes[0].union(classes[1]))
+    totals = dict(own.groupBy("toxic").count().collect())
+    # 2 * max_per_class rows at most.
+    pairs = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id")
     lexicon = learn_lexicon(pairs)
-    n = pairs.count()
-    chosen = pairs.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, max_fit / max(n, 1))))
     rows = (
-        chosen.select("toxic", "text")
+        pairs.select("toxic", "text")
         .mapInArrow(_measure(lexicon, exceptions), "id int, weight double, words long")
         .toPandas()
     )
     if rows["id"].nunique() < 2:
         return ToxicityModel(lexicon, np.array([1.0, 0.0, -4.0]), exceptions)
-    x = features(rows["weight"].to_numpy(), rows["words"].to_numpy())
-    return ToxicityModel(lexicon, fit_curve(x, rows["id"].to_numpy().astype(float)), exceptions)
+    rows = rows.sort_values(["id", "weight", "words"])  # sums in one order, however the rows came
+    x, y = features(rows["weight"].to_numpy(), rows["words"].to_numpy()), rows["id"].to_numpy()
+    share = np.array([totals[kind] / min(totals[kind], max_per_class) for kind in (0, 1)])[y]
+    return ToxicityModel(lexicon, fit_curve(x, y.astype(float), share * len(y) / share.sum()), exceptions)
