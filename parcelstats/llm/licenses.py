@@ -1,9 +1,10 @@
 """Licences of files: TF-IDF cosine to templates, then inheritance from ancestor directories.
 
-Sentences that speak of a licence are compared with a list of notices, also where a header
-wraps them over lines; whole files are compared with whole licence texts. A file without a
-notice of its own takes the licence of the nearest directory above it that has a licence
-file. Only DataFrame functions are used.
+Sentences that speak of a licence are compared with a list of notices and headers, as lines,
+over neighbouring lines and over paragraphs without comment signs; whole files are compared
+with whole licence texts; a tag with a licence's short name speaks for itself. A file without
+a notice of its own takes the licence of the nearest directory above it in which one is
+declared. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parcelstats.llm.tables import settle
+
 # Notices by SPDX name.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -35,6 +38,7 @@ TEMPLATES = (
 # Standard headers that run over several lines.
 _GNU = "redistribute it and/or modify it under the terms of the GNU {} Public License as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version."
 HEADERS = (
+    ("AGPL-3.0", _GNU.format("Affero General", "3")),
     ("GPL-2.0", _GNU.format("General", "2")),
     ("GPL-3.0", _GNU.format("General", "3")),
     ("LGPL-2.1", _GNU.format("Lesser General", "2.1")),
@@ -52,13 +56,18 @@ WHOLE = "(?i)" + "|".join(
         "mozilla public license", "cc0 1\\.0 universal",
     )
 )
+# A tag with the short name of a licence, without the endings that allow later versions.
+TAG = r"SPDX-License-Identifier:[ \t]*\(?([A-Za-z0-9.+-]*[A-Za-z0-9])"
+ENDINGS = r"-only$|-or-later$|\+$"
+# Sentences that deny a licence.
+DENIES = r"(?i)\b(not|never|no longer|nor)[ \t]+([a-z]+[ \t]+)?licen[sc]ed\b"
 # Names of licence files.
 NAMED = r"(?i)(^|/)(un)?(licen[sc]es?|copying)([.-][^/]*)?$"
 # Beginnings of commented lines.
-LEADER = r"^[ \t]*(#+|\*+(?!/)|/\*+|//+|;+|%+|--+|<!--)?[ \t]*|[ \t\r]*(\*/|-->)?[ \t\r]*$"
+LEADER = r"^[ \t]*(#+|\*+/?|/\*+|//+|;+|%+|--+|<!--)?[ \t]*|[ \t\r]*(\*/|-->)?[ \t\r]*$"
 # End of the fixed values.
 
-#: Lines that a header's sentence may run over.
+#: Neighbouring lines that are joined where their paragraph says more than the header.
 WRAPPED = 6
 #: Least cosine of a whole file to a whole licence text.
 LEAST_WHOLE = 0.85
@@ -68,9 +77,6 @@ SENTENCE_END = r"\n|(?<=[.!?])[ \t\r\x0b\f]+"
 WORD = r"[a-z]+|[0-9]+(\.[0-9]+)*"
 #: Least cosine of a notice to its template.
 LEAST = 0.6
-#: A file of at most this many words that has a notice is a licence file of its directory; one
-#: with the name of a licence file and a licence, or with a whole licence text, is at any length.
-FILE_WORDS = 60
 
 
 def _terms(text: Column) -> Column:
@@ -100,129 +106,154 @@ def template_vectors(spark) -> tuple[DataFrame, DataFrame, float]:
     return weighted.select("template", "license", "term", (F.col("weight") / norm).alias("unit")), idf, unknown
 
 
-def _sentences(text: Column) -> Column:
-    """Sentences of a text that speak of a licence: of its lines, and of up to WRAPPED lines joined."""
-    lines = F.split(text, "\n")
-    bare = F.transform(lines, lambda s: F.regexp_replace(s, LEADER, ""))
+def _bare_lines(text: Column) -> Column:
+    """The lines of a text without comment signs."""
+    return F.transform(F.split(text, "\n"), lambda s: F.regexp_replace(s, LEADER, ""))
 
-    def joined(first: Column, i: Column) -> Column:
-        wide = lambda n: F.array_join(F.slice(bare, i + 1, n), " ")
-        return F.when(
-            wide(WRAPPED).rlike(SPEAKS_OR_GRANTS),
-            F.flatten(F.array(*(F.split(wide(n), SENTENCE_END) for n in range(2, WRAPPED + 1)))),
-        )
 
-    # Lines count alone and joined with 1 to WRAPPED - 1 of the next ones.
-    windows = F.flatten(F.filter(F.transform(bare, joined), lambda x: x.isNotNull()))
-    return F.array_union(
-        F.filter(F.split(text, SENTENCE_END), lambda s: s.rlike(SPEAKS)),
-        F.filter(windows, lambda s: s.rlike(SPEAKS_OR_GRANTS)),
+def _sentences(text: Column, bare: Column) -> Column:
+    """Sentences of a text that speak of a licence.
+
+    They end at line ends, at the end of up to WRAPPED lines joined, of which one speaks
+    of a licence, or at the end of a paragraph of any length. ``bare`` has the lines without
+    comment signs as a column of its own, since every mention of an expression would
+    compute it anew.
+    """
+    speaks = lambda s: s.rlike(SPEAKS_OR_GRANTS)
+    split = lambda s: F.split(s, SENTENCE_END)
+    marked = F.transform(bare, lambda s, i: F.when(speaks(s), i))
+    near = F.transform(F.array_compact(marked), lambda i: F.sequence(F.greatest(i - WRAPPED + 1, F.lit(0)), i))
+    windows = F.transform(
+        F.array_distinct(F.flatten(near)),
+        lambda i: F.flatten(F.array(*(split(F.array_join(F.slice(bare, i + 1, n), " ")) for n in range(2, WRAPPED + 1)))),
     )
+    paragraphs = F.filter(F.split(F.array_join(bare, "\n"), "\n[ \t]*\n"), speaks)
+    joined = F.transform(paragraphs, lambda s: split(F.translate(s, "\n", " ")))
+    own = F.filter(split(text), lambda s: s.rlike(SPEAKS))
+    longer = F.filter(F.flatten(F.concat(windows, joined)), speaks)
+    return F.filter(F.array_union(own, longer), lambda s: ~s.rlike(DENIES))
 
 
 def whole_texts(docs: DataFrame, least: float = LEAST_WHOLE) -> DataFrame:
-    """The licence text that a whole row (_key, text) is: (_key, _whole, _likeness)."""
+    """The licence text that a whole row (key, text) is: (key, whole, likeness)."""
     folder = Path(__file__).parent / "license_texts"
     texts = [(p.stem, p.read_text(encoding="utf-8")) for p in sorted(folder.glob("*.txt"))]
-    known = _counted(docs.sparkSession.createDataFrame(texts, "_whole string, sentence string"), "_whole")
+    known = _counted(docs.sparkSession.createDataFrame(texts, "whole string, sentence string"), "whole")
     n = len(texts)
     idf = known.groupBy("term").agg((F.log((1.0 + n) / (1.0 + F.count("*"))) + 1.0).alias("idf"))
     weigh = lambda counted: counted.join(F.broadcast(idf), "term", "left").withColumn(
         "weight", F.col("tf") * F.coalesce("idf", F.lit(log(1.0 + n) + 1.0))
     )
     length = F.sqrt(F.sum(F.col("weight") * F.col("weight")))
-    known, own = weigh(known), weigh(_counted(docs.select("_key", F.col("text").alias("sentence")), "_key"))
-    unit = known.join(F.broadcast(known.groupBy("_whole").agg(length.alias("n"))), "_whole").select(
-        "_whole", "term", (F.col("weight") / F.col("n")).alias("unit")
+    known = weigh(known)
+    own = settle(weigh(_counted(docs.select("key", F.col("text").alias("sentence")), "key")))
+    unit = known.join(F.broadcast(known.groupBy("whole").agg(length.alias("n"))), "whole").select(
+        "whole", "term", (F.col("weight") / F.col("n")).alias("unit")
     )
-    dots = own.join(F.broadcast(unit), "term").groupBy("_key", "_whole").agg(F.sum(F.col("weight") * F.col("unit")).alias("dot"))
-    cosines = dots.join(own.groupBy("_key").agg(length.alias("length")), "_key").withColumn(
+    dots = own.join(F.broadcast(unit), "term").groupBy("key", "whole").agg(F.sum(F.col("weight") * F.col("unit")).alias("dot"))
+    cosines = dots.join(own.groupBy("key").agg(length.alias("length")), "key").withColumn(
         "cosine", F.round(F.col("dot") / F.col("length"), 6)
     )
-    best = F.min(F.struct((-F.col("cosine")).alias("c"), F.col("_whole")))
+    best = F.min(F.struct((-F.col("cosine")).alias("c"), F.col("whole")))
     return (
-        cosines.filter(F.col("cosine") >= least).groupBy("_key").agg(best.alias("best"))
-        .select("_key", F.col("best._whole").alias("_whole"), (-F.col("best.c")).alias("_likeness"))
+        cosines.filter(F.col("cosine") >= least).groupBy("key").agg(best.alias("best"))
+        .select("key", F.col("best.whole").alias("whole"), (-F.col("best.c")).alias("likeness"))
     )
 
 
 def notices(docs: DataFrame, least: float = LEAST) -> DataFrame:
-    """The best notice of each row (_key, text): (_key, license, cosine)."""
-    spark = docs.sparkSession
-    vectors, idf, unknown = template_vectors(spark)
-    sentences = docs.select("_key", F.posexplode(_sentences(F.col("text"))).alias("place", "sentence"))
-    own = _counted(sentences, "_key", "place").join(F.broadcast(idf), "term", "left")
-    own = own.withColumn("weight", F.col("tf") * F.coalesce("idf", F.lit(unknown)))
+    """The best notice of each row (key, text, bare): (key, license, cosine)."""
+    vectors, idf, unknown = template_vectors(docs.sparkSession)
+    sentences = docs.select("key", F.posexplode(_sentences(F.col("text"), F.col("bare"))).alias("place", "sentence"))
+    own = _counted(sentences, "key", "place").join(F.broadcast(idf), "term", "left")
+    own = settle(own.withColumn("weight", F.col("tf") * F.coalesce("idf", F.lit(unknown))))
     # The templates are a fixed list; terms in none of them count in the length only.
-    lengths = own.groupBy("_key", "place").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("length"))
+    lengths = own.groupBy("key", "place").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("length"))
     dots = (
         own.join(F.broadcast(vectors), "term")
-        .groupBy("_key", "place", "template", "license")
+        .groupBy("key", "place", "template", "license")
         .agg(F.sum(F.col("weight") * F.col("unit")).alias("dot"))
     )
-    cosines = dots.join(lengths, ["_key", "place"]).withColumn("cosine", F.round(F.col("dot") / F.col("length"), 6))
+    cosines = dots.join(lengths, ["key", "place"]).withColumn("cosine", F.round(F.col("dot") / F.col("length"), 6))
     best = F.min(F.struct((-F.col("cosine")).alias("c"), F.col("license")))
     return (
-        cosines.filter(F.col("cosine") >= least).groupBy("_key").agg(best.alias("best"))
-        .select("_key", F.col("best.license").alias("license"), (-F.col("best.c")).alias("cosine"))
+        cosines.filter(F.col("cosine") >= least).groupBy("key").agg(best.alias("best"))
+        .select("key", F.col("best.license").alias("license"), (-F.col("best.c")).alias("cosine"))
     )
 
 
+def _unused(columns: list[str], n: int) -> list[str]:
+    """Column names that are not taken."""
+    free = (f"_license_scan_{k}" for k in range(len(columns) + n))
+    return [name for name in free if name not in columns][:n]
+
+
 def scan_licenses(files: DataFrame, path: str = "path", text: str = "text", least: float = LEAST) -> DataFrame:
     """``files`` with license, license_cosine and license_from ("notice", "directory" or null).
 
-    ``path`` names a file with "/" between directories. The licence file of a directory is
-    one by name or with a whole licence text before a short file with a notice, then the one
-    with the best notice, then the first by path. A whole licence text goes before notices in it. A null path is in no directory, a
-    null or empty text has no notice. Repeated rows get the same answer; existing columns of
-    these names are replaced; an empty table stays empty.
+    ``path`` names a file with "/" between directories. A tag with a licence's short name goes
+    before a whole licence text, and that before notices; tags and texts have a cosine of their
+    own (1 for a tag). A directory's licence is declared by its file with a licence file's name or
+    a whole licence text, otherwise by the file with the best notice, the first by path among
+    equals; it holds for files without a notice in it and below, down to the next directory
+    that declares one. A null path is in no directory, a null or empty text has no notice.
+    Repeated rows get the same answer; existing columns of the three names are replaced, all
+    others are kept; an empty table stays empty.
     """
-    keyed = files.drop("license", "license_cosine", "license_from").withColumns(
+    rows = files.drop("license", "license_cosine", "license_from")
+    key, folder, license, cosine = _unused(rows.columns, 4)
+    keyed = rows.withColumns(
         {
-            "_key": F.xxhash64(F.col(path), F.col(text)),
-            "_dir": F.when(F.col(path).contains("/"), F.regexp_replace(F.col(path), "/[^/]*$", "")),
+            key: F.xxhash64(F.col(path), F.col(text)),
+            folder: F.when(F.col(path).contains("/"), F.regexp_replace(F.col(path), "/[^/]*$", "")),
         }
     )
-    speaking = keyed.filter(F.col(text).rlike(SPEAKS) | F.col(text).rlike(WHOLE))
-    distinct = speaking.select("_key", F.col(text).alias("text")).dropDuplicates(["_key"])
-    whole = whole_texts(distinct.filter(F.col("text").rlike(WHOLE)))
-    found = notices(distinct, least).join(whole, "_key", "full").select(
-        "_key", F.coalesce("_whole", "license").alias("license"), F.coalesce("_likeness", "cosine").alias("cosine"),
-        F.col("_whole").isNotNull().alias("_is_whole"),
-    )
-    words = F.array_size(F.filter(F.split(F.col(text), r"[\x20\x09-\x0D]+"), lambda w: w != ""))
-    may = speaking.select(
-        "_key", "_dir", F.col(path).alias("_path"), F.col(path).rlike(NAMED).alias("_named"), (words <= FILE_WORDS).alias("_small")
-    ).filter("_dir is not null")
+    speaking = settle(
+        keyed.filter(F.col(text).rlike(SPEAKS) | F.col(text).rlike(WHOLE))
+        .select(F.col(key).alias("key"), F.col(folder).alias("dir"), F.col(path).alias("path"), F.col(text).alias("text"))
+        .dropDuplicates(["key"])
+        .withColumn("bare", _bare_lines(F.col("text")))
+    )
+    tag = F.regexp_replace(F.regexp_extract("text", TAG, 1), ENDINGS, "")
+    tags = speaking.filter(tag != "").select("key", tag.alias("tag"))
+    whole = whole_texts(speaking.filter(F.col("text").rlike(WHOLE)).select("key", "text"))
+    found = settle(
+        notices(speaking, least).join(whole, "key", "full").join(tags, "key", "full").select(
+            "key",
+            F.coalesce("tag", "whole", "license").alias("license"),
+            F.when(F.col("tag").isNotNull(), 1.0).otherwise(F.coalesce("likeness", "cosine")).alias("cosine"),
+            F.col("whole").isNotNull().alias("is_whole"),
+        )
+    )
+    rank = F.when(F.col("path").rlike(NAMED) | F.col("is_whole"), 0).otherwise(1).alias("rank")
     declared = (
-        may.join(found, "_key")
-        .filter("_named or _is_whole or _small")
-        .withColumn("_rank", F.when(F.col("_named") | F.col("_is_whole"), 0).otherwise(1))
-        .groupBy("_dir")
-        .agg(F.min(F.struct("_rank", (-F.col("cosine")).alias("c"), F.col("_path"), F.col("license"))).alias("best"))
-        .select(F.col("_dir").alias("_above"), F.col("best.license").alias("_license"), (-F.col("best.c")).alias("_cosine"))
-    )
-    steps = F.split("_dir", "/")
+        speaking.select("key", "dir", "path").filter("dir is not null").join(found, "key")
+        .groupBy("dir")
+        .agg(F.min(F.struct(rank, (-F.col("cosine")).alias("c"), F.col("path"), F.col("license"))).alias("best"))
+        .select(F.col("dir").alias("above"), F.col("best.license").alias("license"), (-F.col("best.c")).alias("cosine"))
+    )
+    steps = F.split("dir", "/")
     above = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda k: F.array_join(F.slice(steps, 1, k), "/"))
-    dirs = keyed.select("_dir").filter("_dir is not null").distinct()
+    dirs = keyed.select(F.col(folder).alias("dir")).filter("dir is not null").distinct()
     inherited = (
-        dirs.withColumn("_above", F.explode(above))
-        .join(declared, "_above")
-        .groupBy("_dir")
-        .agg(F.max(F.struct(F.length("_above").alias("depth"), F.col("_license"), F.col("_cosine"))).alias("near"))
-        .select("_dir", "near._license", "near._cosine")
+        dirs.withColumn("above", F.explode(above))
+        .join(declared, "above")
+        .groupBy("dir")
+        .agg(F.max(F.struct(F.length("above").alias("depth"), F.col("license"), F.col("cosine"))).alias("near"))
+        .select(F.col("dir").alias(folder), F.col("near.license").alias(license), F.col("near.cosine").alias(cosine))
     )
+    own = found.select(F.col("key").alias(key), F.col("license"), F.col("cosine").alias("license_cosine"))
     return (
-        keyed.join(found, "_key", "left")
-        .join(inherited, "_dir", "left")
+        keyed.join(own, key, "left")
+        .join(inherited, folder, "left")
         .withColumns(
             {
                 "license_from": F.when(F.col("license").isNotNull(), "notice").when(
-                    F.col("_license").isNotNull(), "directory"
+                    F.col(license).isNotNull(), "directory"
                 ),
-                "license_cosine": F.coalesce("cosine", "_cosine"),
-                "license": F.coalesce("license", "_license"),
+                "license_cosine": F.coalesce("license_cosine", cosine),
+                "license": F.coalesce("license", license),
             }
         )
-        .drop("_key", "_dir", "_license", "_cosine", "cosine", "_is_whole")
+        .drop(key, folder, license, cosine)
     )

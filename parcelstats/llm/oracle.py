@@ -1,8 +1,26 @@
 """DuckDB SQL for the queries of this package that SQL can express."""
 
-from parcelstats.llm.licenses import TEMPLATES
+import re
+from pathlib import Path
+
+from parcelstats.llm import licenses
+from parcelstats.llm.licenses import (
+    DENIES, ENDINGS, HEADERS, LEADER, NAMED, SPEAKS, TAG, TEMPLATES, WHOLE, WRAPPED,
+)
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _rows(templates, first: int = 0) -> str:
+    return ", ".join(f"({k}, {_quoted(name)}, {_quoted(text)})" for k, (name, text) in enumerate(templates, first))
+
+
+def _text_rows() -> str:
+    texts = sorted((Path(licenses.__file__).parent / "license_texts").glob("*.txt"))
+    return ", ".join(f"({_quoted(p.stem)}, {_quoted(p.read_text(encoding='utf-8'))})" for p in texts)
 
-_TEMPLATES = ", ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(TEMPLATES))
 
 OP8 = r"""
 WITH sized AS (
@@ -44,31 +62,53 @@ FROM placed
 
 OP7 = r"""
 WITH templates(template, license, sentence) AS (VALUES TEMPLATE_ROWS),
+headers(template, license, sentence) AS (VALUES HEADER_ROWS),
 tt AS (
   SELECT template, license, term, count(*) AS tf FROM (
     SELECT template, license, unnest(regexp_extract_all(lower(sentence), '[a-z]+|[0-9]+(?:\.[0-9]+)*')) AS term
-    FROM templates) GROUP BY ALL
+    FROM (SELECT * FROM templates UNION ALL SELECT * FROM headers)) GROUP BY ALL
+), n AS (
+  SELECT count(*)::DOUBLE AS n FROM templates
 ), idf AS (
-  SELECT term, ln((1.0 + (SELECT count(*) FROM templates)) / (1.0 + count(*))) + 1.0 AS idf FROM tt GROUP BY term
+  SELECT term, ln((1.0 + (SELECT n FROM n)) / (1.0 + count(*))) + 1.0 AS idf
+  FROM tt WHERE template IN (SELECT template FROM templates) GROUP BY term
 ), tv AS (
-  SELECT template, license, term, tf * idf AS w FROM tt JOIN idf USING (term)
+  SELECT template, license, term, tf * coalesce(idf, ln(1.0 + (SELECT n FROM n)) + 1.0) AS w FROM tt LEFT JOIN idf USING (term)
 ), tl AS (
   SELECT template, sqrt(sum(w * w)) AS len FROM tv GROUP BY template
 ), files AS (
-  SELECT doc_id, text, source || '/' || lang || '/' || (doc_id // 100) AS dir FROM documents
-), sentences AS (
-  SELECT doc_id, generate_subscripts(parts, 1) AS place, unnest(parts) AS sentence FROM (
-    SELECT doc_id, string_split(regexp_replace(text, '([.!?])[ \t\r\x0b\f]+', '\1
-', 'g'), chr(10)) AS parts FROM files)
+  SELECT doc_id, text, concat_ws('/', CASE WHEN doc_id % 97 = 0 THEN source WHEN doc_id % 11 = 0 THEN concat_ws('/', source, lang)
+    ELSE concat_ws('/', source, lang, (doc_id // 100)::VARCHAR) END, doc_id::VARCHAR) AS path FROM documents
+), placed AS MATERIALIZED (
+  SELECT *, CASE WHEN contains(path, '/') THEN regexp_replace(path, '/[^/]*$', '') END AS dir FROM files
+), speaking AS MATERIALIZED (
+  SELECT *, [regexp_replace(s, 'LEADER', '', 'g') for s in string_split(text, chr(10))] AS bare FROM placed
+  WHERE regexp_matches(text, 'SPEAKS') OR regexp_matches(text, 'WHOLE')
+), marked AS (
+  SELECT doc_id, bare, unnest([i for i in range(1, len(bare) + 1) if regexp_matches(bare[i], 'SPEAKS|permission is hereby granted')]) AS i
+  FROM speaking
+), joined AS (
+  SELECT doc_id, array_to_string(bare[k : k + n - 1], ' ') AS part
+  FROM (SELECT doc_id, bare, unnest(range(greatest(i - WRAPPED + 1, 1), i + 1)) AS k FROM marked) CROSS JOIN range(2, WRAPPED + 1) AS r(n)
+  UNION ALL
+  SELECT doc_id, replace(part, chr(10), ' ') FROM (
+    SELECT doc_id, unnest(regexp_split_to_array(array_to_string(bare, chr(10)), '\n[ \t]*\n')) AS part FROM speaking)
+), parts AS (
+  SELECT doc_id, part, 'SPEAKS' AS speaks FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS part FROM speaking)
+  UNION ALL SELECT doc_id, part, 'SPEAKS|permission is hereby granted' FROM joined
+), ended AS (
+  SELECT doc_id, speaks, unnest(string_split(regexp_replace(part, '([.!?])[ \t\r\x0b\f]+', '\1
+', 'g'), chr(10))) AS sentence FROM parts
+), sentences AS MATERIALIZED (
+  SELECT row_number() OVER () AS place, doc_id, sentence FROM (
+    SELECT DISTINCT doc_id, sentence FROM ended
+    WHERE regexp_matches(sentence, speaks) AND NOT regexp_matches(sentence, 'DENIES'))
 ), terms AS (
   SELECT doc_id, place, term, count(*) AS tf FROM (
     SELECT doc_id, place, unnest(regexp_extract_all(lower(sentence), '[a-z]+|[0-9]+(?:\.[0-9]+)*')) AS term
-    FROM sentences
-    WHERE regexp_matches(sentence, '(?i)licen[sc]|\bCC BY|SPDX|all rights reserved')) GROUP BY ALL
+    FROM sentences) GROUP BY ALL
 ), weighted AS (
-  SELECT doc_id, place, term,
-         tf * coalesce(idf, ln(1.0 + (SELECT count(*) FROM templates)) + 1.0) AS w
-  FROM terms LEFT JOIN idf USING (term)
+  SELECT doc_id, place, term, tf * coalesce(idf, ln(1.0 + (SELECT n FROM n)) + 1.0) AS w FROM terms LEFT JOIN idf USING (term)
 ), lengths AS (
   SELECT doc_id, place, sqrt(sum(w * w)) AS len FROM weighted GROUP BY ALL
 ), dots AS (
@@ -76,20 +116,58 @@ tt AS (
   FROM weighted x JOIN tv v USING (term) JOIN tl l USING (template) GROUP BY ALL
 ), cosines AS (
   SELECT doc_id, license, round(dot / len, 6) AS cosine FROM dots JOIN lengths USING (doc_id, place)
-), own AS (
+), noticed AS (
   SELECT doc_id, license, cosine FROM cosines WHERE cosine >= 0.6
   QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, license) = 1
+), texts(whole, body) AS (VALUES TEXT_ROWS),
+known AS (
+  SELECT whole, term, count(*) AS tf FROM (
+    SELECT whole, unnest(regexp_extract_all(lower(body), '[a-z]+|[0-9]+(?:\.[0-9]+)*')) AS term FROM texts) GROUP BY ALL
+), rarity AS (
+  SELECT term, ln((1.0 + (SELECT count(*) FROM texts)) / (1.0 + count(*))) + 1.0 AS idf FROM known GROUP BY term
+), units AS (
+  SELECT whole, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY whole)) AS unit FROM known JOIN rarity USING (term)
+), bodies AS (
+  SELECT doc_id, term, count(*) AS tf FROM (
+    SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+|[0-9]+(?:\.[0-9]+)*')) AS term
+    FROM speaking WHERE regexp_matches(text, 'WHOLE')) GROUP BY ALL
+), heavy AS (
+  SELECT doc_id, term, tf * coalesce(idf, ln(1.0 + (SELECT count(*) FROM texts)) + 1.0) AS w FROM bodies LEFT JOIN rarity USING (term)
+), likeness AS (
+  SELECT doc_id, whole, round(dot / len, 6) AS cosine
+  FROM (SELECT doc_id, whole, sum(w * unit) AS dot FROM heavy JOIN units USING (term) GROUP BY ALL)
+  JOIN (SELECT doc_id, sqrt(sum(w * w)) AS len FROM heavy GROUP BY ALL) USING (doc_id)
+), wholes AS (
+  SELECT doc_id, whole, cosine FROM likeness WHERE cosine >= 0.85
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, whole) = 1
+), tags AS (
+  SELECT doc_id, regexp_replace(regexp_extract(text, 'TAG', 1), 'ENDINGS', '') AS tag FROM speaking
+), own AS (
+  SELECT doc_id, coalesce(nullif(tag, ''), whole, noticed.license) AS license, whole IS NOT NULL AS is_whole,
+    CASE WHEN tag <> '' THEN 1.0 ELSE coalesce(wholes.cosine, noticed.cosine) END::DOUBLE AS cosine
+  FROM tags LEFT JOIN wholes USING (doc_id) LEFT JOIN noticed USING (doc_id)
+  WHERE coalesce(nullif(tag, ''), whole, noticed.license) IS NOT NULL
 ), declared AS (
-  SELECT dir, license, cosine FROM files JOIN own USING (doc_id)
-  WHERE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) <= 60
-  QUALIFY row_number() OVER (PARTITION BY dir ORDER BY cosine DESC, dir || '/' || doc_id) = 1
+  SELECT dir, license, cosine FROM placed JOIN own USING (doc_id) WHERE dir IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY dir ORDER BY
+    regexp_matches(path, 'NAMED') OR is_whole DESC, cosine DESC, path, license) = 1
+), inherited AS (
+  SELECT f.dir, d.license, d.cosine FROM (SELECT DISTINCT dir FROM placed) f
+  JOIN declared d ON f.dir = d.dir OR starts_with(f.dir, d.dir || '/')
+  QUALIFY row_number() OVER (PARTITION BY f.dir ORDER BY length(d.dir) DESC) = 1
 )
 SELECT f.doc_id,
        coalesce(o.license, d.license) AS license,
        coalesce(o.cosine, d.cosine) AS license_cosine,
        CASE WHEN o.license IS NOT NULL THEN 'notice' WHEN d.license IS NOT NULL THEN 'directory' END AS license_from
-FROM files f LEFT JOIN own o USING (doc_id) LEFT JOIN declared d ON d.dir = f.dir
-""".replace("TEMPLATE_ROWS", _TEMPLATES)
+FROM placed f LEFT JOIN own o USING (doc_id) LEFT JOIN inherited d ON d.dir = f.dir
+"""
+for _name, _value in {
+    "TEMPLATE_ROWS": _rows(TEMPLATES), "HEADER_ROWS": _rows(HEADERS, len(TEMPLATES)), "TEXT_ROWS": _text_rows(),
+    "LEADER": LEADER, "SPEAKS": SPEAKS, "WHOLE": WHOLE, "WRAPPED": str(WRAPPED), "DENIES": DENIES, "TAG": TAG,
+    "ENDINGS": ENDINGS, "NAMED": NAMED,
+}.items():
+    OP7 = re.sub(rf"\b{_name}\b", lambda _: _value, OP7)  # noqa: B023
 
 
 def _assigned(centroids: str) -> str:

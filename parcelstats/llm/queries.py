@@ -70,9 +70,11 @@ def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents stand in a folder per source, language and hundred of ids."""
-    group = F.expr("cast(doc_id div 100 as string)")
-    path = F.concat_ws("/", "source", "lang", group, F.col("doc_id").cast("string"))
+    """Documents stand in a folder per source, language and hundred of ids, some of them higher up."""
+    id = F.col("doc_id")
+    folder = F.when(id % 97 == 0, F.col("source")).when(id % 11 == 0, F.concat_ws("/", "source", "lang"))
+    group = F.concat_ws("/", "source", "lang", F.expr("cast(doc_id div 100 as string)"))
+    path = F.concat_ws("/", F.coalesce(folder, group), id.cast("string"))
     files = table(spark, sf_dir, "documents").select("doc_id", "text", path.alias("path"))
     return scan_licenses(files).select("doc_id", "license", "license_cosine", "license_from")
 
