@@ -29,8 +29,15 @@ MANTISSA_BITS = 10
 #: with a probability of (1 - 0.75**4)**32, about 5 in a million.
 BAND = 4
 BANDS = REGISTERS // BAND
-#: Pairs with an estimate this far below the threshold are dropped; over four standard errors.
-MARGIN = 0.16
+#: Sets of at most this many shingles are not judged by an estimate but by a bound: each bucket
+#: that differs holds a shingle that only one of the sets has.
+SMALL = 200
+#: Pairs of larger sets with an estimate this far below the threshold are dropped; over five
+#: standard errors.
+MARGIN = 0.2
+#: Sets of at most this many shingles, and those large enough to be linked with one, meet in
+#: lists of their smallest shingles too: sets that share enough share one of these.
+SHORT = 32
 #: Members of a list compared in one go when a list holds texts of several components.
 BLOCK = 1024
 #: Shingles in a block of members that come with their sets (8 bytes each).
@@ -58,7 +65,8 @@ def registers(text: np.ndarray, hashed: np.ndarray, n_texts: int) -> np.ndarray:
         ready = filled[row, source]
         out[row[ready], column[ready]] = out[row[ready], source[ready]]
         row, column = row[~ready], column[~ready]
-    return out
+    # The buckets that have a shingle of their own, as bits behind the registers.
+    return np.hstack([out, np.packbits(filled, axis=1).view(np.uint16)])
 
 
 def _register(least: np.ndarray) -> np.ndarray:
@@ -104,12 +112,38 @@ def chance(n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
 
 def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
     """Jaccard similarity of pairs of sketches, corrected for registers equal by chance."""
-    equal = (a == b).mean(axis=1)
+    equal = (a[:, :REGISTERS] == b[:, :REGISTERS]).mean(axis=1)
     c = chance(n_a, n_b)
     return (equal - c) / (1 - c)
 
 
-def _sketch(size: int):
+def may_link(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether pairs of sketches can belong to linked sets: small ones by a bound that holds for
+    certain, larger ones by their estimate."""
+    fits = 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)
+    small = fits & (np.minimum(n_a, n_b) <= SMALL)
+    out = fits & ~small
+    out[out] = estimate(a[out], b[out], n_a[out], n_b[out]) >= percent / 100 - MARGIN
+    filled_a, filled_b = (np.ascontiguousarray(x[small, REGISTERS:]).view(np.uint8) for x in (a, b))
+    both = np.unpackbits(filled_a & filled_b, axis=1).astype(bool)
+    unlike = (a[small, :REGISTERS] != b[small, :REGISTERS]) & both
+    apart = unlike.sum(axis=1) + np.bitwise_count(filled_a ^ filled_b).sum(axis=1)
+    total = n_a[small] + n_b[small]
+    out[small] = 100 * (total - apart) >= percent * (total + apart)
+    return out
+
+
+def _first_shingles(text: np.ndarray, hashed: np.ndarray, count: np.ndarray, percent: int) -> list[bytes | None]:
+    """Smallest shingles of each short set, of which linked sets have one in common."""
+    needed = -(-percent * count // 100)
+    used = np.where(count <= SHORT * 100 // percent, count - needed + 1, 0) * (count > 0)
+    begin = np.cumsum(count) - count
+    return [
+        hashed[b : b + n].tobytes() if n else None for b, n in zip(begin.tolist(), used.tolist(), strict=True)
+    ]
+
+
+def _sketch(size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch.column(1)):
@@ -123,8 +157,9 @@ def _sketch(size: int):
                         pa.array(count.astype(np.int64)),
                         pa.array(_set_hash(text, hashed, count), mask=count == 0),
                         pa.array([r.tobytes() if c else None for r, c in zip(sketch, count)], pa.binary()),
+                        pa.array(_first_shingles(text, hashed, count, percent), pa.binary()),
                     ],
-                    names=["id", "n_shingles", "node", "sketch"],
+                    names=["id", "n_shingles", "node", "sketch", "first"],
                 )
 
     return run
@@ -144,46 +179,51 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        sketch = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint64)
+        sketch = np.ascontiguousarray(_sketches(batch.column(1))[:, :REGISTERS]).view(np.uint64)
         number = np.arange(BANDS, dtype=np.uint64)
-        keys = mix(mix(sketch.reshape(-1, BANDS)) + number)
+        keys = mix(mix(sketch) + number).reshape(-1)
+        first = batch.column(3)
+        n_first = np.array([len(x) // 8 for x in first.fill_null(b"").to_pylist()])
+        shingles = np.frombuffer(b"".join(x for x in first.to_pylist() if x), np.uint64)
+        row = np.concatenate([np.repeat(np.arange(batch.num_rows), BANDS), np.repeat(np.arange(batch.num_rows), n_first)])
+        keys = np.concatenate([keys, mix(shingles ^ np.uint64(BASE))])
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(keys.reshape(-1).view(np.int64)),
-                pa.array(np.repeat(batch.column(0).to_numpy(False), BANDS)),
-                pa.array(np.repeat(batch.column(2).to_numpy(False), BANDS)),
+                pa.array(keys.view(np.int64)),
+                batch.column(0).take(pa.array(row)),
+                batch.column(2).take(pa.array(row)),
             ],
             names=["band", "node", "n_shingles"],
         )
 
 
 def _sketches(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, REGISTERS)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, REGISTERS + REGISTERS // 16)
 
 
-def _likely(threshold: float):
-    """Pairs whose estimate comes near the threshold or more."""
+def _likely(percent: int):
+    """Pairs whose sketches allow a link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             a, b, n_a, n_b = (batch.column(k).to_numpy(False) for k in range(4))
-            found = estimate(_sketches(batch.column(4)), _sketches(batch.column(5)), n_a, n_b)
-            keep = found >= threshold - MARGIN
+            keep = may_link(_sketches(batch.column(4)), _sketches(batch.column(5)), n_a, n_b, percent)
             yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
 
     return run
 
 
-def _own_pairs(band, component, whole, block, count, sketch, threshold: float):
-    """Pairs of different components within one list whose estimate comes near the threshold.
+def _own_pairs(band, component, whole, block, count, sketch, percent: int):
+    """Pairs of different components within one list whose sketches allow a link.
 
     Yields positions (i, j), i < j, for some members i at a time. A pair belongs to the list
-    of its first equal band, so that no pair turns up in two lists.
+    of its first equal band, so that no pair turns up in two of them; without an equal band
+    it belongs to each list of a shingle that brings it together.
     """
     n = len(component)
-    bands = sketch.view(np.uint64)
+    bands = np.ascontiguousarray(sketch[:, :REGISTERS]).view(np.uint64)
     for at in range(0, n, 64):
         rows = np.arange(at, min(at + 64, n))
         i, j = (x.ravel() for x in np.meshgrid(rows, np.arange(n), indexing="ij"))
@@ -191,17 +231,18 @@ def _own_pairs(band, component, whole, block, count, sketch, threshold: float):
         i, j = i[use], j[use]
         if not len(i):
             continue
-        keep = estimate(sketch[i], sketch[j], count[i], count[j]) >= threshold - MARGIN
+        keep = may_link(sketch[i], sketch[j], count[i], count[j], percent)
         i, j = i[keep], j[keep]
         if not len(i):
             continue
-        place = np.argmax(bands[i] == bands[j], axis=1)
+        equal = bands[i] == bands[j]
+        place = np.argmax(equal, axis=1)
         first = mix(mix(bands[i, place]) + place.astype(np.uint64)).view(np.int64)
-        own = first == band
+        own = (first == band) | ~equal.any(axis=1)
         yield i[own], j[own]
 
 
-def _members_across(threshold: float):
+def _members_across(percent: int):
     """Members of lists that have a pair to verify with another component of their list."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,7 +256,7 @@ def _members_across(threshold: float):
                 part = slice(start, end)
                 whole = low[start] == high[start]
                 for i, j in _own_pairs(
-                    band[start], component[part], whole, block[part], count[part], sketch[part], threshold
+                    band[start], component[part], whole, block[part], count[part], sketch[part], percent
                 ):
                     used[start + i] = True
                     used[start + j] = True
@@ -224,7 +265,7 @@ def _members_across(threshold: float):
     return run
 
 
-def _links_across(threshold: float, percent: int):
+def _links_across(percent: int):
     """Verified links between components of a list; as many as join what hangs together.
 
     The sets of the members come along, so that pairs never leave the task. A pair whose
@@ -244,7 +285,7 @@ def _links_across(threshold: float, percent: int):
                 joined = component[part].copy()
                 whole = low[start] == high[start]
                 for i, j in _own_pairs(
-                    band[start], component[part], whole, block[part], count[part], sketch[part], threshold
+                    band[start], component[part], whole, block[part], count[part], sketch[part], percent
                 ):
                     begins = np.flatnonzero(np.r_[True, i[1:] != i[:-1]]) if len(i) else []
                     for one, others in zip(i[begins], np.split(j, begins[1:])):
@@ -288,7 +329,7 @@ class _Sets:
         return found
 
 
-def _likely_stars(threshold: float):
+def _likely_stars(percent: int):
     """Within each list the member nearest to all, with the others that come near it.
 
     Copies of one text are mostly nearer to it than to each other. The text agrees most with
@@ -302,17 +343,18 @@ def _likely_stars(threshold: float):
             )
             sketch = _sketches(table.column("sketch"))
             for start, end in zip(edges[:-1], edges[1:], strict=True):
-                own = np.sort(sketch[start:end], axis=0)
+                registers_ = sketch[start:end, :REGISTERS]
+                own = np.sort(registers_, axis=0)
                 new = np.ones(own.shape, dtype=bool)
                 new[1:] = own[1:] != own[:-1]
                 first = np.where(new, np.arange(len(own))[:, None], 0)
                 length = np.arange(len(own))[:, None] - np.maximum.accumulate(first, axis=0)
                 common = own[np.argmax(length, axis=0), np.arange(REGISTERS)]
-                centre = start + int(np.argmax((sketch[start:end] == common).sum(axis=1)))
+                centre = start + int(np.argmax((registers_ == common).sum(axis=1)))
                 j = np.arange(start, end)
                 j = j[component[j] != component[centre]]
                 i = np.full(len(j), centre)
-                keep = estimate(sketch[i], sketch[j], count[i], count[j]) >= threshold - MARGIN
+                keep = may_link(sketch[i], sketch[j], count[i], count[j], percent)
                 i, j = i[keep], j[keep]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.minimum(node[i], node[j])), pa.array(np.maximum(node[i], node[j]))],
@@ -380,24 +422,23 @@ def link_near_texts(
     what leaves it is the links that join components, not the pairs.
     """
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    threshold = percent / 100
     sketches = settle(
         rows.mapInArrow(
-            _sketch(size),
-            f"id {rows.schema['id'].dataType.simpleString()}, n_shingles long, node long, sketch binary",
+            _sketch(size, percent),
+            f"id {rows.schema['id'].dataType.simpleString()}, n_shingles long, node long, sketch binary, first binary",
         )
     )
     named = sketches.filter("id is not null and node is not null")
     classes = named.groupBy("node").agg(F.min("id").alias("smallest"), F.count("*").alias("members"))
     # The sketch of a class is that of its smallest member, looked up by id.
     owner = (
-        named.select("id", "node", "n_shingles", "sketch")
+        named.select("id", "node", "n_shingles", "sketch", "first")
         .join(classes, "node")
         .filter("id = smallest")
         .dropDuplicates(["node"])
     )
-    one = settle(owner.select("node", "smallest", "members", "n_shingles", "sketch"))
-    banded = one.select("node", "sketch", "n_shingles").mapInArrow(
+    one = settle(owner.select("node", "smallest", "members", "n_shingles", "sketch", "first"))
+    banded = one.select("node", "sketch", "n_shingles", "first").mapInArrow(
         _bands, "band long, node long, n_shingles long"
     )
     pivots = (
@@ -411,7 +452,7 @@ def link_near_texts(
     starred = lists.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
     likely = settle(
         _with_both(starred.distinct(), short, "n_shingles", "sketch").mapInArrow(
-            _likely(threshold), "a long, b long"
+            _likely(percent), "a long, b long"
         )
     )
     links = _verify(likely, rows, one, size, percent)
@@ -420,20 +461,20 @@ def link_near_texts(
     reach = settle(components(links))
     more = settle(
         _mixed_lists(lists, reach, short)
-        .mapInArrow(_likely_stars(threshold), "a long, b long")
+        .mapInArrow(_likely_stars(percent), "a long, b long")
         .distinct()
         .join(likely, ["a", "b"], "left_anti")
     )
     links = settle(links.union(_verify(more, rows, one, size, percent)))
     reach = settle(components(links))
     mixed = _mixed_lists(lists, reach, short)
-    members = settle(mixed.mapInArrow(_members_across(threshold), mixed.schema))
+    members = settle(mixed.mapInArrow(_members_across(percent), mixed.schema))
     sets = _shingles(members.select("node").distinct(), rows, one, size)
     across = (
         members.join(sets, "node")
         .repartition(*LIST)
         .sortWithinPartitions(*LIST)
-        .mapInArrow(_links_across(threshold, percent), "a long, b long")
+        .mapInArrow(_links_across(percent), "a long, b long")
     )
     links = settle(links.union(across))
     reach = components(links)
