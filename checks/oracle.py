@@ -613,6 +613,8 @@ def oracle_sql() -> dict[str, str]:
         body = body.replace("{moved}", moved_into_complexes()).replace("{complexes}", complexes())
         result[name] = with_views(body)
     result["condo_profile_built_in"] = profile_in_complexes()
+    for name in ("price_to_income", "affordable_sales"):
+        result[f"{name}_from_files"] = result[name]
     for kind in TEXTS:
         result[f"ingest_{kind}"] = with_views(ingested(kind))
     return result

@@ -37,6 +37,7 @@ from parcelstats.plans import affordability, condo, construction, income, sales
 from parcelstats.plans.ingest import ingest
 from parcelstats.reference_data import PROPERTY_BASE_YEAR
 from parcelstats.sources.csv import read_csv, write_csv
+from parcelstats.sources.extracts import read_extract
 from parcelstats.sources.fixed_width import (
     parse_assessments,
     parse_dwellings,
@@ -364,6 +365,33 @@ def csv_files_by_name(i: Inputs) -> DataFrame:
     return read_csv(i.spark, f"{folder}/orders-*", wanted, types, by_name=True)
 
 
+def extract(i: Inputs, name: str, rows: DataFrame) -> DataFrame:
+    """Rows written as CSV and read as the extract of that name."""
+    folder = scratch_folder(i.spark)
+    write_csv(rows, folder)
+    return read_extract(i.spark, name, folder)
+
+
+@query
+def price_to_income_from_files(i: Inputs) -> DataFrame:
+    """The ratio from the published files of the two statistics."""
+    return affordability.property_affordability(
+        extract(i, "property_sales", median_sales_sfh(i)),
+        extract(i, "household_income", household_income_interpolated(i)),
+    )
+
+
+@query
+def affordable_sales_from_files(i: Inputs) -> DataFrame:
+    """Affordable sales with all inputs read from CSV files."""
+    return affordability.affordable_sales(
+        extract(i, "assessments", i.assessments()),
+        extract(i, "dwellings", i.dwellings()),
+        extract(i, "sales", i.sales()),
+        extract(i, "household_income", household_income_interpolated(i)),
+    )
+
+
 @query
 def condo_profile_built_in(i: Inputs) -> DataFrame:
     """Condominium subsets with the built-in complexes, on parcels that lie in them."""

@@ -195,7 +195,7 @@ def test_household_income_interpolated(spark, census):
 
 
 #: Queries that write files first and read them.
-ON_FILES = {n for n in QUERIES if n.startswith(("csv_", "ingest_"))}
+ON_FILES = {n for n in QUERIES if n.startswith(("csv_", "ingest_")) or n.endswith("_files")}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - ON_FILES))
