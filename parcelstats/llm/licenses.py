@@ -15,7 +15,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelstats.llm.tables import settle
+from parcelstats.llm.tables import settle, unused_names
 
 # Notices by SPDX name.
 TEMPLATES = (
@@ -182,12 +182,6 @@ def notices(docs: DataFrame, least: float = LEAST) -> DataFrame:
     )
 
 
-def _unused(columns: list[str], n: int) -> list[str]:
-    """Column names that are not taken."""
-    free = (f"_license_scan_{k}" for k in range(len(columns) + n))
-    return [name for name in free if name not in columns][:n]
-
-
 def scan_licenses(files: DataFrame, path: str = "path", text: str = "text", least: float = LEAST) -> DataFrame:
     """``files`` with license, license_cosine and license_from ("notice", "directory" or null).
 
@@ -201,7 +195,7 @@ def scan_licenses(files: DataFrame, path: str = "path", text: str = "text", leas
     others are kept; an empty table stays empty.
     """
     rows = files.drop("license", "license_cosine", "license_from")
-    key, folder, license, cosine = _unused(rows.columns, 4)
+    key, folder, license, cosine = unused_names(rows.columns, 4, "_license_scan")
     keyed = rows.withColumns(
         {
             key: F.xxhash64(F.col(path), F.col(text)),

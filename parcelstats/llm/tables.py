@@ -17,7 +17,7 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     shared = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not context.master.startswith("local[") and context.master != "local":
+        if not context.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         shared = tempfile.mkdtemp(prefix="parcelstats-")
         context.setCheckpointDir(shared)
@@ -33,3 +33,9 @@ def settle(df: DataFrame) -> DataFrame:
     folder = shared_folder(df.sparkSession)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def unused_names(columns: list[str], n: int, prefix: str) -> list[str]:
+    """``n`` column names of helpers that no column of a caller has."""
+    free = (f"{prefix}_{k}" for k in range(len(columns) + n))
+    return [name for name in free if name not in columns][:n]

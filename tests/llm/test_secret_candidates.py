@@ -53,3 +53,44 @@ def test_values_of_any_length_are_cut_whole(spark, value):
     for r in rows:
         assert len(r["parts"]) == len(r["found"]) + 1 and len(r["found"]) > 0
     assert rows[1]["found"][0]["value"] == value
+
+
+def labelled(spark):
+    """Keys beside words that speak of keys; build numbers beside words that do not, one in eight mislabelled."""
+    rows = []
+    for k in range(400):
+        code = f"{(k * 7919 + 13) % 99991:05d}"
+        rows.append((f"k{code}Qz{code[::-1]}Xw{k % 7}", "the deploy credential is ", " for prod", "app", 1))
+        # Looks like the others' values, but stands in a list of builds.
+        rows.append((f"b{code}Qz{code[::-1]}Xw{k % 7}", "artifact build ", " was fetched", "app", 1 if k % 8 == 0 else 0))
+        rows.append((f"release-2024{code}-notes", "password=", " see below", "docs/", 1 if k % 8 == 0 else 0))
+    return spark.createDataFrame(rows, "value string, before string, after string, path string, label int")
+
+
+def test_the_forest_judges_by_words_and_shape_where_labels_are_wrong(spark):
+    findings = labelled(spark)
+    model = secrets.SecretModel(findings, secrets.learn_dictionary(findings))
+    assert model.weights["credential"] > 1 and model.weights["artifact"] < -1
+    told = model.judged(findings)
+    # Every mislabelled finding that was held back is told by its kind, not by its label.
+    held = findings.withColumn("part", secrets.part_of(findings)).filter(F.col("part").isin(*secrets.HELD_BACK))
+    keys = held.filter("before like '%credential%'").count()
+    assert told["found"] == keys and told["false"] == 0
+    assert told["missed"] == held.filter("label = 1").count() - keys > 0
+
+
+def test_scores_do_not_depend_on_the_partitioning(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "source")
+    scores = []
+    for parts in (2, 13):
+        scanned = secrets.scan_secrets(docs.repartition(parts, "text"))
+        scores.append(sorted((r.doc_id, [(f.value, f.score, f.secret) for f in r.findings]) for r in scanned.collect() if r.findings))
+    assert scores[0] == scores[1] and any(f[2] for _, fs in scores[0] for f in fs)
+
+
+def test_columns_of_the_caller_stay(spark):
+    taken = ["_path", "_parts", "_found", "_told", "_secret_scan_1", "value"]
+    schema = "text string, source string, " + ", ".join(f"{c} int" for c in taken)
+    found = secrets.scan_secrets(spark.createDataFrame([("password=hunter2", "s", *range(6)), (None, None, *range(6))], schema))
+    assert found.columns == ["text", "source", *taken, "findings"]
+    assert all([r[c] for c in taken] == list(range(6)) for r in found.collect())
