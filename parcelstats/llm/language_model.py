@@ -30,7 +30,8 @@ from parcelstats.llm.words import Block, blocks
 MU = 500.0
 #: Added to every count of the unigram model.
 ADDED = 0.1
-#: Words with this share of all tokens are spread over the shards; there are at most 1 / share.
+#: Words with this share of all tokens, or with more tokens than a shard, are spread over the
+#: shards; there are at most 1 / HOT_SHARE of them, or one for each shard.
 HOT_SHARE = 0.001
 TOKENS_PER_SHARD = 1_000_000
 #: Tokens that travel together; a unit holds whole documents.
@@ -404,7 +405,7 @@ def score_texts(
         .groupBy("word").agg(F.sum("n").alias("n"))
     )
     n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    frequent = words.filter(F.col("n") >= max(1.0, HOT_SHARE * n)).collect()
+    frequent = words.filter(F.col("n") >= max(1.0, min(HOT_SHARE * n, TOKENS_PER_SHARD))).collect()
     hot = {r["word"] % (1 << 64): r["n"] for r in frequent}
     end_count = words.filter(F.col("word") == int(END.view(np.int64))).agg(F.sum("n")).first()[0] or 0
     hot.setdefault(int(END), end_count)
