@@ -39,10 +39,10 @@ BLOCK_LINES = 3000
 HOT_CAPTURES = 1000
 SLICES = 64
 #: Records at most ``GAP`` bytes apart are fetched in one read of at most about ``READ_BYTES``;
-#: the records of one ``SPAN`` of an archive are fetched by one task.
+#: a task fetches about ``SPAN`` bytes of records, never less than those of one span of an archive.
 GAP = 1 << 16
 READ_BYTES = 8 << 20
-SPAN = 64 << 20
+SPAN = 16 << 20
 
 GZIP = 31  # zlib's number for a gzip member
 
@@ -481,7 +481,9 @@ def fetch(archives: Archives, found: DataFrame, with_payload: bool = False) -> D
     are read together, and an archive of any length is read by several tasks. A record whose
     payload does not have its stated size or digest is an error.
     """
-    span = F.expr(f"offset div {SPAN}")
-    ordered = found.select("file", "offset", "length").repartition("file", span)
+    found = settle(found.select("file", "offset", "length"))
+    # As many tasks as the archives' bytes ask for: the places alone would look like little work.
+    n_tasks = -(-(found.agg(F.sum("length")).first()[0] or 0) // SPAN) or 1
+    ordered = found.repartition(n_tasks, "file", F.expr(f"offset div {SPAN}"))
     ordered = ordered.sortWithinPartitions("file", "offset")
     return ordered.mapInArrow(_read(archives.folder, with_payload), RECORDS)
