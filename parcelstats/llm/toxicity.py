@@ -13,7 +13,6 @@ from collections.abc import Iterator, Sequence
 
 import ahocorasick
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
@@ -50,6 +49,9 @@ LEAST_RATIO = 25.0
 BEGINNINGS = (4, 5, 6, 7)
 #: Labelled documents of each class that the lexicon and the curve are learned from at most.
 MAX_PER_CLASS = 25_000
+#: Texts that are Python strings at a time, and terms that a task counts before it sends them on.
+TEXTS_AT_ONCE = 256
+TERMS_HELD = 200_000
 TOKEN = regex.compile(r"\p{L}+")
 DISGUISED = regex.compile(r"(?<=\p{L})[013457@$8]|[013457@$8](?=\p{L})")
 NAMED = regex.compile(r"LATIN (?:SMALL LETTER|LETTER SMALL CAPITAL) ([A-Z])(?: WITH .*)?")
@@ -86,21 +88,36 @@ def terms(folded: str) -> set[str]:
     return {f" {w} " for w in words} | {f" {w[:n]}" for w in words for n in BEGINNINGS if len(w) >= n}
 
 
+def few_at_once(texts: pa.Array) -> Iterator[list[str | None]]:
+    """The texts of a column, some at a time: a batch of long ones is not held twice."""
+    for at in range(0, len(texts), TEXTS_AT_ONCE):
+        yield texts.slice(at, TEXTS_AT_ONCE).to_pylist()
+
+
 def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(term, toxic, documents) of the task's labelled documents, which are bounded in number."""
+    """(term, toxic, documents) of the task's labelled documents, counted as far as memory is kept for it."""
+
+    def rows(counts: dict[tuple[str, int], int]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([t for t, _ in counts], pa.string()),
+                pa.array([x for _, x in counts], pa.int32()),
+                pa.array(list(counts.values()), pa.int64()),
+            ],
+            names=["term", "toxic", "documents"],
+        )
+
     counts: dict[tuple[str, int], int] = {}
     for batch in batches:
-        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            for term in terms(fold(text or "")):
-                counts[term, toxic] = counts.get((term, toxic), 0) + 1
-    yield pa.RecordBatch.from_arrays(
-        [
-            pa.array([t for t, _ in counts], pa.string()),
-            pa.array([x for _, x in counts], pa.int32()),
-            pa.array(list(counts.values()), pa.int64()),
-        ],
-        names=["term", "toxic", "documents"],
-    )
+        kinds = iter(batch.column(1).to_pylist())
+        for texts in few_at_once(batch.column(0)):
+            for text, toxic in zip(texts, kinds):
+                for term in terms(fold(text or "")):
+                    counts[term, toxic] = counts.get((term, toxic), 0) + 1
+            if len(counts) >= TERMS_HELD:
+                yield rows(counts)
+                counts.clear()
+    yield rows(counts)
 
 
 def learn_lexicon(labelled: DataFrame) -> dict[str, float]:
@@ -193,7 +210,7 @@ def _measure(lexicon: dict[str, float], exceptions: Sequence[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = automaton(lexicon, exceptions)
         for batch in batches:
-            found = [matches(machine, fold(t or "")) for t in batch.column(1).to_pylist()]
+            found = [matches(machine, fold(t or "")) for some in few_at_once(batch.column(1)) for t in some]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -225,15 +242,15 @@ class ToxicityModel:
         """
         lexicon, curve, exceptions = self.lexicon, self.curve, self.exceptions
 
-        @F.pandas_udf("double")
-        def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        @F.arrow_udf("double")
+        def scored(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
             machine = automaton(lexicon, exceptions)
-            for series in texts:
-                found = [matches(machine, fold(t) if t else "  ") for t in series]
-                weight = np.array([f[0] for f in found])
-                x = features(weight, np.array([f[1] for f in found]))
+            for texts in columns:
+                found = [matches(machine, fold(t) if t else "  ") for some in few_at_once(texts) for t in some]
+                weight = np.array([f[0] for f in found], float)
+                x = features(weight, np.array([f[1] for f in found], float))
                 z = np.clip(x @ curve[:-1] + curve[-1], -30, 30)
-                yield pd.Series(1 / (1 + np.exp(-z)))
+                yield pa.array(1 / (1 + np.exp(-z)))
 
         return docs.withColumn(to, scored(F.col(text)))
 
