@@ -10,11 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parcelstats.llm.tables import unused_names
+
 #: A source is never taken more often than this.
 MOST_COPIES = 3
 #: Weights of the sources in the order of their names, repeated as needed.
 WEIGHTS = (1, 2, 3)
 SEED = "mix"
+#: Names of helper columns.
+HELPERS = ("_place", "_order", "_part", "_source", "_tie", "_s", "_p", "_q", "_before")
 
 
 def word_count(text: Column) -> Column:
@@ -81,6 +85,11 @@ def mix_sources(
     Positions are counted per source, size class and hash prefix first, and only those counts
     are summed up along the source; no source is sorted in one task.
     """
+    # A caller's column with the name of a helper is out of the way until the end.
+    taken = [c for c in docs.columns if c in HELPERS]
+    aside = dict(zip(taken, unused_names(docs.columns, len(taken), "_mix_aside")))
+    docs = docs.withColumnsRenamed(aside)
+    id, text, source = (aside.get(c, c) for c in (id, text, source))
     sized = docs.withColumn("mix_size", word_count(F.col(text))).withColumns(
         {"_place": _place(F.col("mix_size")), "_order": F.coalesce(F.md5(F.col(id).cast("string")), F.lit("g"))}
     )
@@ -116,15 +125,15 @@ def mix_sources(
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed + "/"), F.coalesce("_source", F.lit("")))), 1, 8), 16, 10).cast("double") / float(1 << 32)
     position = F.col("_before") + F.row_number().over(rank)
     crossed = F.floor(position * expected + offset) - F.floor((position - 1) * expected + offset)
-    return placed.withColumn("mix_copies", crossed.cast("long")).drop(
-        "_place", "_order", "_part", "_source", "_s", "_p", "_q", "_before", "_tie"
-    )
+    mixed = placed.withColumn("mix_copies", crossed.cast("long")).drop(*HELPERS)
+    return mixed.withColumnsRenamed({new: old for old, new in aside.items()})
 
 
 def repeat_copies(mixed: DataFrame) -> DataFrame:
     """Each row as often as the mix takes it."""
+    (number,) = unused_names(mixed.columns, 1, "_copy")
     return (
         mixed.filter("mix_copies > 0")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "mix_copies")))
-        .drop("_copy")
+        .withColumn(number, F.explode(F.sequence(F.lit(1).cast("long"), "mix_copies")))
+        .drop(number)
     )

@@ -51,7 +51,7 @@ BEGINNINGS = (4, 5, 6, 7)
 MAX_PER_CLASS = 25_000
 #: Texts that are Python strings at a time, and terms that a task counts before it sends them on.
 TEXTS_AT_ONCE = 256
-TERMS_HELD = 200_000
+TERMS_HELD = 100_000
 TOKEN = regex.compile(r"\p{L}+")
 DISGUISED = regex.compile(r"(?<=\p{L})[013457@$8]|[013457@$8](?=\p{L})")
 NAMED = regex.compile(r"LATIN (?:SMALL LETTER|LETTER SMALL CAPITAL) ([A-Z])(?: WITH .*)?")
