@@ -27,7 +27,7 @@ from parcelstats.llm.tables import settle
 from parcelstats.llm.words import Block, blocks
 
 #: Weight of the unigram probability in the bigram one, in tokens.
-MU = 500.0
+MU = 200.0
 #: Added to every count of the unigram model.
 ADDED = 0.1
 #: Words with this share of all tokens, or with more tokens than a shard, are spread over the
