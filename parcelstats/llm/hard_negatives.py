@@ -24,8 +24,9 @@ from parcelstats.llm.tables import settle
 ROWS = 16384
 ANCHORS = 16384
 AT_ONCE = 256
-#: Blocks of rows that share one copy of the anchors where these are too many to broadcast.
-BLOCKS_PER_COPY = 32
+#: Blocks of rows that share one copy of the anchors, and partitions for each copy.
+BLOCKS_PER_COPY = 2
+SPREAD = 4
 NO_SCORE = np.iinfo(np.int64).min
 
 
@@ -264,13 +265,17 @@ def _positives(rows: list[tuple]) -> pa.RecordBatch:
 def _cells(blocks: DataFrame, anchors: DataFrame, copies: int) -> DataFrame:
     """Every block of rows beside every block of anchors of its number of components.
 
-    An equi-join on that number and on one of ``copies`` copies of the anchors, so that where
-    the anchors are not broadcast each task has a bounded number of blocks of rows.
+    An equi-join on that number and on one of ``copies`` copies of the anchors, so that each
+    task has few blocks of rows. The number of partitions is stated: by their bytes, blocks look
+    like little work, and would be put together in a task or two.
     """
+    n_parts = SPREAD * copies
     renamed = anchors.select("width", *[F.col(c).alias(f"anchor_{c}") for c in anchors.columns if c != "width"])
     spread = renamed.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
     number = F.pmod(F.xxhash64("ids"), F.lit(copies)).cast("int")
-    return blocks.withColumn("copy", number).join(spread, ["width", "copy"]).drop("copy")
+    keys = ["width", "copy"]
+    placed = blocks.withColumn("copy", number).repartition(n_parts, *keys)
+    return placed.join(spread.repartition(n_parts, *keys), keys).drop("copy")
 
 
 def _sorted(scores: DataFrame) -> DataFrame:
