@@ -21,13 +21,11 @@ def median_by_level(
 ) -> DataFrame:
     """Truncated medians and ``count`` per (region, period) and per period.
 
-    Rows of the same region, period and measures are counted first, so that what is expanded
-    into levels and measures is distinct. The total rows carry ``total_label`` and follow the regions; rows of a null
-    region stay apart from them.
+    The total rows carry ``total_label`` and follow the regions; rows of a null region stay
+    apart from them.
     """
     levels = [[region, period], [period]]
-    cells = df.groupBy(region, period, *measures).agg(F.count("*").alias("_n"))
-    medians = grouped_medians(cells, [region, period], measures, levels, "_n")
+    medians = grouped_medians(df, [region, period], measures, levels)
     label = F.when(F.col("level") == 1, F.lit(total_label)).otherwise(F.col(region))
     return (
         medians.withColumn(region, label)

@@ -1,12 +1,14 @@
 """Exact medians that never gather a group in one task (AGG-4, OP-11).
 
-Both operators work on distinct values with their weights. A first aggregate per
-value runs partly before the exchange and spreads a hot group over its values. A
-group of more than ``cut`` distinct values is then divided into ranges: a quantile
-sketch of its values gives the boundaries, so that the ranges hold about equally many
-values however close together these lie. The ranges are counted, a running sum over
-them finds the range that holds the median, and only the values of that range are
-sorted. With a ``depth`` above 1 a range that is still long is divided again.
+A group of more than ``cut`` values is divided into ranges: a quantile sketch of its
+values gives the boundaries, so that the ranges hold about equally many values however
+close together these lie. The ranges are counted, a running sum over them finds the
+range that holds the median, and only the values of that range are sorted. With a
+``depth`` above 1 a range that is still long is divided again.
+
+Medians are divided as the rows come, and only the values of the range that holds the
+median are counted one by one. Weighted medians are counted per value first, partly
+before the exchange, which spreads a hot group over its values.
 
 Values are compared as doubles: whole numbers are exact up to 2^53.
 """
@@ -18,47 +20,46 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-#: Distinct values of a group that one task sorts without dividing the group.
+#: Distinct values of a group that one task sorts without dividing the group, for weighted medians.
 SORTED_VALUES = 1_000_000
-#: A group is divided into SPLITS * SPLITS ranges; a value finds its range in two steps.
+#: The same for medians, in rows that are not counted yet.
+UNDIVIDED_ROWS = 100_000
+#: A group is divided into SPLITS * SPLITS ranges.
 SPLITS = 32
 #: Highest number of a range.
 MOST_RANGES = SPLITS * SPLITS
+#: Steps of the search for a range: halves of the boundaries, and one for the values above the last.
+HALVINGS = [*[MOST_RANGES >> i for i in range(1, MOST_RANGES.bit_length())], 1]
 
 
 def range_bounds(values: DataFrame, keys: Sequence[str], cut: int) -> DataFrame:
-    """Boundaries of the groups with more than ``cut`` rows: (keys, _upper, _inner).
+    """Boundaries, in order, of the groups with more than ``cut`` rows: (keys, _bounds).
 
-    ``_inner`` has SPLITS lists of boundaries and ``_upper`` the last one of each. There are
-    at most rows / cut such groups, with SPLITS * SPLITS boundaries each.
+    There are at most rows / cut such groups, with MOST_RANGES boundaries each.
     """
-    parts = SPLITS * SPLITS
     number = F.col("_value").cast("double")
     known = F.when(~F.isnan(number), number)
-    ranks = F.array(*[F.lit(i / parts) for i in range(1, parts + 1)])
-    lists = F.transform(
-        F.sequence(F.lit(0), F.lit(SPLITS - 1)),
-        lambda i: F.slice("_bounds", i * SPLITS + 1, F.lit(SPLITS)),
-    )
+    ranks = F.array(*[F.lit(i / MOST_RANGES) for i in range(1, MOST_RANGES + 1)])
     return (
         values.groupBy(*keys)
-        .agg(F.count("_value").alias("_distinct"), F.percentile_approx(known, ranks, 4 * parts).alias("_bounds"))
-        .filter(F.col("_distinct") > cut)
-        .select(*keys, lists.alias("_inner"))
-        .withColumn("_upper", F.transform("_inner", lambda x: F.element_at(x, -1)))
+        .agg(F.count("_value").alias("_known"), F.percentile_approx(known, ranks, 4 * MOST_RANGES).alias("_bounds"))
+        .filter(F.col("_known") > cut)
+        .select(*keys, F.coalesce("_bounds", F.array().cast("array<double>")).alias("_bounds"))
     )
 
 
-def range_number(value: Column, upper: Column, inner: Column) -> Column:
+def range_number(value: Column, bounds: Column) -> Column:
     """Number of the boundaries below the value, which orders like the value; null for null.
 
     NaN comes after all boundaries. Without boundaries every value has the number 0.
     """
     value = value.cast("double")
-    place = F.size(F.filter(upper, lambda b: b < value))
-    within = F.get(inner, place)
-    below = F.coalesce(F.size(F.filter(within, lambda b: b < value)), F.lit(0))
-    return F.when(value.isNotNull(), F.when(upper.isNull(), 0).otherwise(place * SPLITS + below))
+    steps = F.array(*[F.lit(step) for step in HALVINGS])
+
+    def further(at: Column, step: Column) -> Column:
+        return at + F.when(F.get(bounds, at + step - 1) < value, step).otherwise(0)
+
+    return F.when(value.isNotNull(), F.when(bounds.isNull(), 0).otherwise(F.aggregate(steps, F.lit(0), further)))
 
 
 def _on(keys: Sequence[str]) -> Column:
@@ -77,10 +78,13 @@ def _joined(values: DataFrame, other: DataFrame, keys: Sequence[str], how: str)
 
 
 def _with_ranges(values: DataFrame, keys: Sequence[str], name: str, cut: int) -> DataFrame:
-    """Number of the range of each value within its group."""
-    bounded = _joined(values, range_bounds(values, keys, cut), keys, "left")
-    number = range_number(F.col("_value"), F.col("_upper"), F.col("_inner"))
-    return bounded.withColumn(name, number).drop("_upper", "_inner")
+    """Number of the range of each value within its group; ``_divided`` tells the groups with boundaries.
+
+    The boundaries are broadcast: a group that has some has more than ``cut`` rows.
+    """
+    bounded = _joined(values, F.broadcast(range_bounds(values, keys, cut)), keys, "left")
+    number = range_number(F.col("_value"), F.col("_bounds"))
+    return bounded.withColumns({name: number, "_divided": F.col("_bounds").isNotNull()}).drop("_bounds")
 
 
 def _frames(keys: Sequence[str], order: str) -> tuple[WindowSpec, WindowSpec, WindowSpec]:
@@ -102,7 +106,7 @@ def grouped_medians(
     weight: str | None = None,
     lowest: Sequence[str] = (),
     highest: Sequence[str] = (),
-    cut: int = SORTED_VALUES,
+    cut: int = UNDIVIDED_ROWS,
     depth: int = 1,
 ) -> DataFrame:
     """Exact median of each measure per group, for one or several grouping levels.
@@ -114,65 +118,64 @@ def grouped_medians(
     tell them apart by ``level``. The minima of the columns ``lowest`` and the maxima
     of the columns ``highest`` come along under their names.
 
-    At most ``cut`` distinct values are sorted in one go where a group has more.
+    Groups of more than ``cut`` values are divided before anything is counted per value: what
+    a task keeps of them is one row per range, and only the range of the median is counted
+    per value, exchanged and sorted.
     """
     levels = [list(level) for level in (levels or [keys])]
-    count = F.sum(weight) if weight else F.count("*")
     extremes = {**dict.fromkeys(lowest, F.min), **dict.fromkeys(highest, F.max)}
-    values = (
-        df.groupingSets([level + [m] for level in levels for m in measures], *keys, *measures)
-        .agg(
-            count.alias("_n"),
-            *[extreme(c).alias(f"_{c}") for c, extreme in extremes.items()],
-            *[F.grouping(c).alias(f"_without_{c}") for c in [*keys, *measures]],
-        )
-        .withColumn("_level", _level_number(keys, levels))
-        .withColumn("_measure", _measure_number(measures))
-        .withColumn("_value", F.coalesce(*[F.col(m).cast("double") for m in measures]))
-    )
     group = [*keys, "_level", "_measure"]
-    found = values.select(*group, "_value", "_n", *[f"_{c}" for c in extremes])
-
-    low = F.expr("(_filled + 1) div 2")
-    high = F.expr("_filled div 2 + 1")
-    holds_middle = (F.col("_upto") >= low) & (F.col("_upto") - F.col("_n") < high)
-
-    is_filled = F.col("_range0").isNotNull()
-    filled = F.when(is_filled, F.col("_n")).otherwise(0)
-    holds_middle = (F.col("_filled") == 0) | (is_filled & holds_middle)
-
-    whole_group = [f"_all_{c}" for c in extremes]
-    scope, known = group, ["_rows", "_filled", "_before", *whole_group]
+    found = _per_level_and_measure(df, keys, measures, levels, weight, list(extremes))
+
+    def middle_of(is_filled: Column) -> Column:
+        low, high = F.expr("(_filled + 1) div 2"), F.expr("_filled div 2 + 1")
+        held = (F.col("_upto") >= low) & (F.col("_upto") - F.col("_n") < high)
+        return (F.col("_filled") == 0) | (is_filled & held)
+
+    def totals(is_filled: Column, whole: WindowSpec) -> dict[str, Column]:
+        return {
+            "_rows": F.sum("_n").over(whole),
+            "_filled": F.sum(F.when(is_filled, F.col("_n")).otherwise(0)).over(whole),
+            "_before": F.lit(0).cast("bigint"),
+            **{f"_all_{c}": extreme(f"_{c}").over(whole) for c, extreme in extremes.items()},
+        }
+
+    known = ["_rows", "_filled", "_before", *[f"_all_{c}" for c in extremes]]
+    least = [extreme(f"_{c}").alias(f"_{c}") for c, extreme in extremes.items()]
+    scope = group
     for level in range(depth):
         bucket = f"_range{level}"
         found = _with_ranges(found, scope, bucket, cut)
+        is_filled = F.col(bucket).isNotNull()
+        filled = F.when(is_filled, F.col("_n")).otherwise(0)
         so_far, _, whole = _frames(scope, bucket)
-        carried = [F.max(c).alias(c) for c in known]
-        if scope == group:
-            carried = [extreme(f"_{c}").alias(f"_{c}") for c, extreme in extremes.items()]
-        counted = found.groupBy(*scope, bucket).agg(F.sum("_n").alias("_n"), *carried)
-        if scope == group:
-            counted = counted.withColumns(
-                {
-                    "_rows": F.sum("_n").over(whole),
-                    "_filled": F.sum(filled).over(whole),
-                    "_before": F.lit(0),
-                    **{f"_all_{c}": extreme(f"_{c}").over(whole) for c, extreme in extremes.items()},
-                }
-            )
-        scope = [*scope, bucket]
+        carried = [F.max(c).alias(c) for c in known] if level else least
+        counted = found.filter("_divided").groupBy(*scope, bucket).agg(F.sum("_n").alias("_n"), *carried)
+        if not level:
+            counted = counted.withColumns(totals(is_filled, whole))
         targets = (
             counted.withColumn("_upto", F.col("_before") + F.sum(filled).over(so_far))
-            .filter(holds_middle)
+            .filter(middle_of(is_filled))
             .withColumn("_before", F.col("_upto") - filled)
-            .select(*scope, *known)
+            .select(*scope, bucket, *[F.col(c).alias(f"_new{c}") for c in known], F.lit(True).alias("_target"))
         )
-        found = _joined(found.drop(*known), targets, scope, "inner")
+        # A group that is not divided stays together, with its nulls.
+        found = found.withColumn(bucket, F.when(F.col("_divided"), F.col(bucket)).otherwise(0))
+        scope = [*scope, bucket]
+        found = _joined(found, F.broadcast(targets), scope, "left").filter(~F.col("_divided") | F.col("_target"))
+        now = {c: F.coalesce(f"_new{c}", c) if level else F.col(f"_new{c}") for c in known}
+        found = found.withColumns(now).drop("_divided", "_target", *[f"_new{c}" for c in known])
 
-    in_order, _, _ = _frames(scope, "_value")
-    middle = found.withColumn(
-        "_upto", F.col("_before") + F.sum("_n").over(in_order)
-    ).filter(holds_middle)
+    in_order, _, whole = _frames(scope, "_value")
+    is_filled = F.col("_value").isNotNull()
+    filled = F.when(is_filled, F.col("_n")).otherwise(0)
+    counted = found.groupBy(*scope, "_value").agg(F.sum("_n").alias("_n"), *[F.max(c).alias(c) for c in known], *least)
+    whole_group = {c: F.coalesce(F.col(c), total) for c, total in totals(is_filled, whole).items()}
+    middle = (
+        counted.withColumns(whole_group)
+        .withColumn("_upto", F.col("_before") + F.sum(filled).over(in_order))
+        .filter(middle_of(is_filled))
+    )
     medians = []
     for number, measure in enumerate(measures):
         value = F.when(F.col("_measure") == number, F.col("_value"))
@@ -188,21 +191,29 @@ def grouped_medians(
     )
 
 
-def _level_number(keys: Sequence[str], levels: Sequence[Sequence[str]]) -> Column:
-    number = F.lit(None).cast("int")
-    for position, level in enumerate(levels):
-        matches = F.lit(True)
-        for key in keys:
-            matches = matches & (F.col(f"_without_{key}") == (0 if key in level else 1))
-        number = F.when(matches, F.lit(position)).otherwise(number)
-    return number
-
-
-def _measure_number(measures: Sequence[str]) -> Column:
-    number = F.lit(None).cast("int")
-    for position, measure in enumerate(measures):
-        number = F.when(F.col(f"_without_{measure}") == 0, F.lit(position)).otherwise(number)
-    return number
+def _per_level_and_measure(
+    df: DataFrame,
+    keys: Sequence[str],
+    measures: Sequence[str],
+    levels: Sequence[Sequence[str]],
+    weight: str | None,
+    extremes: Sequence[str],
+) -> DataFrame:
+    """Each row once per level and measure: (keys, _level, _measure, _value, _n, extremes)."""
+    number = F.col(weight) if weight else F.lit(1).cast("bigint")
+    copies = [
+        F.struct(
+            *[F.when(F.lit(k in level), F.col(k)).alias(k) for k in keys],
+            F.lit(at).alias("_level"),
+            F.lit(which).alias("_measure"),
+            F.col(measure).cast("double").alias("_value"),
+        )
+        for at, level in enumerate(levels)
+        for which, measure in enumerate(measures)
+    ]
+    return df.select(
+        F.inline(F.array(*copies)), number.alias("_n"), *[F.col(c).alias(f"_{c}") for c in extremes]
+    )
 
 
 def weighted_median(
@@ -245,7 +256,7 @@ def weighted_median(
     scope = keys
     for level in range(depth):
         bucket = f"_range{level}"
-        found = _with_ranges(found, scope, bucket, cut)
+        found = _with_ranges(found, scope, bucket, cut).drop("_divided")
         so_far, earlier, whole = _frames(scope, bucket)
         carried = [] if scope == keys else [F.max(c).alias(c) for c in ("_total", "_before")]
         counted = found.groupBy(*scope, bucket).agg(

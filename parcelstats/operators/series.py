@@ -66,8 +66,8 @@ def interpolate_by_reference(
     along = placed.groupBy(position).agg(single.alias("_reference"))
 
     cuts = range_bounds(placed.select(F.col(position).alias("_value")), [], segment)
-    cuts = cuts.select(F.struct("_upper", "_inner")).scalar()
-    number = range_number(F.col(position), F.col("_cuts._upper"), F.col("_cuts._inner"))
+    cuts = cuts.select("_bounds").scalar()
+    number = range_number(F.col(position), F.col("_cuts"))
     last = F.when(cuts.isNull(), 0).otherwise(MOST_RANGES)
 
     along = along.withColumn("_cuts", cuts).withColumn("_segment", number).drop("_cuts")

@@ -156,3 +156,41 @@ def test_results_do_not_depend_on_the_partitioning(spark, parts):
         (k, *reference_weighted_median([(v, w) for g, v, w in data if g == k])) for k in range(3)
     ]
     assert not math.isnan(medians[0][1])
+
+
+def test_a_divided_group_is_not_counted_per_value(spark):
+    n = 40_000
+    df = spark.range(n).select(
+        (F.col("id") % 2).alias("k"),
+        F.when(F.col("id") % 10 != 0, F.pmod(F.xxhash64("id"), F.lit(10**9))).alias("v"),
+        F.lit(7).alias("same"),
+    )
+    found = grouped_medians(df, ["k"], ["v", "same"], [["k"], []], cut=1000)
+    data = rows(df, "k", "v")
+    assert bag(found, "level", "k", "v", "same", "rows") == sorted(
+        [(0, k, median([v for g, v in data if g == k]), 7.0, n // 2) for k in (0, 1)]
+        + [(1, None, median([v for _, v in data]), 7.0, n)],
+        key=lambda r: [(v is not None, str(type(v)), v) for v in r],
+    )
+    # Every aggregate over all rows has one row per group or range; few rows are exchanged by value.
+    text = found._jdf.queryExecution().executedPlan().toString()
+    exchanged = [s for s in executed_exchanges(found) if s[0] > n / 10]
+    assert not exchanged, text
+
+
+def executed_exchanges(df):
+    """(rows written, partitioning) of each exchange of the plan as it ran."""
+    df.collect()
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif name in ("ShuffleQueryStage", "BroadcastQueryStage"):
+            todo.append(node.plan())
+        if name == "Exchange":
+            found.append((node.metrics().apply("shuffleRecordsWritten").value(), node.outputPartitioning().toString()))
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return found
