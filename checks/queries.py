@@ -320,10 +320,14 @@ def csv_normalised_roundtrip(i: Inputs) -> DataFrame:
     return read_csv(i.spark, folder, wanted, types)
 
 
+#: Lines of a compressed raw file, which one task reads from beginning to end.
+LINES_OF_A_FILE = 500_000
+
+
 def ingested(i: Inputs, kind: str, lines: DataFrame) -> DataFrame:
-    """Raw lines written as text files, turned into a typed table and read from there."""
+    """Raw lines written as compressed text files, turned into a typed table and read from there."""
     folder = scratch_folder(i.spark)
-    lines.write.text(f"{folder}/raw")
+    lines.write.option("maxRecordsPerFile", LINES_OF_A_FILE).text(f"{folder}/raw", compression="gzip")
     ingest(i.spark, kind, f"{folder}/raw", f"{folder}/table")
     return i.spark.read.parquet(f"{folder}/table")
 

@@ -3,6 +3,7 @@
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from parcelstats.plans.ingest import ingest
 from parcelstats.sources import fixed_width as fw
@@ -249,3 +250,19 @@ def test_csv_sink_keeps_order_and_text(spark, tmp_path):
 def test_extracts_are_typed(spark, tmp_path):
     write(tmp_path / "cpi.csv", b"Year,Annual,HALF1\n1990,100.5,x\n1991,,y\n")
     assert bag(read_extract(spark, "cpi", f"{tmp_path}/cpi.csv")) == [(1990, 100.5), (1991, None)]
+
+
+def test_ingest_writes_compressed_files(spark, tmp_path, monkeypatch):
+    from checks import queries
+
+    monkeypatch.setattr(queries, "LINES_OF_A_FILE", 300, raising=False)
+    monkeypatch.setattr(queries, "scratch_folder", lambda spark: f"{tmp_path}/files")
+    line = F.concat(F.lit("2110010010001"), F.lpad(F.pmod(F.xxhash64("id"), F.lit(10**9)).cast("string"), 230, "0"))
+    lines = spark.range(0, 1000, 1, 1).select(line.alias("value"))
+    table = queries.ingested(queries.Inputs(spark, ""), "dwellings", lines)
+    assert table.count() == 1000 and dict(table.dtypes)["tmk"] == "bigint"
+    raw = list((tmp_path / "files/raw").glob("part-*"))
+    assert len(raw) == 4 and all(p.name.endswith(".txt.gz") for p in raw)
+    assert sum(p.stat().st_size for p in raw) < 1000 * 244 / 2
+    parts = list((tmp_path / "files/table").glob("*.parquet"))
+    assert parts and all(".zstd." in p.name for p in parts)
