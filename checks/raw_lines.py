@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from checks.fixtures import Inputs, _tmk
+from parcelstats.functions import outside_whole_stage
 from parcelstats.sources.layouts import WINDOWS_1252_C1
 
 # Fields of the dwellings and of the sales with their widths, stated here once
@@ -85,6 +86,7 @@ def dwelling_lines(inputs: Inputs) -> DataFrame:
         if name == "percent_complete":
             value = F.concat((number + 1).cast("string"), F.lit(".5"))
         parts.append([zeros, left, right][i % 3](value, width or 8))
+    parts[-1] = outside_whole_stage(parts[-1])
     return inputs.table("lineitem").select(F.concat(*parts).alias("value"))
 
 

@@ -2,6 +2,7 @@
 
 from parcelstats.functions.columns import (
     lenient_long,
+    outside_whole_stage,
     percent,
     rounded_long,
     strip_field,
@@ -11,6 +12,7 @@ from parcelstats.functions.columns import (
 
 __all__ = [
     "lenient_long",
+    "outside_whole_stage",
     "percent",
     "rounded_long",
     "strip_field",

@@ -1,4 +1,4 @@
-"""Column expressions. All of them stay inside whole-stage codegen."""
+"""Column expressions. All but ``outside_whole_stage`` stay inside whole-stage codegen."""
 
 from __future__ import annotations
 
@@ -25,6 +25,16 @@ def strip_field(value: Column, strip: Callable[[Column], Column] = strip_space)
     return F.ltrim(strip(value), F.lit("0"))
 
 
+def outside_whole_stage(value: Column) -> Column:
+    """The same value, by a function that keeps its projection out of whole-stage code.
+
+    Whole-stage code computes all columns of a projection in one method, and from 8,000 bytes
+    on the JVM interprets a method instead of compiling it, which takes many times longer.
+    A projection by itself is generated as many short methods.
+    """
+    return F.get(F.transform(F.array(value), lambda same: same), F.lit(0))
+
+
 def lenient_long(column: str) -> Column:
     """Whole number, or null where the text is not one."""
     return F.col(column).try_cast("bigint")

@@ -81,6 +81,12 @@ def read_csv(
 WHOLE = r"^[+-]?[0-9]+$"
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 TRUTH = r"^(true|false)$"
+DIGITS = r"\A[0-9]*+\z"
+# Marks of the types that a text does not have.
+NO_WHOLE, NO_NUMBER, NO_TRUTH = 1, 2, 4
+
+#: Columns whose values are looked at together, to see whether they all consist of digits.
+COLUMNS_OF_A_GROUP = 8
 
 
 def infer_types(df: DataFrame) -> dict[str, str]:
@@ -91,25 +97,48 @@ def infer_types(df: DataFrame) -> dict[str, str]:
     Whole numbers beyond 64 bits make a double. Columns that are no text keep their type.
     """
     texts = [name for name, kind in df.dtypes if kind == "string"]
-    checks = []
-    for i, name in enumerate(texts):
-        value = F.nullif(F.col(f"`{name}`"), F.lit(""))
-        whole = F.when(value.rlike(WHOLE), value.try_cast("bigint").isNotNull()).when(value.isNotNull(), False)
-        checks += [
-            F.bool_and(whole).alias(f"w{i}"),
-            F.bool_and(value.rlike(NUMBER)).alias(f"n{i}"),
-            F.bool_and(value.rlike(TRUTH)).alias(f"t{i}"),
-        ]
     if not texts:
         return {}
-    verdicts = df.agg(*checks).first()
+    verdicts = _verdicts(df, texts).first()
+    kinds = ((NO_WHOLE, "bigint"), (NO_NUMBER, "double"), (NO_TRUTH, "boolean"))
     found = {}
-    for i, name in enumerate(texts):
-        kinds = (("w", "bigint"), ("n", "double"), ("t", "boolean"))
-        found[name] = next((kind for mark, kind in kinds if verdicts[f"{mark}{i}"]), "string")
+    for name, verdict in zip(texts, verdicts):
+        fitting = (kind for misfit, kind in kinds if verdict is not None and not verdict & misfit)
+        found[name] = next(fitting, "string")
     return found
 
 
+def _verdicts(df: DataFrame, texts: Sequence[str]) -> DataFrame:
+    """One row with the marks of the types that not all values of a column have, null without any value."""
+    values = {f"c{i}": F.col(f"`{name}`") for i, name in enumerate(texts)}
+    digits, marks = {}, []
+    for k in range(0, len(texts), COLUMNS_OF_A_GROUP):
+        group = list(values)[k : k + COLUMNS_OF_A_GROUP]
+        digits[f"d{k}"] = F.concat_ws("", *[values[c] for c in group]).rlike(DIGITS)
+        marks += [F.bit_or(_misfits(F.col(c), F.col(f"d{k}"))) for c in group]
+    columns = {**values, **digits}
+    return df.select(*[column.alias(c) for c, column in columns.items()]).agg(*marks)
+
+
+def _misfits(value: Column, only_digits: Column) -> Column:
+    """The types that a text does not have, as the sum of their marks; null for no value.
+
+    ``only_digits`` tells texts of digits alone, for several columns at a time. Up to 18
+    characters of a whole number always fit 64 bits. The cast is for longer ones only: it is
+    slow where it fails, as are patterns for every value.
+    """
+    short = F.octet_length(value) <= 18
+    fits = short | value.try_cast("bigint").isNotNull()
+    return (
+        F.when(value == "", None)
+        .when(only_digits & short, NO_TRUTH)
+        .when(value.rlike(WHOLE), F.when(fits, NO_TRUTH).otherwise(NO_WHOLE + NO_TRUTH))
+        .when(value.rlike(NUMBER), NO_WHOLE + NO_TRUTH)
+        .when(value.rlike(TRUTH), NO_WHOLE + NO_NUMBER)
+        .when(value.isNotNull(), NO_WHOLE + NO_NUMBER + NO_TRUTH)
+    )
+
+
 def with_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     present = {name: F.col(name).try_cast(type_) for name, type_ in types.items() if name in df.columns}
     return df.withColumns(present) if present else df

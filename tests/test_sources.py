@@ -266,3 +266,57 @@ def test_ingest_writes_compressed_files(spark, tmp_path, monkeypatch):
     assert sum(p.stat().st_size for p in raw) < 1000 * 244 / 2
     parts = list((tmp_path / "files/table").glob("*.parquet"))
     assert parts and all(".zstd." in p.name for p in parts)
+
+
+def test_types_of_values_that_lie_in_one_group(spark):
+    """A value tells the type of its own column only, also beyond the columns that are looked at together."""
+    odd = {"a": "+5", "b": "-0", "c": "007", "d": "9" * 18, "e": "9" * 19, "f": "9" * 18 + "9" * 18, "g": " 5", "h": "5\n",
+           "i": "12", "j": "2001-01-01", "k": "1.", "l": "true", "m": "٣", "n": "-" + "9" * 18, "o": "1e5", "p": "5\n\n",
+           "q": "+", "r": "TRUE", "s": "5 ", "t": str(2**63), "u": str(-(2**63))}
+    rest = {"a": "1", "i": None, "j": "", "k": "", "l": "false"}
+    names = list(odd)
+    lines = [tuple(odd.values())] + [tuple(rest.get(n, "3" if n in "bcd" else "") for n in names)] * 3
+    df = spark.createDataFrame(lines, ", ".join(f"{n} string" for n in names)).repartition(3)
+    whole = dict.fromkeys("abcdhinu", "bigint")
+    number = dict.fromkeys("efkot", "double")
+    assert infer_types(df) == {**dict.fromkeys(names, "string"), **whole, **number, "l": "boolean"}
+
+
+def longest_method(df) -> int:
+    """Bytes of the longest method in the whole-stage code of a query."""
+    stages = df._jdf.queryExecution().debug().codegenToSeq()
+    return max((stages.apply(k)._3().maxMethodCodeSize() for k in range(stages.size())), default=0)
+
+
+def small_lineitem(spark, tmp_path, n=2000):
+    columns = ["pmod(xxhash64(id), 1000000000) AS l_orderkey", "id * 7 % 200 AS l_partkey", "CAST(id % 7 AS INT) AS l_linenumber"]
+    spark.range(0, n, 1, 1).selectExpr(*columns).write.parquet(f"{tmp_path}/lineitem.parquet")
+    return str(tmp_path)
+
+
+def test_no_method_of_a_dwelling_ingest_is_too_long_to_be_compiled(spark, tmp_path):
+    from checks import queries, raw_lines
+
+    lines = raw_lines.dwelling_lines(queries.Inputs(spark, small_lineitem(spark, tmp_path)))
+    assert longest_method(lines) < 8000
+    assert lines.count() == 2000
+
+
+def test_columns_of_digits_share_a_pattern(spark):
+    from parcelstats.sources import csv
+
+    df = spark.range(10).selectExpr(*[f"CAST(id + {k} AS STRING) AS c{k}" for k in range(6)])
+    assert infer_types(df) == dict.fromkeys(df.columns, "bigint")
+    # All columns at once; patterns for a single value come after that.
+    assert plan(csv._verdicts(df, df.columns)).count("RLIKE(concat_ws(, c0") == 1
+
+
+def test_dwelling_lines_are_coded_by_frequency(spark, tmp_path, monkeypatch):
+    from checks import queries
+
+    monkeypatch.setattr(queries, "scratch_folder", lambda spark: f"{tmp_path}/files")
+    table = queries.QUERIES["ingest_dwellings"](spark, small_lineitem(spark, tmp_path))
+    assert table.count() == 2000 and dict(table.dtypes)["building_grade"] == "string"
+    raw = sum(p.stat().st_size for p in (tmp_path / "files/raw").glob("part-*.txt.gz"))
+    length = spark.read.text(f"{tmp_path}/files/raw").selectExpr("sum(octet_length(value) + 1)").first()[0]
+    assert raw < 0.46 * length
